@@ -33,9 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of the tables under df: for those read from files, the bytes of the files."""
+    """Spark's own size estimate of the tables under df: for those read from files, the bytes of the files.  Where Spark knows no size, texts are measured."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if total < 1 << 60:
+        return total
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return df.agg(F.coalesce(F.sum(sum(texts, F.lit(16)).cast("long")), F.lit(0))).first()[0]
 
 
 def buckets(df: DataFrame, mb: float) -> int:
