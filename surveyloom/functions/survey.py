@@ -24,10 +24,10 @@ def simple_label(c: Column, keep: str = "") -> Column:
 
 def day_first(c: Column) -> Column:
     """d.m.yyyy, d.m.yy or d. <German month> yyyy as a date; null where it is none."""
-    named = c
-    for name, n in vocab.MONTHS.items():
-        named = F.regexp_replace(named, rf"^(\d{{1,2}})\.\s*{name}\s+(\d{{4}})$", f"$1.{n}.$2")
-    return F.when(named.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), F.try_to_date(named, "d.M.yyyy")).when(named.rlike(r"^\d{1,2}\.\d{1,2}\.\d{2}$"), F.try_to_date(named, "d.M.yy"))
+    named = r"^(\d{1,2})\.\s*(\p{L}+)\s+(\d{4})$"
+    month = lookup({name: str(n) for name, n in vocab.MONTHS.items()}, F.regexp_extract(c, named, 2))
+    spelled = F.try_to_date(F.concat_ws(".", F.regexp_extract(c, named, 1), month, F.regexp_extract(c, named, 3)), "d.M.yyyy")
+    return F.when(c.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), F.try_to_date(c, "d.M.yyyy")).when(c.rlike(r"^\d{1,2}\.\d{1,2}\.\d{2}$"), F.try_to_date(c, "d.M.yy")).when(month.isNotNull(), spelled)
 
 
 def iso_date(c: Column) -> Column:
