@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SPACE, partitions, whole
+from .common import SPACE, partitions, stored, whole
 
 #: A keeper's text is sent once for each so many members of its group, so no task compares a whole hot group.
 MEMBERS_PER_SALT = 1000
@@ -28,11 +28,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Other columns of the input are ignored, whatever their names.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("norm"))
+    # Texts are hashed once; all that follows but the comparison of bytes reads this table.
     hashed = texts.select("doc_id", F.unhex(F.md5("norm")).alias("digest"), F.octet_length("norm").alias("n_bytes"), F.sha2("norm", 256).alias("text_sha256"))
+    hashed = stored(hashed, "hashed")
     groups = hashed.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     rows = hashed.join(groups, ["digest", "n_bytes"])
 
-    odd = _collisions(rows, texts, partitions(docs))
+    odd = stored(_collisions(rows, texts, partitions(docs)), "collisions")
     # No pair of texts with equal MD5 and length is expected; where one occurs its rows are grouped by their bytes.
     odd_groups = odd.groupBy("digest", "norm").agg(F.min("doc_id").alias("own_keep"), F.count("*").alias("own_size"))
     odd_rows = odd.join(odd_groups, ["digest", "norm"]).select("doc_id", F.col("digest").alias("odd_digest"), "own_keep", "own_size").distinct()
@@ -64,5 +66,12 @@ def _collisions(rows: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that stay: one per distinct normalised text (of rows that repeat id and text, one)."""
-    keep = exact_groups(docs, id_col, text_col).filter("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([id_col])
+    keep = exact_groups(docs, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__keep")).distinct()
+    known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+    without_id = docs.filter(F.col(id_col).isNull())
+    if without_id.isEmpty():
+        return known
+    digest = F.md5(normalised(text_col))
+    unknown = without_id.withColumn("__digest", digest).dropDuplicates(["__digest"])
+    unknown = unknown.join(docs.filter(F.col(id_col).isNotNull()).select(digest.alias("__digest")).distinct(), "__digest", "left_anti")
+    return known.unionByName(unknown.select(*docs.columns))
