@@ -59,3 +59,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+
+
+def sliced(batches, rows: int = 1000):
+    """Arrow batches in slices, so that no more than so many texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

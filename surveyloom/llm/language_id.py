@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import sliced
+
 _WORD = re.compile(r"[^\W\d_]+")
 #: Longest n-gram tried for a word that was not learned.
 LONGEST = 5
@@ -47,7 +49,7 @@ class LanguageModel:
                 score = seen[w]
             except KeyError:
                 score = self.word(w)
-                if len(seen) < 200_000:
+                if len(seen) < 100_000:
                     seen[w] = score
             if score is not None:
                 for i, x in enumerate(score):
@@ -110,7 +112,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     def run(batches):
         m, seen = sent.value, {}
-        for batch in batches:
+        for batch in sliced(batches):
             found = [m.text(t, seen) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
@@ -137,7 +139,7 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches):
         m, seen = sent.value, {}
-        for batch in batches:
+        for batch in sliced(batches):
             keep = [m.text(t, seen)[0] != "und" for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

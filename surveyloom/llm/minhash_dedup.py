@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import wordhash
-from .common import stored, whole
+from .common import sliced, stored, whole
 from .components import components
 
 TREES = 24
 #: Values of a tree's order that a region shares at least.  A pair at similarity 0.8 shares none of 24 such prefixes with a chance of 3e-8.
 DEPTH = 3
 #: Signature values: TREES * DEPTH for the forest, the rest only for estimates.
-HASHES = 256
+HASHES = 768
 #: Documents of a region compared in one task; larger regions are cut into blocks, and pairs of blocks.
 BLOCK = 1024
 #: Bytes of text that one task holds as numpy arrays at a time.
@@ -38,7 +38,7 @@ def estimate_floor(threshold: float) -> float:
 
 def _signatures(k: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for some, chunk in wordhash.chunks(ids, texts, CHUNK):
                 yield _signed(some, chunk, k)
@@ -144,7 +144,7 @@ def _candidates(threshold: float, floor: float, every_pair: bool):
 
 def _sets(k: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for some, chunk in wordhash.chunks(ids, texts, CHUNK):
                 sets, offsets = wordhash.shingle_sets(chunk, k)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import wordhash
-from .common import buckets, partitions, stored, whole
+from .common import buckets, partitions, sliced, stored, whole
 
 #: Bytes of a sample's name.  More bytes: fewer accidental equals, but more samples.
 KEY = 24
@@ -103,7 +103,7 @@ def _smallest(keys: tuple[np.ndarray, ...], doc: np.ndarray):
 
 def _sample(length: int, n_buckets: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             order = sorted(range(len(ids)), key=ids.__getitem__)
             for some, chunk in wordhash.chunks([ids[i] for i in order], [texts[i] for i in order], CHUNK):
@@ -187,7 +187,7 @@ def _compare(length: int):
 
 def _fetch(n_buckets: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             doc, start, name, parts = [], [], [], []
             for i, text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = text.encode("utf-8", "surrogatepass")
@@ -245,7 +245,7 @@ def _single_spans(length: int):
 
 
 def _finish(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         out = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
         for i, text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             data = text.encode("utf-8", "surrogatepass")
