@@ -201,7 +201,10 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     first = cut.unionByName(heads).join(light, "doc_id").withColumn("component", F.col("doc_id"))
     pairs = stored(first.groupBy("tree", "key", "part").applyInArrow(_candidates(percent / 100, floor, False), "a long, b long").distinct(), "neighbours")
     texts = src.filter("doc_id is not null")
-    links = stored(_confirm(pairs, texts, k, percent), "links")
+    # Only documents of regions can be in a pair: their sets are made once, for both rounds.
+    sets = texts.join(regions.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "doc_id long, shingles binary")
+    sets = stored(sets, "sets")
+    links = stored(_confirm(pairs, sets, percent), "links")
     of = components(links)
 
     # Round 2: whatever regions still hold of different components.
@@ -213,7 +216,7 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     rest = rest.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     more = rest.join(light, "doc_id").groupBy("tree", "key", "lo", "hi").applyInArrow(_candidates(percent / 100, floor, True), "a long, b long").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(_confirm(more, texts, k, percent))
+    links = links.unionByName(_confirm(more, sets, percent))
 
     twins = whole_sets.join(same, ["digest_a", "digest_b", "n_shingles"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     of = components(links.unionByName(twins))
@@ -221,11 +224,8 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = texts.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "doc_id long, shingles binary")
-    sets = stored(sets, "sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a long, b long")
