@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import imports as I
+from ..sources import imports as I, span_tables as T
 from .derived import POLL, RESULT, polls, results, table
 from .registry import query
 
@@ -88,3 +88,43 @@ def a1_html_tables(spark, d):
     row = F.concat(F.lit("<tr>"), cell(F.to_date("o_orderdate")), cell(F.col("o_orderpriority")), cell(F.col("o_orderkey") % 40), cell(F.col("o_custkey") % 40), F.lit("</tr>"))
     made = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 97).alias("page_id")).agg(F.concat(F.lit(head), F.array_join(F.sort_array(F.collect_list(row)), ""), F.lit("</tbody></table>")).alias("html"))
     return I.html_tables(made.unionByName(table(spark, d, "pages").select((F.col("page_id") + 1000).alias("page_id"), "html")))
+
+
+def _pages(rows, heads, row):
+    """Pages of at most 64 orders, as HTML: two tables of another kind first where the third is asked for."""
+    head = "<thead><tr>" + "".join(f"<th>{h}</th>" for h in heads) + "</tr></thead><tbody>"
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("tr")))), lambda x: x["tr"])
+    return rows.groupBy(F.floor(F.col("o_orderkey") / 64).alias("page_id")).agg(F.concat(F.lit(head), F.array_join(parts, ""), F.lit("</tbody></table>")).alias("html"))
+
+
+def _td(c, attrs=""):
+    return F.concat(F.lit(f"<td{attrs}>"), c.cast("string"), F.lit("</td>"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS id, strftime(o_orderdate, '%d.%m.%Y') AS day, o_orderpriority AS institute, CAST(o_custkey AS VARCHAR) AS respondents FROM orders)
+SELECT id, day, institute, respondents, 'CDU/CSU' AS party, CAST(id % 40 AS VARCHAR) AS value FROM o WHERE id % 3 = 0
+UNION ALL SELECT id, day, institute, respondents, 'CDU', CAST(id % 31 AS VARCHAR) FROM o WHERE id % 3 <> 0
+UNION ALL SELECT id, day, institute, respondents, 'CSU', CAST(id % 7 AS VARCHAR) FROM o WHERE id % 3 = 1
+UNION ALL SELECT id, day, institute, respondents, 'SPD', CAST(id % 29 AS VARCHAR) FROM o""")
+def a2_column_spans(spark, d):
+    k = F.col("o_orderkey")
+    union = F.when(k % 3 == 0, _td(k % 40, " colspan='2'")).otherwise(F.concat(_td(k % 31), _td(F.when(k % 3 == 1, (k % 7).cast("string")).otherwise(""))))
+    row = F.concat(F.lit("<tr>"), _td(F.date_format("o_orderdate", "dd.MM.yyyy")), F.lit("<td></td>"), _td(F.col("o_orderpriority")), _td(k), _td(F.col("o_custkey")), F.lit("<td>-</td>"), union, _td(k % 29), F.lit("<td>99</td></tr><tr><td>Wahl 2019</td></tr>"))
+    pages = _pages(table(spark, d, "orders"), ["Datum", "", "Institut", "Auftraggeber", "Befragte", "", "CDU", "CSU", "SPD"], row).withColumn("html", F.concat(F.lit("<table class='wilko'>"), "html"))
+    out = T.spanned_tables(pages).withColumn("r", F.explode("results"))
+    return out.select(F.col("client").cast("long").alias("id"), F.col("date").alias("day"), "institute", "respondents", "r.party", "r.value")
+
+
+@query("""SELECT o_orderkey AS id, o_orderpriority AS institute, strftime(o_orderdate, '%d.%m.%y') AS day, CAST(o_custkey AS VARCHAR) || CASE WHEN o_orderkey % 2 = 0 THEN ' Telefon' ELSE '' END AS respondents,
+  CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE '01.05.-03.05.' END AS timeframe, CAST(o_orderkey % 29 AS VARCHAR) AS spd,
+  coalesce(last_value(CASE o_orderkey % 10 WHEN 0 THEN 'BB' WHEN 4 THEN 'SN' WHEN 7 THEN 'TH' END IGNORE NULLS) OVER (PARTITION BY o_orderkey // 64 ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'BUND') AS state FROM orders""")
+def a3_row_groups(spark, d):
+    k = F.col("o_orderkey")
+    state = F.when(k % 10 == 0, "bb").when(k % 10 == 4, "sn").when(k % 10 == 7, "th")
+    lead = F.coalesce(F.concat(F.lit("<th class='li' id='"), state, F.lit("'>Land</th><td></td>")), F.lit(""))
+    asked = F.concat(F.when(k % 2 == 0, "<td title='Telefon'>").otherwise("<td>"), F.col("o_custkey").cast("string"), F.when(k % 5 == 0, "").otherwise("<br>01.05.-03.05."), F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), lead, _td(F.concat("o_orderpriority", F.lit(" ("), F.date_format("o_orderdate", "dd.MM.yy"), F.lit(")"))), _td(k), asked, F.lit("<td>-</td>"), _td(k % 29), F.lit("</tr>"))
+    before = "<table class='wilko'></table><table class='wilko'></table><table class='wilko'>"
+    pages = _pages(table(spark, d, "orders"), ["Land", "", "Institut", "Auftraggeber", "Befragte", "", "SPD"], row).withColumn("html", F.concat(F.lit(before), "html"))
+    out = T.grouped_tables(pages)
+    return out.select(F.col("client").cast("long").alias("id"), "institute", F.col("date").alias("day"), "respondents", "timeframe", F.get("results", F.lit(0))["value"].alias("spd"), "state")

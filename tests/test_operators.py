@@ -7,7 +7,7 @@ from pyspark.sql import Row, functions as F
 
 from surveyloom.functions import survey as S
 from surveyloom.operators import match as M, select as P, validate as V, views as H
-from surveyloom.sources import imports as I
+from surveyloom.sources import imports as I, span_tables as T
 from surveyloom.streaming.ingest import ingest_new
 
 D = datetime.date
@@ -102,3 +102,21 @@ def test_export_and_stream(spark, tmp_path):
     spark.createDataFrame([(4, "b"), (5, "c")], "seq long, k string").coalesce(1).write.mode("append").json(str(tmp_path / "in"))
     ingest_new(*args)
     assert sorted(r["seq"] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 3, 5]
+
+
+def test_span_tables(spark):
+    heads = "".join(f"<th>{h}</th>" for h in ["Datum", "", "Institut", "Auftraggeber", "Befragte", "", "CDU", "CSU", "SPD"])
+    row = "<tr><td>01.06.2024</td><td></td><td>A&nbsp;B</td><td></td><td>1.000</td><td></td><td colspan=2>30</td><td>16</td></tr>"
+    one = f"<table class='wilko x'><thead><tr>{heads}</tr></thead><tbody>{row}<tr><td>01.06.24</td></tr>{row.replace('30', '').replace('16', ' ')}</tbody></table>"
+    group = "<tr><th class='li' id='bw'>BW</th><td></td><td>A (01.06.24)</td><td>Z</td><td title='Online'>Online 500<br>??.05.</td><td></td><td>20</td><td></td><td>9</td><td>8</td></tr>"
+    below = "<tr><td>B (02.06.2024)</td><td></td><td title='T'>600</td><td></td><td colspan='x'>21</td></tr><tr></tr><tr><td>C</td><td></td><td></td><td></td><td>1</td></tr>"
+    pages = spark.createDataFrame([(1, one + one + f"<table class='wilko'><thead><tr>{heads}</tr></thead><tbody>{below}{group}{below}</tbody></table>"), (2, None), (3, ""), (4, "<table class='wilko'>")], "page_id long, html string")
+    spanned = T.spanned_tables(pages).orderBy("tab").collect()
+    assert [(r["tab"], r["institute"], r["client"], [tuple(x) for x in r["results"]]) for r in spanned] == [(t, "A B", None, [("CDU/CSU", "30"), ("SPD", "16")]) for t in (0, 1)]
+    grouped = T.grouped_tables(pages).orderBy("row").collect()
+    assert [(r["state"], r["institute"], r["date"], r["respondents"], r["timeframe"], [tuple(x) for x in r["results"]]) for r in grouped] == [
+        ("BUND", "B", "02.06.2024", "600 T", "", [("CDU", "21")]),
+        ("BW", "A", "01.06.24", "Online 500", "??.05.", [("CDU", "20"), ("SPD", "9")]),
+        ("BW", "B", "02.06.2024", "600 T", "", [("CDU", "21")]),
+    ]
+    assert T.spanned_tables(pages.limit(0)).count() == T.grouped_tables(pages.filter("page_id > 1")).count() == 0
