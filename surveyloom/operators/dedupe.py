@@ -44,6 +44,31 @@ def unprocessed(raw: DataFrame, polls: DataFrame, duplicates: DataFrame, limit:
     return out.limit(limit) if limit is not None else out
 
 
+MODES = ("incremental", "reprocess", "rebuild")
+
+
+def select_run(raw: DataFrame, polls: DataFrame, duplicates: DataFrame, mode: str = "incremental", limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(raw rows that a run reads, polls that it starts from).
+
+    incremental: the unprocessed rows (D1); reprocess: all rows; rebuild: all rows, and no
+    poll of before.  No limit, or a limit of 0, is all rows.  Another mode is a ValueError.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode {mode!r} is none of {', '.join(MODES)}")
+    if mode == "incremental":
+        return unprocessed(raw, polls, duplicates, limit or None), polls
+    rows = raw.orderBy("id")
+    return (rows.limit(limit) if limit else rows), (polls.filter(F.lit(False)) if mode == "rebuild" else polls)
+
+
+def finish_run(polls: DataFrame, version: str, dry_run: bool = False) -> int:
+    """Write the polls of a run to the folder of a new version, or with dry_run to nowhere; returns their number.  A version that exists is an error."""
+    if dry_run:
+        return polls.count()
+    polls.write.mode("error").parquet(version)
+    return polls.sparkSession.read.schema(polls.schema).parquet(version).count()
+
+
 def first_by_fingerprint(rows: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, duplicates(id, duplicate_of)): a stored fingerprint wins, then the smallest id of the batch."""
     s = stored.groupBy("fingerprint").agg(F.min("id").alias("stored_id"))

@@ -122,3 +122,15 @@ def d10_cleaning_statistics(spark, d):
 def d5_poll_copies(spark, d):
     rows = fingerprints(polls(spark, d), results(spark, d)).select("id", "fingerprint")
     return rows.join(rows.groupBy("fingerprint").agg(F.count("*").alias("copies")), "fingerprint").select("id", "copies")
+
+
+@query("""SELECT 'incremental' AS mode, o_orderkey AS id, o_orderkey % 3 = 0 AS has_poll FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0
+UNION ALL SELECT 'reprocess', o_orderkey, o_orderkey % 3 = 0 FROM orders UNION ALL SELECT 'rebuild', o_orderkey, false FROM orders""")
+def d9_run_modes(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    known, copies, out = o.filter("id % 3 = 0").select(F.col("id").alias("raw_id")), o.filter("id % 5 = 0"), None
+    for mode in D.MODES:
+        rows, before = D.select_run(o, known, copies, mode)
+        run = rows.join(before, F.col("id") == F.col("raw_id"), "left").select(F.lit(mode).alias("mode"), "id", F.col("raw_id").isNotNull().alias("has_poll"))
+        out = run if out is None else out.unionByName(run)
+    return out

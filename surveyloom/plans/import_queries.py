@@ -128,3 +128,16 @@ def a3_row_groups(spark, d):
     pages = _pages(table(spark, d, "orders"), ["Land", "", "Institut", "Auftraggeber", "Befragte", "", "SPD"], row).withColumn("html", F.concat(F.lit(before), "html"))
     out = T.grouped_tables(pages)
     return out.select(F.col("client").cast("long").alias("id"), "institute", F.col("date").alias("day"), "respondents", "timeframe", F.get("results", F.lit(0))["value"].alias("spd"), "state")
+
+
+@query("""SELECT o_orderkey AS id, CAST(c_nationkey AS INT) AS state, c_mktsegment AS scope, 'p' || CAST(c_nationkey % 3 AS VARCHAR) AS provider, c_mktsegment AS survey_type,
+  CASE WHEN c_nationkey % 2 = 0 THEN coalesce(CASE WHEN o_orderkey % 4 <> 0 THEN o_orderpriority END, c_name) WHEN c_custkey IS NOT NULL THEN c_name END AS institute
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 5 <> 0""")
+def a4_source_catalogue(spark, d):
+    nation = F.col("c_nationkey")
+    catalogue = table(spark, d, "customer").filter("c_custkey % 5 <> 0").select(
+        F.col("c_custkey").alias("worker"), nation.cast("int").alias("state"), F.col("c_mktsegment").alias("scope"), F.col("c_name").alias("institute"),
+        F.concat(F.lit("p"), (nation % 3).cast("string")).alias("provider"), F.col("c_mktsegment").alias("survey_type"), (nation % 2 == 0).alias("own_institute"),
+    )
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("worker"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority")).alias("institute"))
+    return I.enrich_by_worker(rows, catalogue).drop("worker")

@@ -91,6 +91,19 @@ def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     return src.mapInArrow(run, "page_id long, row int, fields map<string,string>, parties map<string,string>")
 
 
+def enrich_by_worker(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """A4: the catalogue's state, scope, institute, provider and survey_type beside each row, by worker.
+
+    catalogue has one row per worker and own_institute, true for state pages: there the row's
+    institute counts if it isn't null.  Rows of an unknown or null worker get nulls.
+    """
+    c = catalogue.select(F.col("worker").alias("__worker"), *[F.col(x).alias(f"__{x}") for x in ("state", "scope", "institute", "provider", "survey_type", "own_institute")])
+    institute = F.when(F.col("__own_institute"), F.coalesce("institute", "__institute")).otherwise(F.col("__institute"))
+    out = rows.join(c, F.col("worker") == F.col("__worker"), "left").withColumn("institute", institute)
+    given = [x for x in rows.columns if x not in ("state", "scope", "provider", "survey_type")]
+    return out.select(*given, *[F.col(f"__{x}").alias(x) for x in ("state", "scope", "provider", "survey_type")])
+
+
 def flatten_dump(dumps: DataFrame, column: str) -> DataFrame:
     """A5: a row for each entry of the ``Surveys`` map of a JSON dump; results that are no numbers are dropped."""
     kind = "Surveys map<string, struct<Date:string, Method_ID:string, Institute_ID:string, Results:map<string,string>>>"

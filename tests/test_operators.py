@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row, functions as F
 
 from surveyloom.functions import survey as S
-from surveyloom.operators import match as M, select as P, validate as V, views as H
+from surveyloom.operators import dedupe, match as M, select as P, validate as V, views as H
 from surveyloom.sources import imports as I, span_tables as T
 from surveyloom.streaming.ingest import ingest_new
 
@@ -120,3 +120,21 @@ def test_span_tables(spark):
         ("BW", "B", "02.06.2024", "600 T", "", [("CDU", "21")]),
     ]
     assert T.spanned_tables(pages.limit(0)).count() == T.grouped_tables(pages.filter("page_id > 1")).count() == 0
+
+
+def test_run_modes(spark, tmp_path):
+    raw, polls = spark.createDataFrame([(1,), (2,), (3,)], "id long"), spark.createDataFrame([(1,)], "raw_id long")
+    ids = lambda mode, limit=None: [[r[0] for r in x.collect()] for x in dedupe.select_run(raw, polls, raw.filter("id = 2"), mode, limit)]
+    assert (ids("incremental"), ids("reprocess", 2), ids("rebuild", 0)) == ([[3], [1]], [[1, 2], [1]], [[1, 2, 3], []])
+    with pytest.raises(ValueError):
+        dedupe.select_run(raw, polls, raw, "other")
+    version = str(tmp_path / "v1")
+    assert dedupe.finish_run(raw, version, dry_run=True) == 3 and not (tmp_path / "v1").exists()
+    assert dedupe.finish_run(raw, version) == 3 == spark.read.parquet(version).count()
+
+
+def test_source_catalogue(spark):
+    catalogue = spark.createDataFrame([("a", "BB", "L", "X", "P", "T", True), ("b", "BUND", "B", "Y", "P", "T", False)], "worker string, state string, scope string, institute string, provider string, survey_type string, own_institute boolean")
+    rows = spark.createDataFrame([(1, "a", "Own", "old"), (2, "a", None, "old"), (3, "b", "Own", "old"), (4, None, "Own", "old")], "id int, worker string, institute string, state string")
+    got = {r["id"]: (r["institute"], r["state"]) for r in I.enrich_by_worker(rows, catalogue).collect()}
+    assert got == {1: ("Own", "BB"), 2: ("X", "BB"), 3: ("Y", "BUND"), 4: (None, None)}
