@@ -37,10 +37,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     odd = stored(_collisions(rows, texts, partitions(docs)), "collisions")
     # No pair of texts with equal MD5 and length is expected; where one occurs its rows are grouped by their bytes.
     odd_groups = odd.groupBy("digest", "norm").agg(F.min("doc_id").alias("own_keep"), F.count("*").alias("own_size"))
-    odd_rows = odd.join(odd_groups, ["digest", "norm"]).select("doc_id", F.col("digest").alias("odd_digest"), "own_keep", "own_size").distinct()
+    # By id and text: a row that shares its id with an odd one, but not its text, is none itself.
+    odd_rows = odd.join(odd_groups, ["digest", "norm"]).select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "own_keep", "own_size").distinct()
     lost = odd.groupBy("digest").agg(F.count("*").alias("lost"))
     out = (
-        rows.join(odd_rows.hint("shuffle_hash"), ["doc_id"], "left")
+        rows.join(odd_rows.hint("shuffle_hash"), ["doc_id", "text_sha256"], "left")
         .join(lost.select(F.col("digest").alias("lost_digest"), "lost").hint("shuffle_hash"), F.col("digest") == F.col("lost_digest"), "left")
         .select(
             "doc_id",
@@ -56,7 +57,8 @@ def _collisions(rows: DataFrame, texts: DataFrame, n: int) -> DataFrame:
     """(doc_id, digest, norm) of the rows whose bytes differ from their keeper's."""
     dealt = texts.repartition(n, "doc_id")
     members = rows.filter((F.col("group_size") > 1) & (F.col("doc_id") != F.col("keep_id"))).select("doc_id", "digest", "keep_id", F.ceil(F.col("group_size") / MEMBERS_PER_SALT).alias("salts"))
-    left = dealt.join(members, "doc_id").select("doc_id", "digest", "keep_id", "norm", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
+    # Of rows that share an id only those with the member's text; as a condition, not a key, so that no text is hashed that joins nothing.
+    left = dealt.join(members, "doc_id").filter(F.when(F.unhex(F.md5("norm")) == F.col("digest"), True).otherwise(False)).select("doc_id", "digest", "keep_id", "norm", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
     keepers = members.groupBy("keep_id", "digest").agg(F.max("salts").alias("salts")).withColumnRenamed("keep_id", "doc_id")
     right = dealt.join(keepers, "doc_id").select(F.col("doc_id").alias("keep_id"), "digest", F.col("norm").alias("keeper"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
     same = F.col("norm") == F.col("keeper")
@@ -66,12 +68,14 @@ def _collisions(rows: DataFrame, texts: DataFrame, n: int) -> DataFrame:
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that stay: one per distinct normalised text (of rows that repeat id and text, one)."""
-    keep = exact_groups(docs, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__keep")).distinct()
-    known = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("__keep"), "left_semi").dropDuplicates([id_col])
+    sha = F.sha2(normalised(text_col), 256)
+    # By id and text: an id on several texts stays with those of which it is the keeper.
+    keep = exact_groups(docs, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__kept_sha")).distinct()
+    known = docs.filter(F.col(id_col).isNotNull()).withColumn("__sha", sha)
+    known = known.join(keep, (F.col(id_col) == F.col("__keep")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi").dropDuplicates([id_col, "__sha"]).select(*docs.columns)
     without_id = docs.filter(F.col(id_col).isNull())
     if without_id.isEmpty():
         return known
-    digest = F.md5(normalised(text_col))
-    unknown = without_id.withColumn("__digest", digest).dropDuplicates(["__digest"])
-    unknown = unknown.join(docs.filter(F.col(id_col).isNotNull()).select(digest.alias("__digest")).distinct(), "__digest", "left_anti")
+    unknown = without_id.withColumn("__sha", sha).dropDuplicates(["__sha"])
+    unknown = unknown.join(docs.filter(F.col(id_col).isNotNull()).select(sha.alias("__sha")).distinct(), "__sha", "left_anti")
     return known.unionByName(unknown.select(*docs.columns))

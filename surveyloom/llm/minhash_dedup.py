@@ -232,6 +232,19 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def drop_near(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, that stay: of each group of near-duplicates the one with the smallest id (of rows that repeat an id, one)."""
-    gone = near_duplicates(docs, k, percent, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti").dropDuplicates([id_col])
+    """The rows of docs, all columns, that stay: of each group of near-duplicates the one with the smallest id.
+
+    Rows without id all stay.  Rows that repeat an id and a text are one row; an id on several
+    texts is as many documents, the one with the smallest digest first.
+    """
+    known = docs.filter(F.col(id_col).isNotNull())
+    if known.groupBy(id_col).count().filter("count > 1").isEmpty():
+        gone = near_duplicates(docs, k, percent, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone"))
+        return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    rows = known.withColumn("__digest", F.md5(whole(text_col))).dropDuplicates([id_col, "__digest"])
+    rows = stored(rows.withColumn("__vertex", F.monotonically_increasing_id()), "vertices")
+    of = near_duplicates(rows, k, percent, "__vertex", text_col).select(F.col("doc_id").alias("__vertex"), "component_id")
+    first = rows.select("__vertex", F.struct(F.col(id_col).alias("id"), "__digest").alias("first")).join(of, "__vertex").groupBy("component_id").agg(F.min("first").alias("first"))
+    keep = first.select(F.col("first.id").alias("__keep"), F.col("first.__digest").alias("__kept_digest"))
+    stay = rows.join(keep, (F.col(id_col) == F.col("__keep")) & (F.col("__digest") == F.col("__kept_digest")), "left_semi")
+    return stay.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -108,7 +108,17 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repea
 
 
 def apply_mix(docs: DataFrame, **kwargs) -> DataFrame:
-    """The rows of docs, all columns, each repeated as often as the mix takes it (rows that repeat an id are first reduced to one)."""
-    copies = mix_sources(docs, **kwargs).filter("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    id_col = kwargs.get("id_col", "doc_id")
-    return docs.join(copies, F.col(id_col).eqNullSafe(F.col("__id"))).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*[docs[c] for c in docs.columns])
+    """The rows of docs, all columns, each repeated as often as the mix takes it.
+
+    Copies are drawn and joined by row, not by id: rows without id, or that repeat one, take
+    their own.  Rows that are equal in all columns are one row with the copies of all.
+    """
+    id_col, text_col = kwargs.pop("id_col", "doc_id"), kwargs.get("text_col", "text")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    key = F.struct(F.col(id_col).alias("id"), F.unhex(F.md5(whole(text_col))).alias("digest"), F.xxhash64(F.col(text_col).isNull(), *others).alias("others"))
+    keyed = docs.withColumn("__row", key)
+    copies = mix_sources(keyed, id_col="__row", **kwargs).groupBy(F.col("doc_id").alias("__id")).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__n"))
+    copies = stored(copies.filter("__copies > 0"), "mix-copies")
+    if not copies.filter("__n > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["__row"])
+    return keyed.join(copies, F.col("__row") == F.col("__id")).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)

@@ -105,6 +105,33 @@ def test_exact(odd):
     assert sorted(r["doc_id"] or 0 for r in exact_dedup.drop_exact(odd).collect()) == [0, 1, 3, 5, 6, 7, 8, 9, 11]
 
 
+def test_rows_not_ids(spark):
+    """Two rows without id, and one id on two texts: the decision is made by row."""
+    x, y, n, m = (" ".join(f"{c}{i}" for i in range(40)) for c in "xynm")
+    rows = [(1, x, "a"), (2, y, "a"), (2, x, "b"), (None, n, "a"), (None, m, "a"), (None, n, "a"), (3, n + "!", "a"), (3, y, "a")]
+    schema = "doc_id long, text string, source string"
+    for turn in (rows, rows[::-1]):
+        frame = spark.createDataFrame(turn, schema)
+        got = {(r["doc_id"], r["text"]): r for r in exact_dedup.exact_groups(frame).join(frame.select("text", F.sha2("text", 256).alias("text_sha256")).distinct(), "text_sha256").collect()}
+        assert {k: (v["keep_id"], v["group_size"], v["kept"]) for k, v in got.items() if k[0]} == {(1, x): (1, 2, True), (2, x): (1, 2, False), (2, y): (2, 2, True), (3, y): (2, 2, False), (3, n + "!"): (3, 1, True)}
+        exact = exact_dedup.drop_exact(frame)
+        assert sorted(tuple(r) for r in exact.collect() if r["doc_id"]) == [(1, x, "a"), (2, y, "a"), (3, n + "!", "a")]
+        assert sorted(r["text"] for r in exact.collect() if r["doc_id"] is None) == [m, n]
+        near = minhash_dedup.drop_near(spark.createDataFrame([*turn, (2, y, "c"), (4, y + " end", "a")], schema))
+        assert sorted((r["doc_id"] or 0, r["text"]) for r in near.collect()) == [(0, m), (0, n), (0, n), (1, x), (2, y), (3, n + "!")]
+
+
+def test_apply_mix_rows(spark):
+    """Copies are those that the mix gives to rows: the words of a source meet their target."""
+    rows = [(None if i % 2 else i // 8, " ".join(["w"] * (i % 7 + 1)) + f" t{i}", "ab"[i % 3 == 0]) for i in range(400)] + [(7, "again and again", "a")] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    targets = {r["source"]: r["target"] for r in mixing.mix_sources(frame).select("source", "target").distinct().collect()}
+    taken = collections.Counter()
+    for r in mixing.apply_mix(frame).collect():
+        taken[r["source"]] += len(r["text"].split())
+    assert all(abs(taken[s] - t) <= 8 for s, t in targets.items())
+
+
 def test_mixing(spark, docs, odd):
     rows = mixing.mix_sources(docs).collect()
     assert rows == rows and len(rows) == docs.count()
