@@ -9,9 +9,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import stored
+
 #: Rules (host, path, verdict).
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate", "suffix_count"]
+#: Suffix tables of at most so many rows are broadcast; larger ones are joined by shuffle.
+BROADCAST_SUFFIXES = 10_000
 
 
 def with_parts(urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -54,14 +58,19 @@ def with_features(urls: DataFrame) -> DataFrame:
     )
 
 
+def suffix_counts(rows: DataFrame) -> DataFrame:
+    """(suffix, n, labelled, bad) of all rows: each suffix with its rows, those that a rule labels and those that one blocks."""
+    return rows.groupBy("suffix").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad"))
+
+
 def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]] = RULES, max_train: int = 20_000, trees: int = 10, depth: int = 4, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: (page_id, host, path, rule, verdict, block_score).
 
     The longest fitting rule decides; elsewhere boosted trees over lexical features do.
     They learn from the urls that rules label, at most ``max_train`` of them, first by a hash
-    of the url.  Suffix statistics (share of blocked urls and count by the host's last label)
-    come from that sample too, so their table is as bounded.  With labels of one kind, that
-    kind is the verdict; without labels it is allow.
+    of the url.  Suffix statistics by the host's last label cover the whole table: the count
+    of all rows, and the share of blocked ones among all that rules label.  If the sample has
+    labels of one kind, that kind is the verdict; without labels it is allow.
 
     Null urls and those without ``://`` have an empty host and path, fit no rule and are
     judged by the trees.  Rows that repeat are judged each.  An empty table gives an empty
@@ -69,20 +78,21 @@ def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]] = RULES, max_t
     """
     src = urls.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     rows = with_features(by_rules(with_parts(src), rules))
-    labelled = rows.filter("rule_verdict is not null").withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
-    sample = labelled.orderBy(F.xxhash64("url"), "page_id").limit(max_train).cache()
+    rows = rows.withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
+    sample = rows.filter("label is not null").orderBy(F.xxhash64("url"), "page_id").limit(max_train).cache()
     try:
-        kinds = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+        kinds = {r["label"] for r in sample.select("label").distinct().collect()}
         if len(kinds) < 2:
             score = F.lit(1.0 if 1.0 in kinds else 0.0)
             judged = rows.withColumn("block_score", score)
         else:
-            rate = kinds[1.0] / sum(kinds.values())
-            suffixes = [(r["suffix"], (r["bad"] + 10 * rate) / (r["n"] + 10), float(r["n"])) for r in sample.groupBy("suffix").agg(F.sum("label").alias("bad"), F.count("*").alias("n")).collect()]
-            table = urls.sparkSession.createDataFrame(suffixes, "suffix string, suffix_rate double, suffix_count double")
+            suffixes = stored(suffix_counts(rows), "suffixes")
+            n_suffixes, n_labelled, n_bad = suffixes.agg(F.count("*"), F.sum("labelled"), F.sum("bad")).first()
+            rate = n_bad / n_labelled
+            table = suffixes.select("suffix", ((F.col("bad") + 10 * rate) / (F.col("labelled") + 10)).alias("suffix_rate"), F.col("n").cast("double").alias("suffix_count"))
 
             def complete(df: DataFrame) -> DataFrame:
-                return df.join(F.broadcast(table), "suffix", "left").fillna({"suffix_rate": rate, "suffix_count": 0.0})
+                return df.join(F.broadcast(table) if n_suffixes <= BROADCAST_SUFFIXES else table, "suffix")
 
             assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
             model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, maxBins=64).fit(assembler.transform(complete(sample)).select("features", "label"))

@@ -245,6 +245,24 @@ def test_urls(spark):
 
 
 
+def test_url_suffixes(spark, monkeypatch):
+    """Suffix statistics cover all rows, whatever the sample holds, and whether rules label them or not."""
+    seen = []
+    monkeypatch.setattr(url_filter.VectorAssembler, "transform", lambda self, df: (seen.append(df), assemble(self, df))[1])
+    rows = [(i, f"http://h{i}.net/{'es' if i % 4 == 0 else 'en' if i % 4 == 1 else 'de'}/") for i in range(80)] + [(100 + i, f"http://h{i}.com/x") for i in range(40)] + [(200 + i, f"http://h{i}.org/x") for i in range(54)]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    for limit in (10_000, 0):
+        monkeypatch.setattr(url_filter, "BROADCAST_SUFFIXES", limit, raising=False)
+        assert url_filter.judge_urls(frame, max_train=30).count() == len(rows)
+        # 20 of 60 labelled rows are blocked, all of them of net.
+        got = {r["suffix"]: (r["suffix_count"], round(r["suffix_rate"], 9)) for r in seen[-1].select("suffix", "suffix_count", "suffix_rate").distinct().collect()}
+        assert got == {"net": (80, round((20 + 10 / 3) / 30, 9)), "com": (40, round(10 / 3 / 50, 9)), "org": (54, round(1 / 3, 9))}
+        assert seen[-2].count() == 30
+
+
+assemble = url_filter.VectorAssembler.transform
+
+
 def test_winnowing(spark, docs, texts, odd):
     got = {r["doc_id"]: r for r in winnowing.edited_likeness(docs).collect()}
     ids = sorted(texts, reverse=True)
