@@ -206,5 +206,5 @@ def public_election_name(c: Column) -> Column:
 
 
 def public_id(kind: str, c: Column) -> Column:
-    """R or C and eight digits."""
-    return F.concat(F.lit(kind), F.lpad(c.cast("string"), 8, "0"))
+    """R or C and at least eight digits; longer ids are not cut."""
+    return F.when(c.isNotNull(), F.format_string(f"{kind}%08d", c.cast("long")))

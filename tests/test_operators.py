@@ -23,6 +23,14 @@ def test_publish_date(spark, text, want):
     assert one(spark, S.publish_date(F.col("c")), c=text) == want
 
 
+def test_public_id(spark):
+    ids = [7, 12345678, 123456780, 123456789, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").select("id", S.public_id("C", F.col("id")).alias("x")).collect()
+    assert {r["id"]: r["x"] for r in rows} == {7: "C00000007", 12345678: "C12345678", 123456780: "C123456780", 123456789: "C123456789", None: None}
+    polls = spark.createDataFrame([(12345678,), (123456789,)], "id long").withColumn("raw_id", F.col("id"))
+    assert [r["id"] for r in H.lookup(polls, "C123456789").collect()] == [123456789]
+
+
 @pytest.mark.parametrize(("text", "pub", "want"), [("09.12.–13.12.", D(2024, 1, 1), (D(2023, 12, 9), D(2023, 12, 13))), ("30.12.–03.01.", D(2024, 1, 4), (D(2023, 12, 30), D(2024, 1, 3))), ("30.06.", D(2024, 7, 2), (D(2024, 6, 30), None)), ("bis 31.08.", D(2024, 9, 1), (None, None)), ("01.03.2024-05.03.2024", D(2024, 3, 9), (D(2024, 3, 1), D(2024, 3, 5)))])
 def test_survey_window(spark, text, pub, want):
     none = F.lit(None).cast("string")
