@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -12,17 +13,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Groups that are broadcast at most, and the rows below which none is hot; see join_groups().
+HOT_GROUPS, HOT_ROWS = 10_000, 100
+
 _own_scratch: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (local tests)."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if not _own_scratch:
-        _own_scratch.append(tempfile.mkdtemp(prefix="spark-scratch-"))
-    return "file://" + _own_scratch[0]
+    """The folder of this application's tables, in the one that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a folder of our own serves a local session; on a cluster it is an error,
+    as executors would write to disks that the others don't see.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if not _own_scratch:
+            _own_scratch.append(tempfile.mkdtemp(prefix="spark-scratch-"))
+        root = "file://" + _own_scratch[0]
+    return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -32,6 +42,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all tables that this application has stored, by writing an empty one in their place.  Results must have been written before."""
+    spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(scratch_root(spark))
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) to groups, which has one row for each key and in ``size`` the number of rows with it.
+
+    A shuffle would send all rows of a key to one task.  Keys of more than total / HOT_GROUPS
+    rows are at most HOT_GROUPS many, whatever the table's size: their groups are broadcast,
+    and only rows of smaller groups are shuffled.
+    """
+    hot = F.col(size) > max(HOT_ROWS, total // HOT_GROUPS)
+    large = groups.filter(hot)
+    cold = rows.join(F.broadcast(large.select(*keys)), keys, "left_anti").join(groups.filter(~hot), keys, how)
+    return rows.join(F.broadcast(large), keys).unionByName(cold)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the tables under df: for those read from files, the bytes of the files.  Where Spark knows no size, texts are measured."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -4,32 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import join_groups, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, n_edges: int, large: bool) -> DataFrame:
     """Hang the neighbours of each vertex on the least vertex around it: the greater ones (large star), or the smaller ones and the vertex itself (small star)."""
+    around = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))  # a < b
     if large:
-        around = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    else:
-        around = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))  # a < b
-    least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = around.join(least, "u")
-    if large:
-        pairs = joined.filter(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
-    else:
-        pairs = joined.filter(F.col("v") != F.col("m")).select(F.col("m").alias("a"), F.col("v").alias("b")).unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
-    return pairs.filter(F.col("a") < F.col("b")).distinct()
+        around = around.unionByName(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree"))
+    joined = join_groups(around, least, ["u"], "degree", 2 * n_edges)  # a vertex of many edges isn't gathered in one task
+    pairs = joined.filter(F.col("v") > F.col("u") if large else F.col("v") != F.col("m")).select(F.col("m").alias("a"), F.col("v").alias("b"))
+    if not large:
+        pairs = pairs.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
+    return stored(pairs.filter(F.col("a") < F.col("b")).distinct(), "stars")
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): for each id on an edge (a, b) the least id reachable.  Loops and repeated edges are ignored; no edges give no rows."""
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(F.col("a") < F.col("b")).distinct(), "edges")
-    seen = None
-    while True:
-        edges = stored(_star(_star(edges, True), False), "stars")
+    now = seen = (edges.count(), None)
+    while now[0]:
+        edges = _star(_star(edges, now[0], True), now[0], False)
         now = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
-        if now == seen or now[0] == 0:
+        if now == seen:
             break
         seen = now
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())

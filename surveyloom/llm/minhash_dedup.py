@@ -2,19 +2,21 @@
 
 A tree of the forest sorts all documents by its own order of signature values.  Documents
 that share a prefix form a region; a region of many documents is divided at greater depth,
-and neighbours by longest common prefix are candidates first.  What those leave apart, but
-the signatures don't rule out, is compared in a second round, so a group of thousands of
-copies costs links in proportion to its size and still loses none.
+then dealt out in blocks, and in a block neighbours by longest common prefix are candidates,
+as are the blocks' first documents among themselves.  What that leaves in different
+components, but the signatures don't rule out, is compared in a second round, in which
+members of one component don't meet again.  So a group of copies costs work in proportion to
+its size, and no link is lost.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import wordhash
-from .common import sliced, stored, whole
+from .common import join_groups, sliced, stored, whole
 from .components import components
 
 TREES = 24
@@ -22,8 +24,12 @@ TREES = 24
 DEPTH = 3
 #: Signature values: TREES * DEPTH for the forest, the rest only for estimates.
 HASHES = 768
-#: Documents of a region compared in one task; larger regions are cut into blocks, and pairs of blocks.
+#: Documents of a region that are compared together; larger regions are cut into blocks.
 BLOCK = 1024
+#: Rows that one task compares at a time: many small regions, or a few blocks.
+BUCKET = 4096
+#: Pairs whose signatures are compared at a time.
+PAIRS = 8192
 #: Bytes of text that one task holds as numpy arrays at a time.
 CHUNK = 2 << 20
 
@@ -78,70 +84,88 @@ def _opened(sketches: list[bytes]):
     return np.ascontiguousarray(raw[:, : 4 * _FOREST]).view(np.uint32), raw[:, 4 * _FOREST :]
 
 
-def _candidates(threshold: float, floor: float, every_pair: bool):
-    """Pairs of one region (or of two of its blocks) that sizes and signatures do not rule out.
+def _alike(size, forest, rest, i, j, threshold: float, floor: float):
+    """Those of the pairs i, j that sizes and signatures do not rule out."""
+    small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+    ok = small >= threshold * large
+    i, j = i[ok], j[ok]
+    keep = np.zeros(len(i), dtype=bool)
+    for a in range(0, len(i), PAIRS):
+        x, y = i[a : a + PAIRS], j[a : a + PAIRS]
+        keep[a : a + PAIRS] = (forest[x] == forest[y]).sum(axis=1) + (rest[x] == rest[y]).sum(axis=1) >= floor * HASHES
+    return i[keep], j[keep]
 
-    every_pair false: pairs of neighbours by longest common prefix, and of each document with the first one
-    that shares its prefix at the depth where at most 32 documents do.  True: all pairs of
-    different components, in blocks; only those in this region first, by tree.
-    """
 
-    def allowed(size, forest, rest, i, j):
-        small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-        ok = small >= threshold * large
-        i, j = i[ok], j[ok]
-        alike = ((forest[i] == forest[j]).sum(axis=1) + (rest[i] == rest[j]).sum(axis=1)) / HASHES
-        return i[alike >= floor], j[alike >= floor]
+def _pairs(ids, i, j) -> pa.Table:
+    return pa.table({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+
+
+def _neighbours(threshold: float, floor: float):
+    """Candidates of blocks of regions: neighbours by longest common prefix, and each document with the first one that shares its prefix at the depth where at most 32 documents do."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, size, comp = (table.column(c).to_numpy() for c in ("doc_id", "n_shingles", "component"))
+        ids, size, tree, group = (table.column(c).to_numpy() for c in ("doc_id", "n_shingles", "tree", "group"))
         forest, rest = _opened(table.column("sketch").to_pylist())
-        tree = table.column("tree")[0].as_py()
-        found_a, found_b = [], []
-        if every_pair:
-            block = table.column("block").to_numpy()
-            ends = np.unique(block)
-            left = np.flatnonzero(block == ends[0])
-            right = np.flatnonzero(block == ends[-1])
-            for i in left:
-                js = right if len(ends) > 1 else right[ids[right] > ids[i]]
-                js = js[comp[js] != comp[i]]
-                if len(js):
-                    a, b = allowed(size, forest, rest, np.full(len(js), i), js)
-                    if len(b):
-                        shared = (forest[a] == forest[b]).reshape(len(a), TREES, DEPTH).all(axis=2)
-                        first = shared.argmax(axis=1) == tree
-                        found_a.append(ids[a[first]])
-                        found_b.append(ids[b[first]])
-        else:
-            turned = np.roll(forest, -(tree + 1) * DEPTH, axis=1)
-            order = np.lexsort((ids, *[turned[:, c] for c in range(5, -1, -1)]))
-            turned = turned[order]
-            equal = np.cumprod(turned[1:, :6] == turned[:-1, :6], axis=1).sum(axis=1)  # common prefix of neighbours, beyond the region's
-            i, j = [order[:-1]], [order[1:]]
-            start = np.zeros(len(order), dtype=np.int64)
-            open_rows = np.ones(len(order), dtype=bool)
-            for depth in range(7):
-                new = np.concatenate([[True], equal < depth])
-                at = np.flatnonzero(new)
-                group = np.cumsum(new) - 1
-                here = open_rows & ((np.diff(np.append(at, len(order)))[group] <= 32) | (depth == 6))
-                start[here] = at[group[here]]
-                open_rows &= ~here
-            i.append(order[start])
-            j.append(order)
-            i, j = np.concatenate(i), np.concatenate(j)
-            i, j = i[i != j], j[i != j]
-            a, b = allowed(size, forest, rest, i, j)
-            found_a.append(ids[a])
-            found_b.append(ids[b])
-        a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-        b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        # The six values after those that the region shares, in the tree's order.
+        after = np.take_along_axis(forest, ((tree[:, None] + 1) * DEPTH + np.arange(6)) % _FOREST, axis=1)
+        order = np.lexsort((ids, *[after[:, c] for c in range(5, -1, -1)], group))
+        after, group = after[order], group[order]
+        prefix = np.cumprod(after[1:] == after[:-1], axis=1).sum(axis=1)
+        prefix[group[1:] != group[:-1]] = -1
+        start = np.zeros(len(order), dtype=np.int64)
+        open_rows = np.ones(len(order), dtype=bool)
+        for depth in range(7):
+            new = np.concatenate([[True], prefix < depth])
+            at = np.flatnonzero(new)
+            part = np.cumsum(new) - 1
+            here = open_rows & ((np.diff(np.append(at, len(order)))[part] <= 32) | (depth == 6))
+            start[here] = at[part[here]]
+            open_rows &= ~here
+        near = prefix >= 0
+        i, j = np.concatenate([order[:-1][near], order[start]]), np.concatenate([order[1:][near], order])
+        apart = i != j
+        return _pairs(ids, *_alike(size, forest, rest, i[apart], j[apart], threshold, floor))
 
     return run
 
 
+def _strangers(threshold: float, floor: float):
+    """Candidates among documents of different components that meet in a pair of blocks, or in one; a pair that several trees hold counts for the first."""
+
+    def run(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("group").to_numpy(), kind="stable")
+        ids, size, tree, group, comp, block, within = (table.column(c).to_numpy()[order] for c in ("doc_id", "n_shingles", "tree", "group", "component", "block", "within"))
+        forest, rest = _opened([table.column("sketch")[int(k)].as_py() for k in order])
+        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for d in range(1, int(np.diff(np.append(edges, len(group))).max())):
+            meet = (group[d:] == group[:-d]) & (comp[d:] != comp[:-d]) & (within[d:] | (block[d:] != block[:-d]))
+            i = np.flatnonzero(meet)
+            i, j = _alike(size, forest, rest, i, i + d, threshold, floor)
+            if len(i):
+                shared = (forest[i] == forest[j]).reshape(len(i), TREES, DEPTH).all(axis=2)
+                first = shared.argmax(axis=1) == tree[i]
+                found_i.append(i[first])
+                found_j.append(j[first])
+        return _pairs(ids, np.concatenate(found_i), np.concatenate(found_j))
+
+    return run
+
+
+def _compared(rows: DataFrame, sketches: DataFrame, n: int, by: list[str], run) -> DataFrame:
+    """Pairs that ``run`` finds in the groups of rows, which come to a task with others of a bucket."""
+    group = F.xxhash64(*by)
+    rest = [c for c in ("component", "block", "within") if c in rows.columns]
+    dealt = rows.select("doc_id", "tree", *rest, group.alias("group")).withColumn("bucket", F.pmod("group", F.lit(max(1, -(-n // BUCKET)))))
+    return dealt.join(sketches, "doc_id").groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+
+
+def _dealt(rows: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows with ``sub``: groups of more than BLOCK rows are dealt out by hash in blocks of about BLOCK."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK)
+    return join_groups(rows, sizes, keys, "size", total, "left").withColumn("sub", F.pmod(F.xxhash64("doc_id"), F.ceil(F.coalesce("size", F.lit(1)) / BLOCK))).drop("size")
+
+
 def _sets(k: int):
     def run(batches):
         for batch in sliced(batches):
@@ -166,6 +190,87 @@ def _verified(percent: int):
     return run
 
 
+def _first_round(regions: DataFrame, sketches: DataFrame, n: int, threshold: float, floor: float) -> DataFrame:
+    """Candidate pairs of neighbours.  A region of more than BLOCK documents is cut by its next values (greater depth), parts that are still large by hash; the first document of each block stands for it among those of its region, again in blocks."""
+    columns = ["tree", "key", "level", "part", "sub", "doc_id"]
+    cut = regions.withColumn("part", F.when(F.col("members") > BLOCK, F.col("deep")).otherwise(0)).withColumn("level", F.lit(0))
+    cut = stored(_dealt(cut, ["tree", "key", "part"], n).select(*columns, "members"), "blocks")
+    blocks = cut.select(*columns)
+    heads = cut.filter(F.col("members") > BLOCK).groupBy("tree", "key", "part", "sub").agg(F.min("doc_id").alias("doc_id"))
+    level = 1
+    while True:
+        heads = stored(heads.select("tree", "key", F.lit(level).alias("level"), F.lit(0).cast("long").alias("part"), "doc_id"), "heads")
+        dealt = _dealt(heads, ["tree", "key"], n).select(*columns)
+        blocks = blocks.unionByName(dealt)
+        if dealt.filter("sub > 0").isEmpty():  # all heads of a region are in one block
+            break
+        heads = dealt.groupBy("tree", "key", "sub").agg(F.min("doc_id").alias("doc_id"))
+        level += 1
+    return _compared(blocks, sketches, n, ["tree", "key", "level", "part", "sub"], _neighbours(threshold, floor))
+
+
+def _second_round(regions: DataFrame, of: DataFrame, sketches: DataFrame, n: int, threshold: float, floor: float) -> DataFrame:
+    """Candidate pairs of regions that still hold different components.
+
+    A component of more than BLOCK documents in a region has blocks of its own, which don't
+    meet each other; the others share blocks, each component whole in one.
+    """
+    at, region = ["tree", "key", "component"], ["tree", "key"]
+    labelled = stored(regions.join(of.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("tree", "key", "doc_id", "members", F.coalesce("component", "doc_id").alias("component")), "labelled")
+    per = labelled.groupBy(*at).agg(F.count("*").alias("size"))
+    own = F.col("size") > BLOCK
+    totals = per.groupBy(*region).agg(F.count("*").alias("n_components"), F.sum("size").alias("in_region"), F.sum(F.when(~own, F.col("size")).otherwise(0)).alias("in_small"), F.count_if(own).alias("n_large"))
+    totals = stored(totals.filter("n_components > 1").drop("n_components"), "open-regions")
+    rows = join_groups(labelled, totals.select("tree", "key", "in_region", "in_small"), region, "in_region", n)
+    rows = join_groups(rows, per.filter(own), at, "size", n, "left")
+
+    def block(own: Column, number: Column) -> Column:
+        return F.xxhash64(F.when(own, F.col("component")).otherwise(-1), number)
+
+    number = F.when(F.col("size").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))).otherwise(F.pmod(F.xxhash64("component"), F.greatest(F.ceil(F.col("in_small") / BLOCK), F.lit(1))))
+    rows = rows.select("tree", "key", "doc_id", "component", block(F.col("size").isNotNull(), number).alias("block"))
+
+    numbers = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / BLOCK) - 1))
+    small = totals.filter("in_small > 0").select(*region, numbers("in_small").alias("number")).select(*region, F.xxhash64(F.lit(-1).cast("long"), "number").alias("block"))
+    large = per.filter(own).join(totals.select(*region, "n_large"), region).select(*at, "n_large", numbers("size").alias("number")).select(*at, "n_large", F.xxhash64("component", "number").alias("block"))
+    x, y = (small.select(*region, F.col("block").alias(c)) for c in ("lo", "hi"))
+    meetings = x.join(y, region).filter("lo <= hi").unionByName(x.join(large.select(*region, F.col("block").alias("hi")), region))
+    several = large.filter("n_large > 1")
+    meetings = meetings.unionByName(several.select(*region, F.col("block").alias("lo"), F.col("component").alias("c")).join(several.select(*region, F.col("block").alias("hi"), "component"), region).filter("c < component").select(*region, "lo", "hi"))
+    sides = meetings.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    met = rows.join(sides, ["tree", "key", "block"]).withColumn("within", F.col("lo") == F.col("hi"))
+    met = stored(met, "strangers")
+    return _compared(met, sketches, met.count(), ["tree", "key", "lo", "hi"], _strangers(threshold, floor))
+
+
+def _links(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and n_shingles of every row, links (a, b) between rows). src: (doc_id long, text), each id at most once but null."""
+    schema = "doc_id long, n_shingles long, digest_a long, digest_b long, keys array<long>, deeper array<long>, sketch binary"
+    signed = stored(src.mapInArrow(_signatures(k), schema), "signatures")
+
+    # Equal sets are one vertex from here on.
+    whole_sets = signed.filter("doc_id is not null and n_shingles > 0")
+    digest = ["digest_a", "digest_b", "n_shingles"]
+    same = stored(whole_sets.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets-once")
+    reps = whole_sets.select("doc_id", "keys", "deeper").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    n = TREES * same.count()
+
+    tree = reps.select("doc_id", F.posexplode(F.arrays_zip("keys", "deeper")).alias("tree", "x")).select("tree", F.col("x.keys").alias("key"), F.col("x.deeper").alias("deep"), "doc_id")
+    shared = stored(tree.groupBy("tree", "key").agg(F.count("*").alias("members")).filter("members > 1"), "shared")
+    regions = stored(join_groups(tree, shared, ["tree", "key"], "members", n), "regions")
+    n = regions.count()
+    sketches = signed.select("doc_id", "n_shingles", "sketch")
+    threshold, floor = percent / 100, estimate_floor(percent / 100)
+
+    pairs = stored(_first_round(regions, sketches, n, threshold, floor), "neighbours")
+    # Only documents of regions can be in a pair: their sets are made once, for both rounds.
+    sets = stored(src.join(regions.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sets(k), "doc_id long, shingles binary"), "sets")
+    links = stored(_confirm(pairs, sets, percent), "links")
+    more = stored(_second_round(regions, components(links), sketches, n, threshold, floor).join(pairs, ["a", "b"], "left_anti"), "rest")
+    twins = join_groups(whole_sets.select("doc_id", *digest), same.filter("copies > 1"), digest, "copies", signed.count()).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    return signed.select("doc_id", "n_shingles"), links.unionByName(_confirm(more, sets, percent)).unionByName(twins)
+
+
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (doc_id, n_shingles, component_id, kept).
 
@@ -176,51 +281,23 @@ def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str
 
     Null and wordless texts have an empty set and are linked with nothing.  Rows without id
     are not linked; they have a null component and are kept.  Rows that share an id are one
-    vertex, linked if the set of any is.  An empty table gives an empty result.
+    document, linked if the set of any is.  An empty table gives an empty result.  Ids are
+    cast to long.  Other columns are ignored, whatever their names.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
-    schema = "doc_id long, n_shingles long, digest_a long, digest_b long, keys array<long>, deeper array<long>, sketch binary"
-    signed = stored(src.mapInArrow(_signatures(k), schema), "signatures")
-
-    # Equal sets are one vertex from here on.
-    whole_sets = signed.filter("doc_id is not null and n_shingles > 0")
-    same = whole_sets.groupBy("digest_a", "digest_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    reps = whole_sets.join(same, ["digest_a", "digest_b", "n_shingles"]).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["doc_id"])
-
-    tree = reps.select("doc_id", F.posexplode("keys").alias("tree", "key"))
-    shared = tree.groupBy("tree", "key").agg(F.count("*").alias("members")).filter("members > 1")
-    regions = stored(tree.join(shared, ["tree", "key"]).select("tree", "key", "doc_id", "members"), "regions")
-    light = signed.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"])
-    floor = estimate_floor(percent / 100)
-
-    # Round 1: neighbours.  A region of more than BLOCK documents is cut by its next value: greater depth.
-    deeper = signed.select("doc_id", "deeper").dropDuplicates(["doc_id"])
-    cut = regions.join(deeper, "doc_id").withColumn("part", F.when(F.col("members") > BLOCK, F.get("deeper", F.col("tree"))).otherwise(0)).select("tree", "key", "part", "doc_id")
-    # Each part's first document stands for it among the parts of its region.
-    heads = cut.filter("part != 0").groupBy("tree", "key", "part").agg(F.min("doc_id").alias("doc_id")).withColumn("part", F.lit(0).cast("long")).select("tree", "key", "part", "doc_id")
-    first = cut.unionByName(heads).join(light, "doc_id").withColumn("component", F.col("doc_id"))
-    pairs = stored(first.groupBy("tree", "key", "part").applyInArrow(_candidates(percent / 100, floor, False), "a long, b long").distinct(), "neighbours")
-    texts = src.filter("doc_id is not null")
-    # Only documents of regions can be in a pair: their sets are made once, for both rounds.
-    sets = texts.join(regions.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(k), "doc_id long, shingles binary")
-    sets = stored(sets, "sets")
-    links = stored(_confirm(pairs, sets, percent), "links")
-    of = components(links)
-
-    # Round 2: whatever regions still hold of different components.
-    labelled = regions.join(of.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    open_regions = labelled.groupBy("tree", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("tree", "key")
-    rest = labelled.join(open_regions, ["tree", "key"])
-    n_blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("doc_id"), n_blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
-    rest = rest.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
-    more = rest.join(light, "doc_id").groupBy("tree", "key", "lo", "hi").applyInArrow(_candidates(percent / 100, floor, True), "a long, b long").distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"), "rest")
-    links = links.unionByName(_confirm(more, sets, percent))
-
-    twins = whole_sets.join(same, ["digest_a", "digest_b", "n_shingles"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    of = components(links.unionByName(twins))
-    out = signed.select("doc_id", "n_shingles").join(of.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    if src.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        signed, links = _links(src, k, percent)
+        of = components(links)
+        out = signed.join(of.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    else:
+        rows = stored(src.withColumn("vertex", F.monotonically_increasing_id()), "vertices")
+        signed, links = _links(rows.filter("doc_id is not null").select(F.col("vertex").alias("doc_id"), "text").unionByName(rows.filter("doc_id is null").select("doc_id", "text")), k, percent)
+        first = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("vertex").alias("a"))
+        of = components(links.unionByName(rows.select("doc_id", F.col("vertex").alias("b")).join(first, "doc_id").select("a", "b")))
+        named = rows.filter("doc_id is not null").select("doc_id", "vertex").join(of.withColumnRenamed("id", "vertex"), "vertex", "left").withColumn("component", F.coalesce("component", "vertex"))
+        least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
+        named = join_groups(named, least, ["component"], "size", named.count()).select("vertex", F.col("doc_id").alias("id"), "component_id")
+        out = signed.join(named, F.col("doc_id") == F.col("vertex"), "left").select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

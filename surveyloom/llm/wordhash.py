@@ -87,18 +87,14 @@ def shingle_sets(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     for i in range(k):
         grams = grams * _BASE + hashes[i : i + n]
     grams = mix(grams)
+    counts = np.diff(offsets)
+    whole = counts.astype(np.uint64)  # of texts shorter than k: their sequence, folded word by word
+    for i in range(k - 1):
+        more = (counts > i) & (counts < k)
+        whole[more] = mix(whole[more] * _BASE + hashes[offsets[:-1][more] + i])
     parts, sizes = [], np.zeros(len(texts) + 1, dtype=np.int64)
-    for i in range(len(texts)):
-        a, b = int(offsets[i]), int(offsets[i + 1])
-        if b - a >= k:
-            s = np.unique(grams[a : b - k + 1])
-        elif b > a:
-            x = np.uint64(b - a)
-            for h in hashes[a:b]:
-                x = mix(np.array([x * _BASE + h], dtype=np.uint64))[0]
-            s = np.array([x], dtype=np.uint64)
-        else:
-            continue
+    for i in np.flatnonzero(counts):
+        s = np.unique(grams[offsets[i] : offsets[i + 1] - k + 1]) if counts[i] >= k else whole[i : i + 1]
         parts.append(s)
         sizes[i + 1] = len(s)
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.cumsum(sizes)
