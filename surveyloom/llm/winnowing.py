@@ -2,44 +2,72 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import SPACE, buckets, whole
+from .common import buckets, stored, whole
+
+#: Bits of a gram value below its hash: its place counted from the end of any text that Spark can hold, so the least value of a window is the least hash and, among equal ones, the rightmost.
+PLACE_BITS = 31
+LAST_PLACE = (1 << PLACE_BITS) - 1
+HASH_BITS = 32
+#: Windows that are evaluated at a time, so that a very long text needs no array of its length.
+SEGMENT = 1 << 16
+#: Quantiles of the ids that the driver gets, and ranges of ids into which documents are dealt out at most; the table of ranges (a few bytes each) is broadcast.
+QUANTILES, RANGES = 1000, 200_000
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
-#: Low bits of a gram value hold its place counted from the end of the range, so the least value of a window is the least hash and, among equal ones, the rightmost.
-PLACE_BITS = 24
-PLACE_MASK = (1 << PLACE_BITS) - 1
 
+def _grams(data: Column, start: Column, k: int) -> Column:
+    """One long per k-byte gram of the binary (one for the whole of a shorter one): the hash above, the complement of the gram's place, start counted in, below."""
 
-def grams(text: Column, k: int) -> Column:
-    """One long per k-word gram of the lower-cased text: 39 hash bits above, the complement of the gram's place below."""
-    words = F.filter(F.split(F.lower(text), SPACE), lambda w: w != "")
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    def packed(i: Column) -> Column:
+        hashed = F.shiftrightunsigned(F.xxhash64(F.substring(data, i, F.lit(k))), 64 - HASH_BITS)
+        return F.shiftleft(hashed, PLACE_BITS).bitwiseOR(F.lit(LAST_PLACE + 1) - start - i)
 
-    def value(hashed: Column, i: Column) -> Column:
-        return F.shiftrightunsigned(hashed, PLACE_BITS + 1).bitwiseAND(F.lit((1 << 39) - 1))
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(data) - (k - 1), F.lit(1))), packed)
 
-    def packed(h: Column, i: Column) -> Column:
-        return F.shiftleft(value(h, i), PLACE_BITS).bitwiseOR(F.lit(PLACE_MASK) - F.pmod(i, F.lit(1 << PLACE_BITS)))
 
-    def of(hs: Column) -> Column:
-        n = F.size(hs)
-        every = F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), lambda i: packed(F.xxhash64(*[F.get(hs, i + j) for j in range(k)]), i.cast("long")))
-        return F.when(n == 0, F.array().cast("array<long>")).otherwise(every)
+def _wider(values: Column, places: list[int]) -> Column:
+    """The least of the values at the places after each one that has them all."""
+    return F.transform(F.sequence(F.lit(0), F.size(values) - 1 - places[-1]), lambda i: F.least(*[F.get(values, i + p) for p in places]))
 
-    # A let-binding: the word hashes are computed once and read by place.
-    return F.element_at(F.transform(F.array(hashes), of), 1)
 
+def _least(values: Column, window: int) -> Column:
+    """The least of each ``window`` consecutive values (of all, if they are fewer)."""
 
-def winnow(text: Column, k: int = 5, window: int = 8) -> Column:
+    def of(vs: Column) -> Column:
+        out, width = vs, 1
+        while width < window:  # of the least of ``width`` values up to four make that of wider windows
+            places = [min(j * width, window - width) for j in range(min(4, -(-window // width)))]
+            out, width = _let(out, lambda x: _wider(x, places)), width + places[-1]
+        return F.when(F.size(vs) <= window, F.array(F.array_min(vs))).otherwise(out)
+
+    return _let(values, of)
+
+
+def winnow(text: Column, k: int = 24, window: int = 16) -> Column:
     """Packed values of the winnowed grams in order of place; see unpack()."""
 
-    def of(gs: Column) -> Column:
-        n = F.size(gs)
-        least = F.transform(F.sequence(F.lit(1), F.greatest(n - window + 1, F.lit(1))), lambda i: F.array_min(F.slice(gs, i, window)))
-        return F.when(n == 0, gs).otherwise(F.array_distinct(least))
+    def of(data: Column) -> Column:
+        n_windows = F.greatest(F.octet_length(data) - (k + window - 2), F.lit(1))
+
+        def segment(s: Column) -> Column:
+            return F.array_distinct(_least(_grams(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), s, k), window))
 
-    return F.element_at(F.transform(F.array(grams(text, k)), of), 1)
+        starts = F.sequence(F.lit(0), n_windows - 1, F.lit(SEGMENT))
+        return F.when(F.octet_length(data) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(F.flatten(F.transform(starts, segment))))
+
+    return _let(F.encode(F.lower(text), "UTF-8"), of)
+
+
+def _place(x: Column) -> Column:
+    return F.lit(LAST_PLACE) - x.bitwiseAND(F.lit(LAST_PLACE))
 
 
 def hashes(packed: Column) -> Column:
@@ -49,12 +77,12 @@ def hashes(packed: Column) -> Column:
 
 def unpack(packed: Column) -> Column:
     """array<struct<pos, hash>> in order of place."""
-    return F.transform(packed, lambda x: F.struct((F.lit(PLACE_MASK) - x.bitwiseAND(F.lit(PLACE_MASK))).alias("pos"), F.shiftright(x, PLACE_BITS).alias("hash")))
+    return F.transform(packed, lambda x: F.struct(_place(x).alias("pos"), F.shiftright(x, PLACE_BITS).alias("hash")))
 
 
 def as_text(packed: Column) -> Column:
     """place:hash pairs in hexadecimal, joined by commas."""
-    return F.array_join(F.transform(packed, lambda x: F.concat(F.hex(F.lit(PLACE_MASK) - x.bitwiseAND(F.lit(PLACE_MASK))), F.lit(":"), F.hex(F.shiftright(x, PLACE_BITS)))), ",")
+    return F.array_join(F.transform(packed, lambda x: F.concat(F.hex(_place(x)), F.lit(":"), F.hex(F.shiftright(x, PLACE_BITS)))), ",")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -63,80 +91,90 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both / (F.size(a) + F.size(b) - both)).cast("double")
 
 
-def fingerprints(docs: DataFrame, k: int = 5, window: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = 24, window: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint array<struct<pos, hash>>) of every whole text.
 
-    Grams of k words (white space separates them, letters are lower-cased); the least gram of
-    each ``window`` consecutive ones is kept, the rightmost of equal ones.  Two texts that
-    share k + window - 1 words in a row share a fingerprint hash.  A text of fewer than k
-    words is one gram; a null text or one without words has an empty fingerprint.  Places are exact up to
-    16,777,215 words.
+    Grams are the k consecutive bytes at each place of the lower-cased text in UTF-8, in any
+    script; the least gram of each ``window`` consecutive ones is kept, the rightmost of equal
+    ones, with its place.  Two texts that share k + window - 1 bytes in a row share a
+    fingerprint hash.  A text of fewer than k bytes is one gram; an empty or null text has an
+    empty fingerprint.  Repeated rows each have one; an empty table gives an empty result.
+    Other columns are ignored, whatever their names.
     """
     return docs.select(F.col(id_col).alias("doc_id"), unpack(winnow(whole(text_col), k, window)).alias("fingerprint"))
 
 
-def _bucket(ids: Column, bounds: list[int]) -> Column:
+def _index(ids: Column, bounds: list[int]) -> Column:
     """How many of the sorted bounds are at or below the id, by binary search."""
     if not bounds:
         return F.lit(0)
-    steps = max(1, len(bounds).bit_length())
     array = F.lit(bounds).cast("array<long>")
-    jumps = F.array(*[F.lit(1 << s) for s in reversed(range(steps))])
+    jumps = F.array(*[F.lit(1 << s) for s in reversed(range(len(bounds).bit_length()))])
     return F.aggregate(jumps, F.lit(0), lambda at, jump: F.when((at + jump <= len(bounds)) & (F.try_element_at(array, F.least(at + jump, F.lit(len(bounds)))) <= ids), at + jump).otherwise(at))
 
 
-def with_next(docs: DataFrame, mb: float = 8.0) -> tuple[DataFrame, W]:
-    """(doc_id, text, bucket, n, copy) and the window in which the row after each is its next document.
+def _range(n: int, lowest: int, highest: int, bounds: list[int]) -> Column:
+    """Range of each row: quantile ranges of the ids, each cut evenly, about n in all and falling in the order of documents; rows without id are dealt out by ``tie`` below them."""
+    cuts = -(-n // (len(bounds) + 1))
 
-    Next is by descending id, after the last the first.  Ids are cut into quantile ranges of
-    about ``mb`` MB; each range also gets the first row of the range that follows, so no
-    window spans more than its range.
-    """
-    n = buckets(docs, mb)
-    quantiles = docs.select(F.percentile_approx("doc_id", [(i + 1) / n for i in range(n - 1)], F.lit(max(1000, 20 * n))).alias("q")).first()["q"] if n > 1 else None
-    bounds = sorted(set(quantiles or []))
-    at = docs.withColumn("bucket", _bucket(F.col("doc_id"), bounds))
-    firsts = stored_firsts(docs, bounds)
-    lead_in = at.drop("bucket").join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first_id"))).withColumn("bucket", F.col("to_bucket")).withColumn("copy", F.lit(True)).drop("first_id", "to_bucket")
-    # Of rows that share a leading id only the one that comes first is led in.
-    lead_in = lead_in.groupBy("bucket", "doc_id").agg(F.min("text").alias("text")).withColumn("copy", F.lit(True))
-    rows = at.withColumn("copy", F.lit(False)).unionByName(lead_in.select("doc_id", "text", "bucket", "copy"))
-    return rows, W.partitionBy("bucket").orderBy(F.col("copy").asc(), F.col("doc_id").desc_nulls_last(), F.col("text").asc())
+    def of(c: Column) -> Column:
+        low, high = F.element_at(F.lit([lowest, *bounds]).cast("array<double>"), c + 1), F.element_at(F.lit([*bounds, highest]).cast("array<double>"), c + 1)
+        within = F.least(F.lit(cuts - 1), F.floor((F.col("doc_id").cast("double") - low) / (high - low + 1) * cuts))
+        return (c * cuts + within).cast("long")
+
+    share = F.col("tie").cast("double") / 2.0**64 + 0.5
+    return F.when(F.col("doc_id").isNotNull(), _let(_index(F.col("doc_id"), bounds), of)).otherwise(-1 - F.floor(share * n))
 
 
-def stored_firsts(docs: DataFrame, bounds: list[int]) -> DataFrame:
-    """(to_bucket, first_id): for each id range that has rows, the greatest id of the range that follows in descending order (for the last: of all).
+def with_next(docs: DataFrame, mb: float = 1.0) -> tuple[DataFrame, W]:
+    """Rows (doc_id, text, bucket, copy) and the window in which the row after each is its next document.
 
-    One row per range, so its size is that of the bounds, which the driver holds anyway.
+    Next is by descending id, after the last the first.  Each range of ids also gets the first
+    row of the range that follows, so no window spans more than its range.  A range has about
+    ``mb`` MB, more where that would make more than RANGES of them; what the driver gets does
+    not grow with the input.
     """
-    tops = docs.groupBy(_bucket(F.col("doc_id"), bounds).alias("bucket")).agg(F.max("doc_id").alias("top"))
-    order = W.partitionBy(F.lit(1)).orderBy(F.col("bucket").desc_nulls_last())
-    whole_table = W.partitionBy(F.lit(1)).orderBy(F.col("bucket").desc_nulls_last()).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return tops.select(F.col("bucket").alias("to_bucket"), F.coalesce(F.lead("top").over(order), F.first("top").over(whole_table)).alias("first_id"))
+    n = min(buckets(docs, mb), RANGES)
+    coarse = min(n, QUANTILES)
+    some = [(i + 1) / coarse for i in range(coarse - 1)]
+    stats = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count_if(F.col("doc_id").isNull()), F.percentile_approx("doc_id", some, 10 * QUANTILES) if some else F.lit(None)).first()
+    lowest, highest, bounds = stats[0] or 0, stats[1] or 0, sorted(set(stats[3] or []))
+    tie = F.xxhash64("text") if stats[2] else F.lit(0).cast("long")
+    rows = docs.withColumn("tie", F.when(F.col("doc_id").isNull(), tie)).withColumn("bucket", _range(n, lowest, highest, bounds))
+    # The first row of each range, and the range before, which it follows; before the first is the last.
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), "tie")
+    tops = stored(rows.groupBy("bucket").agg(F.min(key).alias("top")), "ranges")
+    order = W.partitionBy(F.lit(1)).orderBy(F.desc("bucket"))
+    last = W.partitionBy(F.lit(1))
+    firsts = tops.select(F.coalesce(F.lag("bucket").over(order), F.min("bucket").over(last)).alias("to_bucket"), F.bitwise_not("top.down").alias("first_id"), F.col("top.tie").alias("first_tie"))
+    led = rows.join(F.broadcast(firsts), F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("tie").eqNullSafe(F.col("first_tie")))
+    # Of rows that share a leading id only the one that comes first is led in.
+    led = led.groupBy("to_bucket").agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text")).select("doc_id", "text", F.lit(None).cast("long").alias("tie"), F.col("to_bucket").alias("bucket"))
+    out = rows.withColumn("copy", F.lit(False)).unionByName(led.withColumn("copy", F.lit(True)))
+    return out, W.partitionBy("bucket").orderBy(F.col("copy").asc(), F.col("doc_id").desc_nulls_last(), F.col("tie").asc(), F.col("text").asc())
 
 
-def edited_likeness(docs: DataFrame, k: int = 5, window: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edited_likeness(docs: DataFrame, k: int = 24, window: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint of every whole text and of its edited text, and their likenesses.
 
     The edited text replaces the last third of the code points by the first as many (or all)
     of the next document by descending id.  Columns: doc_id, n_chars, edited_sha256,
     fingerprint, edited_fingerprint (place:hash text), near_edited, near_next.
 
-    Null text is empty.  Null ids come after all others.  Of rows that share an id the order
-    is by text; rows equal in both are each other's next.  A table of one row is its own
-    next.  An empty table gives an empty result.
+    Null text is empty.  Null ids come after all others, in the order of a hash of their
+    texts.  Of rows that share an id the order is by text; rows equal in both are each
+    other's next.  A table of one row is its own next.  An empty table gives an empty result.
+    Ids are cast to long; other columns are ignored, whatever their names.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
     rows, order = with_next(src)
-    rows = rows.withColumn("next", F.lead("text").over(order))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
-    rows = rows.withColumn("next", F.coalesce("next", "text"))
+    rows = rows.withColumn("fp", winnow(F.col("text"), k, window)).withColumns({"next": F.lead("text").over(order), "next_fp": F.lead("fp").over(order)}).filter(~F.col("copy"))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next", F.lit(1), cut)))
-    rows = rows.withColumn("fp", winnow(F.col("text"), k, window)).withColumn("next_fp", F.lead("fp").over(order)).filter(~F.col("copy"))
     rows = rows.withColumn("edited_fp", winnow(F.col("edited"), k, window))
     own, edited, following = (hashes(F.col(c)) for c in ("fp", "edited_fp", "next_fp"))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(own, edited).alias("near_edited"), likeness(own, F.coalesce(following, own)).alias("near_next"),
+        likeness(own, edited).alias("near_edited"), likeness(own, following).alias("near_next"),
     )
