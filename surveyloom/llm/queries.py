@@ -53,26 +53,35 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_language_id, op3_chat_format, op4_license_scan, op5_source_mix, op6_best_fit_packing, op7_url_filter, op8_exact_dedup, op9_fingerprints, op10_substring_dedup)}
 
-_CANONICAL = """trim(regexp_replace(regexp_replace(lower({t}), '(?m)^[^\\n]*(copyright|\\(c\\)|©)[^\\n]*$', '', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"""
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
 
 
-def _canonical_sql(text: str) -> str:
-    out = _CANONICAL.format(t=text)
+def _spelled(c: str) -> str:
     for said, meant in licenses.SPELLINGS:
-        if said != meant:
-            out = f"regexp_replace({out}, '(^| ){said}( |$)', '\\1{meant}\\2', 'g')"
-    return out
+        c = f"replace({c}, '{said}', '{meant}')"
+    return c
 
 
-_KNOWN_SQL = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.KNOWN)
+def _lines_sql(text: str) -> str:
+    notice, signs, version = (_quoted(x) for x in (licenses.NOTICE.replace("(?md)", "(?m)"), licenses.SIGNS, licenses.VERSION))
+    return _spelled(rf"replace(regexp_replace(regexp_replace(regexp_replace(lower({text}), {notice}, '', 'g'), {signs}, ' ', 'g'), {version}, '\1\3', 'g'), ' ', '')")
+
+
+def _digest_sql(lines: str) -> str:
+    return "md5(" + _spelled(f"replace({lines}, chr(10), '')") + ")"
+
+
+_KNOWN_SQL = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.known_texts())
 
 ORACLE_SQL = {
     "op4_license_scan": f"""
-        WITH known AS (SELECT md5({_canonical_sql("t")}) AS digest, i AS license_id FROM (VALUES {_KNOWN_SQL}) AS k(i, t)),
-        lines AS (SELECT doc_id, md5({_canonical_sql("line")}) AS digest FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) WHERE length(line) BETWEEN 1 AND {4 * max(len(t) for _, t in licenses.KNOWN)}),
-        hits AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids FROM lines JOIN known USING (digest) GROUP BY doc_id)
+        WITH known AS (SELECT {_digest_sql("lines")} AS digest, min(i) AS license_id FROM (SELECT i, {_lines_sql("t")} AS lines FROM (VALUES {_KNOWN_SQL}) AS k(i, t)) GROUP BY 1),
+        forms AS (SELECT doc_id, {_lines_sql("coalesce(text, '')")} AS lines FROM documents),
+        each_line AS (SELECT doc_id, md5(line) AS digest FROM (SELECT doc_id, unnest(string_split(lines, chr(10))) AS line FROM forms)),
+        hits AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS ids FROM each_line JOIN known USING (digest) GROUP BY doc_id)
         SELECT d.doc_id, d.digest, k.license_id, coalesce(h.n, 0)::BIGINT AS n_license_lines, coalesce(h.ids, '') AS line_license_ids
-        FROM (SELECT doc_id, md5({_canonical_sql("coalesce(text, '')")}) AS digest FROM documents) d
+        FROM (SELECT doc_id, {_digest_sql("lines")} AS digest FROM forms) d
         LEFT JOIN known k ON k.digest = d.digest LEFT JOIN hits h ON h.doc_id = d.doc_id""",
     "op8_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
