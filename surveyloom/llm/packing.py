@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import base64
-import os
+import math
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import stored, whole
@@ -16,33 +17,57 @@ from .common import stored, whole
 #: Pieces that one task packs; the shards are dealt out by hash, so each has the same mixture of lengths.
 SHARD = 10_000
 END_ID = 2
+#: Different words whose ids a worker keeps, and the longest that it keeps.
+KEPT_WORDS, KEPT_LENGTH = 300_000, 64
+#: Texts of these characters alone are cut into words here: on their categories all Unicode versions agree.
+_PLAIN = re.compile(r"[\t\n\r -~\u00a1-\u024f]*")
 
 
-@lru_cache(maxsize=4)
-def _encoder(ranks_file: str, pattern: str, special: str, special_id: int):
-    """A byte-level BPE encoder over the rank file: the ids of the same vocabulary's .json, several times faster."""
-    import tiktoken
+class Encoder:
+    """Token ids by ``tokenizers``, whose ids of a word are kept: texts repeat their words.
+
+    The vocabulary's file cuts a text into words by a pattern and merges inside them only, so
+    ids of words in a row are those of the text.  A text in which the tokenizer may cut
+    otherwise, with its special tokens or uncommon characters, is encoded as a whole.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        from tokenizers import Tokenizer
 
-    with open(ranks_file, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(os.path.basename(ranks_file), pat_str=pattern, mergeable_ranks=ranks, special_tokens={special: special_id})
+        self.tokenizer, self.words, self.ids = Tokenizer.from_file(path), regex.compile(pattern), {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-def encode(texts: list[str], name: str = "byte_bpe_50k") -> list[list[int]]:
-    """Token ids of each text; a special token's string in a text is that token, as the .json has it."""
+    def __call__(self, text: str) -> list[int]:
+        if not _PLAIN.fullmatch(text) or any(t in text for t in self.special):
+            return self._whole(text)
+        out, known = [], self.ids
+        for w in self.words.findall(text):
+            ids = known.get(w)
+            if ids is None:
+                ids = self._whole(w)
+                if len(w) <= KEPT_LENGTH and len(known) < KEPT_WORDS:
+                    known[w] = ids
+            out += ids
+        return out
+
+
+@lru_cache(maxsize=4)
+def encoder(name: str = "byte_bpe_50k") -> Encoder:
     import public_tokenizers
 
-    special = "<|endoftext|>"
-    e = _encoder(public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN, special, 50256)
-    return [e.encode(t, allowed_special="all") if special in t else e.encode_ordinary(t) for t in texts]
+    return Encoder(public_tokenizers.path(f"{name}.json"), public_tokenizers.PATTERN)
 
 
 def _pieces(limit: int, name: str, with_ids: bool):
     def run(batches):
+        encode = encoder(name)
         for batch in batches:
             doc, piece, start, length, crc, kept = [], [], [], [], [], []
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode([t.as_py()], name)[0], END_ID], dtype="<u4")
+                ids = np.array([*encode(t.as_py()), END_ID], dtype="<u4")
                 n = len(ids)
                 edges = [0, *range(n % limit or limit, n + 1, limit)]
                 for k, (a, b) in enumerate(zip(edges, edges[1:])):
@@ -109,22 +134,23 @@ def pack_documents(
 ) -> DataFrame:
     """One row per piece: (doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]).
 
-    A document is its tokens and an end token.  One of more than ``limit`` tokens is cut into
-    pieces of ``limit``, the first of which may be shorter.  Sequences hold at most ``limit``
-    tokens, ``max_docs`` pieces and ``max_attention`` (sum of squared lengths); None means what a
-    full sequence can hold at most.  A full piece is a sequence of its own.  The others are
-    dealt out by hash in shards of about SHARD, and packed by vector best-fit; a shard leaves at most a few
-    sequences less full than one packing of all would.
+    A document is its tokens and an end token.  Sequences hold at most ``limit`` tokens,
+    ``max_docs`` pieces and ``max_attention`` (sum of squared lengths); None means what a full
+    sequence can hold at most.  A document of more tokens than a sequence can take, by
+    ``limit`` or as a square by ``max_attention``, is cut into pieces of so many, the first of
+    which may be shorter.  A piece of ``limit`` tokens is a sequence of its own.  The others are
+    dealt out by hash in shards of about SHARD, and packed by vector best-fit under all three
+    capacities; a shard leaves at most a few sequences less full than one packing of all would.
 
     Null text is empty: its end token alone.  Rows that repeat an id are packed each.  An
-    empty table gives an empty result.
+    empty table gives an empty result.  Ids are cast to long; other columns are ignored,
+    whatever their names.
     """
     max_docs, max_attention = max_docs or limit, max_attention or limit**2
-    if max_attention < limit**2:
-        raise ValueError("a full piece must be allowed: max_attention is below limit squared")
+    cut = min(limit, math.isqrt(max_attention))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    pieces = stored(src.mapInArrow(_pieces(limit, tokenizer, with_ids), schema), "pieces")
+    pieces = stored(src.mapInArrow(_pieces(cut, tokenizer, with_ids), schema), "pieces")
     full = pieces.filter(F.col("length") == limit).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     rest = pieces.filter(F.col("length") < limit)
     shards = max(1, -(-rest.count() // SHARD))
