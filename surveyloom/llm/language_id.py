@@ -4,52 +4,61 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import sliced
+from .common import sliced, stored
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")  # letters, and signs that letters() takes apart
 #: Longest n-gram tried for a word that was not learned.
 LONGEST = 5
 
 
+def letters(text: str) -> list[str]:
+    """The runs of letters (Unicode categories L) of the lower-cased text."""
+    found = _WORD.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 @dataclass
 class LanguageModel:
-    """Log frequencies, centred over the languages, per word and per n-gram."""
+    """Log frequencies, centred over the languages, per word (grams[0]) and per n-gram of n characters (grams[n]): rows of one matrix each."""
 
     languages: list[str]
-    words: dict[str, list[float]] = field(default_factory=dict)
-    grams: list[dict[str, list[float]]] = field(default_factory=list)
+    grams: list[tuple[dict[str, int], np.ndarray]] = field(default_factory=list)
 
-    def word(self, w: str) -> list[float] | None:
+    def word(self, w: str) -> np.ndarray | None:
         """Scores of a word: its own if learned, else the mean of its longest n-grams of which any is known; None if none is."""
-        if (known := self.words.get(w)) is not None:
-            return known
+        places, scores = self.grams[0]
+        if (at := places.get(w)) is not None:
+            return scores[at]
         padded = f"^{w}$"
         for n in range(LONGEST, 0, -1):
-            found = [g for i in range(len(padded) - n + 1) if (g := self.grams[n].get(padded[i : i + n])) is not None]
+            places, scores = self.grams[n]
+            found = [at for i in range(len(padded) - n + 1) if (at := places.get(padded[i : i + n])) is not None]
             if found:
-                return [sum(x) / len(found) for x in zip(*found, strict=True)]
+                return scores[found].mean(axis=0)
         return None
 
     def text(self, text: str | None, seen: dict) -> tuple[str, float]:
         """(language, share of the posterior); ties go to the first language by name."""
-        if text is None or not self.languages:
+        counts = Counter(letters(text)) if text else None
+        if not counts or not self.languages:
             return "und", 0.0
-        counts = Counter(_WORD.findall(text.lower()))
-        if not counts:
-            return ("und", 0.0) if not any(c.isalpha() for c in text) else (self.languages[0], 1.0 / len(self.languages))
         totals = [0.0] * len(self.languages)
         for w, n in counts.items():
             try:
                 score = seen[w]
             except KeyError:
                 score = self.word(w)
-                if len(seen) < 100_000:
+                score = None if score is None else score.tolist()
+                if len(seen) < 100_000:  # scores kept by a worker
                     seen[w] = score
             if score is not None:
                 for i, x in enumerate(score):
@@ -58,45 +67,51 @@ class LanguageModel:
         return self.languages[best], 1.0 / sum(math.exp(max(-700.0, x - totals[best])) for x in totals)
 
 
-def _centred(counts: dict[str, dict[str, int]], languages: list[str], smoothing: float) -> dict[str, list[float]]:
-    totals = {l: sum(c.get(l, 0) for c in counts.values()) for l in languages}
-    out = {}
-    for key, c in counts.items():
-        logs = [math.log((c.get(l, 0) + smoothing) / (totals[l] + smoothing * len(counts))) for l in languages]
-        mean = sum(logs) / len(logs)
-        out[key] = [x - mean for x in logs]
-    return out
+def _centred(rows, languages: list[str], smoothing: float) -> tuple[dict[str, int], np.ndarray]:
+    """Place of each key, and by place the centred log frequencies. rows: (key, language, count)."""
+    places: dict[str, int] = {}
+    of = {lang: i for i, lang in enumerate(languages)}
+    at = np.array([[places.setdefault(key, len(places)), of[lang], n] for key, lang, n in rows], dtype=np.int64).reshape(-1, 3)
+    counts = np.zeros((len(places), len(languages)))
+    np.add.at(counts, (at[:, 0], at[:, 1]), at[:, 2])
+    logs = np.log((counts + smoothing) / (counts.sum(axis=0) + smoothing * len(places)))
+    return places, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
+
+
+def sampled(labelled: DataFrame, max_docs: int, max_chars: int) -> DataFrame:
+    """(lang, text) of at most ``max_docs`` texts, those first by a hash, as long as they have no more than ``max_chars`` characters together; each of them whole, and once however often it occurs."""
+    rows = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
+    # Only hashes and lengths are sorted; the running sum is over max_docs rows.
+    first = rows.groupBy("h").agg(F.max(F.length("text")).alias("n")).orderBy("h").limit(max_docs)
+    fits = first.withColumn("sum", F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("h").rowsBetween(W.unboundedPreceding, 0))).filter(F.col("sum") <= max_chars)
+    return rows.join(F.broadcast(fits.select("h")), "h", "left_semi").groupBy("h").agg(F.min(F.struct("lang", "text")).alias("x")).select("x.lang", "x.text")
 
 
-def train(labelled: DataFrame, max_docs: int = 8000, max_words: int = 30_000, min_count: int = 3, smoothing: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Learn from at most ``max_docs`` labelled documents (those first by a hash of the id) the ``max_words`` most frequent words.
+def words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(?U)([\p{L}]+)"))
 
-    Spark counts words; the driver gets the bounded vocabulary only.  n-grams are counted in
-    it, weighted by word counts.  No labelled rows give a model without languages.
+
+def train(labelled: DataFrame, max_docs: int = 8000, max_chars: int = 40_000_000, smoothing: float = 0.5, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Learn from at most ``max_docs`` labelled documents of at most ``max_chars`` characters in all.
+
+    These two bound the model, which the driver gets and broadcasts; every word of the sample
+    is learned.  Spark counts the words, and their n-grams weighted by the words' counts.
+    No labelled rows give a model without languages.
     """
-    sample = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i"))
-    # Only ids are sorted; the texts of the chosen ones follow.
-    chosen = sample.select("i", "h").orderBy("h", "i").limit(max_docs)
-    picked = sample.join(F.broadcast(chosen.select("i")), "i", "left_semi")
-    words = picked.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)([\p{L}]+)"))).alias("w")).groupBy("w", "lang").count()
-    totals = words.groupBy("w").agg(F.sum("count").alias("total"), F.collect_list(F.struct("lang", "count")).alias("by"))
-    rows = totals.filter(F.col("total") >= min_count).orderBy(F.col("total").desc(), "w").limit(max_words).collect()
-    counts = {r["w"]: {x["lang"]: x["count"] for x in r["by"]} for r in rows}
-    languages = sorted({l for c in counts.values() for l in c})
-    if not languages:
-        languages = sorted(r["lang"] for r in picked.select("lang").distinct().limit(1000).collect())
-    model = LanguageModel(languages, grams=[{} for _ in range(LONGEST + 1)])
+    sample = sampled(labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")), max_docs, max_chars)
+    counts = stored(sample.select("lang", F.explode(words(F.col("text"))).alias("w")).groupBy("w", "lang").agg(F.count("*").alias("n")), "words")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    model = LanguageModel(languages)
     if not languages:
         return model
-    model.words = _centred(counts, languages, smoothing)
-    for n in range(1, LONGEST + 1):
-        grams: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
-        for w, by in counts.items():
-            padded = f"^{w}$"
-            for i in range(len(padded) - n + 1):
-                for l, c in by.items():
-                    grams[padded[i : i + n]][l] += c
-        model.grams[n] = _centred(grams, languages, smoothing)
+    padded = F.concat(F.lit("^"), "w", F.lit("$"))
+    tables = [counts.select("w", "lang", "n")]
+    for size in range(1, LONGEST + 1):
+        at = counts.filter(F.length(padded) >= size).select(padded.alias("p"), "lang", "n", F.explode(F.sequence(F.lit(1), F.length(padded) - size + 1)).alias("at"))
+        tables.append(at.groupBy(F.substring("p", F.col("at"), F.lit(size)).alias("w"), "lang").agg(F.sum("n").alias("n")))
+    for table in tables:
+        rows = table.orderBy("w", "lang").toArrow()
+        model.grams.append(_centred(zip(*(rows.column(c).to_pylist() for c in ("w", "lang", "n")), strict=True), languages, smoothing))
     return model
 
 
@@ -107,6 +122,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     and those without a letter are ``und`` with score 0; a text of letters none of which was
     learned gets the first language with an even score.  The model is bounded by train(), so
     it is broadcast.  Rows that repeat are each scored.  An empty table gives an empty result.
+    Ids are cast to long; other columns are ignored, whatever their names.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -133,7 +149,7 @@ def identify_languages(docs: DataFrame, **kwargs) -> DataFrame:
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose text has a language (null texts and those without a letter go)."""
-    model = train(docs.filter(F.coalesce(~held_out(docs, id_col), F.lit(True))), id_col=id_col, text_col=text_col)
+    model = train(docs.filter(F.coalesce(~held_out(docs, id_col), F.lit(True))), text_col=text_col)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
