@@ -13,14 +13,17 @@ from .common import stored
 
 #: Rules (host, path, verdict).
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
-FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate", "suffix_count"]
+FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate", "suffix_magnitude"]
+#: Hosts are dealt out to so many folds; those of fold 0 are held out of training.
+FOLDS = 5
+#: Labelled rows that the mean of all counts for in a suffix's share of blocked ones.
+PRIOR = 10
 #: Suffix tables of at most so many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_SUFFIXES = 10_000
 
 
 def with_parts(urls: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds host (A-Z lower-cased) and path; both empty where the url is null or has no ``://``."""
-    rest = F.substring_index(F.col(url_col), "://", 1)
     has = F.coalesce(F.instr(F.col(url_col), "://") > 0, F.lit(False))
     rest = F.when(has, F.expr(f"substring(`{url_col}`, length(substring_index(`{url_col}`, '://', 1)) + 4)")).otherwise("")
     host = F.translate(F.regexp_extract(rest, r"^([^/?#]*)", 1), string.ascii_uppercase, string.ascii_lowercase)
@@ -53,51 +56,70 @@ def with_features(urls: DataFrame) -> DataFrame:
             "length": n, "host_length": F.length("host"), "path_length": F.length("path"), "depth": F.regexp_count("path", F.lit("/")), "labels": F.regexp_count("host", F.lit(r"\.")) + 1,
             "digit_ratio": share(digits(url), n), "host_digit_ratio": share(digits(F.col("host")), F.length("host")), "hyphens": F.regexp_count(url, F.lit("-")),
             "entropy": F.when(n == 0, 0.0).otherwise(entropy), "parameters": F.regexp_count(url, F.lit("[?&][^?&#]+")), "fragment": F.contains(url, F.lit("#")).cast("int"),
-            "suffix": F.regexp_extract("host", r"([^.]*)$", 1),
+            "suffix": F.regexp_extract("host", r"([^.]*)$", 1), "fold": (F.crc32(F.col("host").cast("binary")) % FOLDS).cast("int"),
         }
     )
 
 
-def suffix_counts(rows: DataFrame) -> DataFrame:
-    """(suffix, n, labelled, bad) of all rows: each suffix with its rows, those that a rule labels and those that one blocks."""
-    return rows.groupBy("suffix").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("bad"))
+def suffix_statistics(rows: DataFrame) -> DataFrame:
+    """(suffix, fold, suffix_count, labelled, bad) of all rows: by suffix its rows; and for each fold the suffix's labelled and blocked rows of the other folds but 0."""
+    learn = F.when(F.col("fold") != 0, F.col("label"))
+    per = rows.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.count(learn).alias("own"), F.coalesce(F.sum(learn), F.lit(0.0)).alias("own_bad"))
+    total = per.groupBy("suffix").agg(F.sum("n").alias("suffix_count"), F.sum("own").alias("all"), F.sum("own_bad").alias("all_bad"))
+    return per.join(total, "suffix").select("suffix", "fold", "suffix_count", (F.col("all") - F.col("own")).alias("labelled"), (F.col("all_bad") - F.col("own_bad")).alias("bad"))
 
 
-def judge_urls(urls: DataFrame, rules: list[tuple[str, str, str]] = RULES, max_train: int = 20_000, trees: int = 10, depth: int = 4, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """One row per input row: (page_id, host, path, rule, verdict, block_score).
+def judge_urls(
+    urls: DataFrame, rules: list[tuple[str, str, str]] = RULES, labels: DataFrame | None = None, max_train: int = 20_000, trees: int = 10, depth: int = 4, id_col: str = "page_id", url_col: str = "url",
+) -> DataFrame:
+    """One row per input row: (page_id, host, path, rule, verdict, block_score, held_out).
 
-    The longest fitting rule decides; elsewhere boosted trees over lexical features do.
-    They learn from the urls that rules label, at most ``max_train`` of them, first by a hash
-    of the url.  Suffix statistics by the host's last label cover the whole table: the count
-    of all rows, and the share of blocked ones among all that rules label.  If the sample has
-    labels of one kind, that kind is the verdict; without labels it is allow.
+    The longest fitting rule decides; elsewhere boosted trees over lexical features do.  They
+    learn from labelled urls, at most ``max_train`` of them, first by a hash of the url:
+    ``labels`` (url, label: 1 to block, 0 to allow), else the verdicts of the rules.  Hosts of
+    fold 0 (held_out) are never learned from, so that block_score can be measured on them.
+
+    Suffix statistics by the host's last label cover the whole table: the magnitude of its
+    number of rows, and the share of blocked ones among the labelled rows of other folds of
+    hosts, so a row's own label is no part of it, drawn towards the share of all suffixes.
+    Each sampled row is learned from twice, once as if its suffix had no labels, so that urls
+    of such suffixes are judged by the other features.  If the sample has labels of one kind,
+    that kind is the verdict; without labels it is allow.
 
     Null urls and those without ``://`` have an empty host and path, fit no rule and are
-    judged by the trees.  Rows that repeat are judged each.  An empty table gives an empty
-    result.
+    judged by the trees.  Rows that repeat are judged each; a url with several labels counts
+    with the greatest.  An empty table gives an empty result.  Other columns are ignored,
+    whatever their names.
     """
     src = urls.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
     rows = with_features(by_rules(with_parts(src), rules))
-    rows = rows.withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
-    sample = rows.filter("label is not null").orderBy(F.xxhash64("url"), "page_id").limit(max_train).cache()
+    if labels is None:
+        rows = rows.withColumn("label", (F.col("rule_verdict") == "block").cast("double"))
+    else:
+        rows = rows.join(labels.groupBy("url").agg(F.max("label").cast("double").alias("label")), "url", "left")
+    sample = rows.filter("label is not null and fold != 0").orderBy(F.xxhash64("url"), "page_id").limit(max_train).cache()
     try:
         kinds = {r["label"] for r in sample.select("label").distinct().collect()}
         if len(kinds) < 2:
             score = F.lit(1.0 if 1.0 in kinds else 0.0)
             judged = rows.withColumn("block_score", score)
         else:
-            suffixes = stored(suffix_counts(rows), "suffixes")
-            n_suffixes, n_labelled, n_bad = suffixes.agg(F.count("*"), F.sum("labelled"), F.sum("bad")).first()
-            rate = n_bad / n_labelled
-            table = suffixes.select("suffix", ((F.col("bad") + 10 * rate) / (F.col("labelled") + 10)).alias("suffix_rate"), F.col("n").cast("double").alias("suffix_count"))
+            statistics = stored(suffix_statistics(rows), "suffixes")
+            n_rows = statistics.count()
+            n_labelled, n_bad = sample.agg(F.count("label"), F.sum("label")).first()
+            prior = n_bad / n_labelled
+            rate = (F.col("bad") + PRIOR * prior) / (F.col("labelled") + PRIOR)
+            table = statistics.select("suffix", "fold", "suffix_count", F.floor(F.log10("suffix_count")).cast("double").alias("suffix_magnitude"), rate.alias("suffix_rate"))
 
             def complete(df: DataFrame) -> DataFrame:
-                return df.join(F.broadcast(table) if n_suffixes <= BROADCAST_SUFFIXES else table, "suffix")
+                return df.join(F.broadcast(table) if n_rows <= BROADCAST_SUFFIXES else table, ["suffix", "fold"])
 
             assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-            model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, maxBins=64).fit(assembler.transform(complete(sample)).select("features", "label"))
+            known = complete(sample)
+            training = known.unionByName(known.withColumn("suffix_rate", F.lit(prior)))
+            model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, maxBins=64).fit(assembler.transform(training).select("features", "label"))
             judged = model.transform(assembler.transform(complete(rows))).withColumn("block_score", vector_to_array("probability")[1])
     finally:
         sample.unpersist()
     verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.col("block_score").cast("double").alias("block_score"))
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.col("block_score").cast("double").alias("block_score"), (F.col("fold") == 0).alias("held_out"))
