@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
 
-from .common import SPACE, partitions, stored, whole
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .common import SPACE, join_groups, partitions, stored, whole
 
 #: A keeper's text is sent once for each so many members of its group, so no task compares a whole hot group.
 MEMBERS_PER_SALT = 1000
@@ -15,12 +17,16 @@ def normalised(text: str):
     return F.regexp_replace(whole(text), SPACE, " ")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id, keep_id, group_size, kept, text_sha256).
+def _md5(norm: Column) -> Column:
+    return F.unhex(F.md5(norm))
+
 
-    Rows are grouped by the MD5 of their normalised text and its length; the smallest id of
-    a group stays.  Members' bytes are then compared with their keeper's, and rows that
-    differ in spite of equal hashes are grouped again by the text itself.
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = _md5) -> DataFrame:
+    """One row per input row: (doc_id, keep_id, group_size, kept, text_sha256).
+
+    Rows are grouped by a 128-bit digest of their normalised text (MD5) and its length; the
+    smallest id of a group stays.  Members' bytes are then compared with their keeper's, and
+    rows that differ in spite of equal hashes are grouped again by the text itself.
 
     Null text is an empty text.  Rows without id are grouped too (an id is preferred as
     keeper; keep_id is null only if the whole group lacks ids).  Rows that repeat an id and a
@@ -29,38 +35,34 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), normalised(text_col).alias("norm"))
     # Texts are hashed once; all that follows but the comparison of bytes reads this table.
-    hashed = texts.select("doc_id", F.unhex(F.md5("norm")).alias("digest"), F.octet_length("norm").alias("n_bytes"), F.sha2("norm", 256).alias("text_sha256"))
+    hashed = texts.select("doc_id", digest(F.col("norm")).alias("digest"), F.octet_length("norm").alias("n_bytes"), F.sha2("norm", 256).alias("text_sha256"))
     hashed = stored(hashed, "hashed")
-    groups = hashed.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    rows = hashed.join(groups, ["digest", "n_bytes"])
-
-    odd = stored(_collisions(rows, texts, partitions(docs)), "collisions")
-    # No pair of texts with equal MD5 and length is expected; where one occurs its rows are grouped by their bytes.
-    odd_groups = odd.groupBy("digest", "norm").agg(F.min("doc_id").alias("own_keep"), F.count("*").alias("own_size"))
-    # By id and text: a row that shares its id with an odd one, but not its text, is none itself.
-    odd_rows = odd.join(odd_groups, ["digest", "norm"]).select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "own_keep", "own_size").distinct()
-    lost = odd.groupBy("digest").agg(F.count("*").alias("lost"))
-    out = (
-        rows.join(odd_rows.hint("shuffle_hash"), ["doc_id", "text_sha256"], "left")
-        .join(lost.select(F.col("digest").alias("lost_digest"), "lost").hint("shuffle_hash"), F.col("digest") == F.col("lost_digest"), "left")
-        .select(
-            "doc_id",
-            F.coalesce("own_keep", "keep_id").alias("keep_id"),
-            F.coalesce("own_size", F.col("group_size") - F.coalesce("lost", F.lit(0))).cast("long").alias("group_size"),
-            "text_sha256",
-        )
-    )
-    return out.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
-
-
-def _collisions(rows: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """(doc_id, digest, norm) of the rows whose bytes differ from their keeper's."""
-    dealt = texts.repartition(n, "doc_id")
-    members = rows.filter((F.col("group_size") > 1) & (F.col("doc_id") != F.col("keep_id"))).select("doc_id", "digest", "keep_id", F.ceil(F.col("group_size") / MEMBERS_PER_SALT).alias("salts"))
-    # Of rows that share an id only those with the member's text; as a condition, not a key, so that no text is hashed that joins nothing.
-    left = dealt.join(members, "doc_id").filter(F.when(F.unhex(F.md5("norm")) == F.col("digest"), True).otherwise(False)).select("doc_id", "digest", "keep_id", "norm", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
+    groups = hashed.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
+    groups = stored(groups, "groups")
+    rows = join_groups(hashed, groups, ["digest", "n_bytes"], "group_size", hashed.count(), "left")
+    odd = stored(_collisions(rows.filter("group_size > 1"), texts, digest, partitions(docs)), "collisions")
+    rows = rows.withColumns({"keep_id": F.coalesce("keep_id", "doc_id"), "group_size": F.coalesce("group_size", F.lit(1)).cast("long")})
+    if not odd.isEmpty():
+        # No pair of texts with equal MD5 and length is expected; where one occurs its rows are grouped by their bytes.
+        odd_groups = odd.groupBy("digest", "norm").agg(F.min("doc_id").alias("own_keep"), F.count("*").alias("own_size"))
+        # By id and text: a row that shares its id with an odd one, but not its text, is none itself.
+        odd_rows = odd.join(odd_groups, ["digest", "norm"]).select("doc_id", F.sha2("norm", 256).alias("text_sha256"), "own_keep", "own_size").distinct()
+        lost = odd.groupBy("digest", F.octet_length("norm").alias("n_bytes")).agg(F.count("*").alias("lost"))
+        rows = rows.join(odd_rows, ["doc_id", "text_sha256"], "left").join(lost, ["digest", "n_bytes"], "left")
+        rows = rows.withColumns({"keep_id": F.coalesce("own_keep", "keep_id"), "group_size": F.coalesce("own_size", F.col("group_size") - F.coalesce("lost", F.lit(0)))})
+    return rows.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), "text_sha256")
+
+
+def _collisions(rows: DataFrame, texts: DataFrame, digest: Callable[[Column], Column], n: int) -> DataFrame:
+    """(doc_id, digest, norm) of the rows whose bytes differ from their keeper's. rows: those of groups of two or more."""
+    members = rows.filter(F.col("doc_id") != F.col("keep_id")).select("doc_id", "digest", "keep_id", F.ceil(F.col("group_size") / MEMBERS_PER_SALT).alias("salts"))
     keepers = members.groupBy("keep_id", "digest").agg(F.max("salts").alias("salts")).withColumnRenamed("keep_id", "doc_id")
+    # Only the texts of groups are moved.
+    dealt = texts.join(members.select("doc_id").unionByName(keepers.select("doc_id")), "doc_id", "left_semi").repartition(n, "doc_id")
+    # Of rows that share an id only those with the member's text; as a condition, not a key, so that no text is hashed that joins nothing.
+    left = dealt.join(members, "doc_id").filter(F.when(digest(F.col("norm")) == F.col("digest"), True).otherwise(False)).select("doc_id", "digest", "keep_id", "norm", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
     right = dealt.join(keepers, "doc_id").select(F.col("doc_id").alias("keep_id"), "digest", F.col("norm").alias("keeper"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    right = right.filter(F.when(digest(F.col("keeper")) == F.col("digest"), True).otherwise(False))
     same = F.col("norm") == F.col("keeper")
     # A keeper id may stand on several rows; a member is odd when none of them has its bytes.
     return left.join(right, ["keep_id", "digest", "salt"]).groupBy("doc_id", "digest", "norm").agg(F.max(same).alias("same")).filter(~F.col("same")).select("doc_id", "digest", "norm")
