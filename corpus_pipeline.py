@@ -29,8 +29,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens."""
-    return packing.pack_documents(docs, limit=1024)
+    """Sequences of at most 1024 tokens, with their token ids."""
+    return packing.pack_documents(docs, limit=1024, with_ids=True)
 
 
 STAGES = [("language id", identify), ("exact dedup", dedup_exact), ("near dedup", dedup_near), ("mix", mix), ("pack", pack)]
