@@ -20,7 +20,7 @@ belongs to one sample.  The spans of a sample are consecutive; together they are
    runs by, and tell its group; each of their spans then is a tuple of its own, dealt out by
    the whole span.
 
-Names are hashes, of 64 bits for a run besides 40 or more for its sample.  Spark's shuffle
+Names are hashes, of 56 bits for a run besides 40 or more for its sample.  Spark's shuffle
 deals tuples out to buckets on disk; sorting is done in a bucket, whose number follows the
 input, so a bucket's tuples fit in a task.
 """
@@ -42,9 +42,9 @@ KEY = 24
 #: Bytes of text that one task holds as numpy arrays at a time.
 CHUNK = 1 << 20
 #: Different runs of one sample name that a task meets, from which the name is hot for it.
-HOT = 64
+HOT = 256
 #: Different runs of one sample name that are compared as a group.
-CROWD = 4096
+CROWD = 50_000
 #: Names and runs that a task keeps in mind.
 MEMORY = 200_000
 _NAME_BITS = np.uint64(40)
@@ -168,7 +168,8 @@ def _sampled_chunk(ids, texts, length, n_buckets, hot_from, crowds: _Memory, set
     rows = []
     if len(d):
         rows.append((int(ids[0]) % n_buckets, 1, struct.pack("<q", len(d)) + d.tobytes() + s.astype(np.int64).tobytes() + e.astype(np.int64).tobytes()))
-    doc, start, last, name, content = (x[~again] for x in (doc, start, last, name, content))
+    order = np.lexsort((start[~again], doc[~again]))  # near values in a row take less room
+    doc, start, last, name, content = (x[~again][order] for x in (doc, start, last, name, content))
     names, place, count = np.unique(name, return_inverse=True, return_counts=True)
     had = crowds.at(names, 0)
     total = had + count
@@ -177,7 +178,7 @@ def _sampled_chunk(ids, texts, length, n_buckets, hot_from, crowds: _Memory, set
     bucket = ((name >> _NAME_BITS) % np.uint64(n_buckets)).astype(np.int64)
     by_run = (content % np.uint64(n_buckets)).astype(np.int64)
     for part, kind in ((~hot[place], 0), (hot[place], 2)):
-        rows += _packed(np.where(part, bucket if kind == 0 else by_run, -1), kind, ((name, 5), (content, 8), (doc, 8), (start.astype(np.uint32), 4), ((last - start).astype(np.uint8), 1)))
+        rows += _packed(np.where(part, bucket if kind == 0 else by_run, -1), kind, ((name, 5), (content, 7), (doc, 8), (start.astype(np.uint32), 4), ((last - start).astype(np.uint8), 1)))
     news = names[hot & (had < hot_from)]
     rows += _packed(((news >> _NAME_BITS) % np.uint64(n_buckets)).astype(np.int64), 3, ((news, 5),))
     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "tuples"])
@@ -217,7 +218,7 @@ def _spans(doc, kind, start, end, name=None) -> pa.Table:
 
 def _compare(length: int, crowd: int):
     """Intervals (kind 0) of repeated runs; runs that share a sample with another one (1); runs of hot samples (2)."""
-    columns = ((np.uint64, 5), (np.uint64, 8), (np.int64, 8), (np.uint32, 4), (np.uint8, 1))
+    columns = ((np.uint64, 5), (np.uint64, 7), (np.int64, 8), (np.uint32, 4), (np.uint8, 1))
 
     def reduced(rows):
         name, content, doc, start, width = _unpacked(rows, columns)
@@ -297,7 +298,7 @@ def _fetched(found, length, n_buckets):
         d, s, e = merged(doc[of][order][again], (start[of] + offset)[order][again], (start[of] + offset)[order][again] + length)
         if len(d):
             rows.append((int(d[0]) % n_buckets, 0, struct.pack("<q", len(d)) + d.tobytes() + s.tobytes() + e.tobytes()))
-        send = order[~again]
+        send = np.sort(order[~again])
         rows += _packed((span[send] % np.uint64(n_buckets)).astype(np.int64), 2, ((span[send], 8), (check[send], 5), (doc[of][send], 8), ((start[of] + offset)[send].astype(np.uint32), 4)))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "tuples"])
