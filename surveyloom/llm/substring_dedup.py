@@ -45,6 +45,8 @@ CHUNK = 1 << 20
 HOT = 256
 #: Different runs of one sample name that are compared as a group.
 CROWD = 50_000
+#: Tuples that a task gathers before it deals them out, so that a bucket gets them in few rows.
+GATHERED = 500_000
 #: Names and runs that a task keeps in mind.
 MEMORY = 200_000
 _NAME_BITS = np.uint64(40)
@@ -136,20 +138,52 @@ class _Memory:
         self.keys, self.values = k[order], v[order]
 
 
+class _Gathered:
+    """Tuples by kind until they are dealt out: 0 for a name's bucket, 2 of hot names, 3 hot names; and packed intervals settled already (1)."""
+
+    def __init__(self, n_buckets: int):
+        self.n_buckets = n_buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.tuples: dict[int, list] = {0: [], 2: [], 3: []}
+        self.rows: list[tuple[int, int, bytes]] = []
+        self.count = 0
+
+    def add(self, kind: int, *columns: np.ndarray) -> None:
+        self.tuples[kind].append(columns)
+        self.count += len(columns[0])
+
+    def dealt(self):
+        """One batch of packed rows, if there is anything."""
+        n, rows = np.uint64(self.n_buckets), self.rows
+        for kind, found in self.tuples.items():
+            if found:
+                name, *rest = (np.concatenate(x) for x in zip(*found, strict=True))
+                by = rest[0] if kind == 2 else name >> _NAME_BITS
+                columns = ((name, 5), *zip(rest, (7, 8, 4, 1), strict=False))
+                rows += _packed((by % n).astype(np.int64), kind, columns)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "tuples"])
+        self.clear()
+
+
 def _sample(length: int, n_buckets: int, hot_from: int):
     def run(batches):
-        crowds, settled = _Memory(), _Memory()
+        crowds, settled, gathered = _Memory(), _Memory(), _Gathered(n_buckets)
         for batch in sliced(batches):
             ids, texts = batch.column(0).to_pylist(), [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             order = sorted(range(len(ids)), key=ids.__getitem__)
             for some, chunk in wordhash.chunks([ids[i] for i in order], [texts[i] for i in order], CHUNK):
-                yield from _sampled_chunk(np.array(some, dtype=np.int64), chunk, length, n_buckets, hot_from, crowds, settled)
+                _sampled_chunk(np.array(some, dtype=np.int64), chunk, length, hot_from, crowds, settled, gathered)
+                if gathered.count > GATHERED:
+                    yield from gathered.dealt()
+        yield from gathered.dealt()
 
     return run
 
 
-def _sampled_chunk(ids, texts, length, n_buckets, hot_from, crowds: _Memory, settled: _Memory):
-    """Packed rows by bucket: 0 tuples of a name's bucket, 1 intervals settled here, 2 tuples of hot names, 3 hot names for their bucket."""
+def _sampled_chunk(ids, texts, length, hot_from, crowds: _Memory, settled: _Memory, gathered: _Gathered) -> None:
     doc, start, last, name, content = runs(texts, length)
     if not len(doc):
         return
@@ -165,9 +199,8 @@ def _sampled_chunk(ids, texts, length, n_buckets, hot_from, crowds: _Memory, set
     settled.put(*(x[np.unique(both[often], return_index=True)[1]] for x in (both[often], least[often])))
     again = doc > least
     d, s, e = merged(doc[again], start[again], last[again] + length)
-    rows = []
     if len(d):
-        rows.append((int(ids[0]) % n_buckets, 1, struct.pack("<q", len(d)) + d.tobytes() + s.astype(np.int64).tobytes() + e.astype(np.int64).tobytes()))
+        gathered.rows.append((int(ids[0]) % gathered.n_buckets, 1, struct.pack("<q", len(d)) + d.tobytes() + s.astype(np.int64).tobytes() + e.astype(np.int64).tobytes()))
     order = np.lexsort((start[~again], doc[~again]))  # near values in a row take less room
     doc, start, last, name, content = (x[~again][order] for x in (doc, start, last, name, content))
     names, place, count = np.unique(name, return_inverse=True, return_counts=True)
@@ -175,19 +208,15 @@ def _sampled_chunk(ids, texts, length, n_buckets, hot_from, crowds: _Memory, set
     total = had + count
     crowds.put(names[(count > 1) | (had > 0)], total[(count > 1) | (had > 0)])
     hot = total >= hot_from
-    bucket = ((name >> _NAME_BITS) % np.uint64(n_buckets)).astype(np.int64)
-    by_run = (content % np.uint64(n_buckets)).astype(np.int64)
+    columns = (name, content, doc, start.astype(np.uint32), (last - start).astype(np.uint8))
     for part, kind in ((~hot[place], 0), (hot[place], 2)):
-        rows += _packed(np.where(part, bucket if kind == 0 else by_run, -1), kind, ((name, 5), (content, 7), (doc, 8), (start.astype(np.uint32), 4), ((last - start).astype(np.uint8), 1)))
-    news = names[hot & (had < hot_from)]
-    rows += _packed(((news >> _NAME_BITS) % np.uint64(n_buckets)).astype(np.int64), 3, ((news, 5),))
-    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "tuples"])
+        gathered.add(kind, *(x[part] for x in columns))
+    gathered.add(3, names[hot & (had < hot_from)])
 
 
 def _packed(bucket: np.ndarray, kind: int, columns) -> list[tuple[int, int, bytes]]:
-    """(bucket, kind, bytes) rows: for each bucket from 0 on its number of tuples, then their columns (array, bytes kept of a value)."""
+    """(bucket, kind, bytes) rows: for each bucket its number of tuples, then their columns (array, bytes kept of a value)."""
     order = np.argsort(bucket, kind="stable")
-    order = order[bucket[order] >= 0]
     edges = np.flatnonzero(np.diff(bucket[order])) + 1
     out = []
     for some in np.split(order, edges):
@@ -257,18 +286,18 @@ def _fetch(length: int, n_buckets: int):
     """Packed rows of the wanted runs, with their bytes (kind 1), or of their single spans (kind 2)."""
 
     def run(batches):
+        found = ([], []), ([], [])
         for batch in sliced(batches):
-            found = ([], []), ([], [])
             for i, text, want in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = text.encode("utf-8", "surrogatepass")
                 for s, e, h, kind in zip(*(want.values.field(k).to_pylist() for k in range(4)), strict=True):
                     tuples, parts = found[kind - 1]
                     tuples.append((i, s, h))
                     parts.append(text[s:e])
-                if len(found[0][0]) + len(found[1][0]) > 100_000:
+                if len(found[0][0]) > 100_000 or len(found[1][0]) > 10_000:
                     yield from _fetched(found, length, n_buckets)
                     found = ([], []), ([], [])
-            yield from _fetched(found, length, n_buckets)
+        yield from _fetched(found, length, n_buckets)
 
     return run
 
