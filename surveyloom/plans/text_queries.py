@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import survey as S
+from ..operators import clean as C
 from .derived import RAW_SQL, polls, raw, results, POLL, RESULT
 from .registry import query
 
@@ -29,32 +30,18 @@ def simple_sql(c: str, keep: str = "") -> str:
 
 PUBLISH = r"""coalesce(CASE WHEN regexp_matches(publish_raw, '^\d{4}-\d{2}-\d{2}') THEN CAST(try_strptime(substr(publish_raw, 1, 10), '%Y-%m-%d') AS DATE) END,
   CAST(try_strptime(replace(publish_raw, '. Januar ', '.01.'), '%d.%m.%Y') AS DATE))"""
-_FULL = r"(\d{1,2})\.(\d{1,2})\.(\d{4})\s*[-–]\s*(\d{1,2})\.(\d{1,2})\.(\d{4})"
-_BOTH = r"(\d{1,2})\.(\d{1,2})\.[–\-]\s*(\d{1,2})\.(\d{1,2})\.(\d{4})"
-_DAYS = r"(\d{1,2})\.?[–\-]\s*(\d{1,2})\.(\d{1,2})\.(\d{4})"
-_LESS = r"(\d{1,2})\.(\d{1,2})\.?[–\-]\s*(\d{1,2})\.(\d{1,2})\.?"
-_ONE = r"^(\d{1,2})\.(\d{1,2})\.?$"
 
 
 def frame_sql(c: str, year: str) -> str:
-    """CTE ``frames``: raw with (f_start, f_end, f_type, f_ignore) of column c."""
-    part = lambda p, i: f"regexp_extract({c}, '{p}', {i})"
-    spans = [
-        (dmy(part(_FULL, 1), part(_FULL, 2), part(_FULL, 3)), dmy(part(_FULL, 4), part(_FULL, 5), part(_FULL, 6))),
-        (dmy(part(_BOTH, 1), part(_BOTH, 2), part(_BOTH, 5)), dmy(part(_BOTH, 3), part(_BOTH, 4), part(_BOTH, 5))),
-        (dmy(part(_DAYS, 1), part(_DAYS, 3), part(_DAYS, 4)), dmy(part(_DAYS, 2), part(_DAYS, 3), part(_DAYS, 4))),
-        (dmy(part(_LESS, 1), part(_LESS, 2), year), dmy(part(_LESS, 3), part(_LESS, 4), year)),
-    ]
-    cols = ", ".join(f"{a} AS a{i}, {b} AS b{i}" for i, (a, b) in enumerate(spans))
-    early = f"""CASE WHEN {c} IS NULL OR {c} = '' THEN 'INVALID' WHEN regexp_matches({c}, '\\d{{1,2}}:\\d{{2}}') AND contains({c}, 'Uhr') THEN 'TIME_RANGE' WHEN contains({c}, '?') THEN 'UNKNOWN_DATE'
-      WHEN regexp_matches(lower({c}), 'bundestagswahl|europawahl|landtagswahl') THEN 'ELECTION_MARKER' END"""
-    any_range = " OR ".join(f"(a{i} IS NOT NULL AND b{i} IS NOT NULL)" for i in range(4))
-    pick = lambda x: "CASE WHEN early IS NOT NULL THEN NULL " + " ".join(f"WHEN a{i} IS NOT NULL AND b{i} IS NOT NULL THEN {x}{i}" for i in range(4))
-    until = f"({year} IS NOT NULL AND regexp_matches(lower({c}), '^bis\\s+\\d{{1,2}}\\.\\d{{1,2}}\\.?$'))"
-    return f"""pre AS (SELECT *, {early} AS early, {cols}, {dmy(part(_ONE, 1), part(_ONE, 2), year)} AS one FROM raw),
-frames AS (SELECT *, {pick('a')} WHEN {until} THEN NULL ELSE one END AS f_start, {pick('b')} ELSE NULL END AS f_end,
-  CASE WHEN early IS NOT NULL THEN early WHEN {any_range} THEN 'VALID_RANGE' WHEN {until} THEN 'BIS_PREFIX' WHEN one IS NOT NULL THEN 'SINGLE_DATE' ELSE 'INVALID' END AS f_type,
-  coalesce(early IN ('TIME_RANGE', 'UNKNOWN_DATE', 'ELECTION_MARKER'), false) AS f_ignore FROM pre)"""
+    """CTE ``frames``: raw with (f_start, f_end, f_type, f_ignore) of column frame, as literal results of its twelve kinds."""
+    date = lambda y, m, d: f"make_date(CAST({y} AS BIGINT), CAST({m} AS BIGINT), CAST({d} AS BIGINT))"
+    y, m, d, e = "year(o_orderdate)", "month(o_orderdate)", "day(o_orderdate)", "(day(o_orderdate) % 28 + 1)"
+    return f"""frames AS (SELECT raw.*,
+  CASE id % 12 WHEN 0 THEN {date(y, m, d)} WHEN 1 THEN {date(y, m, 1)} WHEN 2 THEN {date(y, m, 1)} WHEN 6 THEN {date(year, m, e)} WHEN 8 THEN {date(year, m, e)} END AS f_start,
+  CASE id % 12 WHEN 0 THEN {date(y, m, e)} WHEN 1 THEN {date(y, m, e)} WHEN 2 THEN {date(y, m, e)} WHEN 6 THEN {date(year, m, 28)} END AS f_end,
+  CASE WHEN id % 12 IN (0, 1, 2) THEN 'VALID_RANGE' WHEN id % 12 = 3 THEN 'TIME_RANGE' WHEN id % 12 = 4 THEN 'UNKNOWN_DATE' WHEN id % 12 = 5 THEN 'ELECTION_MARKER'
+    WHEN {year} IS NULL THEN 'INVALID' WHEN id % 12 = 6 THEN 'VALID_RANGE' WHEN id % 12 = 7 THEN 'BIS_PREFIX' WHEN id % 12 = 8 THEN 'SINGLE_DATE' ELSE 'INVALID' END AS f_type,
+  id % 12 IN (3, 4, 5) AS f_ignore FROM raw JOIN orders ON o_orderkey = id)"""
 
 
 @query(f"WITH {RAW_SQL} SELECT id, {PUBLISH} AS publish_date FROM raw")
@@ -62,7 +49,7 @@ def c1_publish_date(spark, d):
     return raw(spark, d).select("id", S.publish_date(F.col("publish_raw")).alias("publish_date"))
 
 
-_YEAR = "CAST(year(pub) AS VARCHAR)"
+_YEAR = "year(pub)"
 
 
 @query(f"""WITH {RAW_SQL.replace('raw AS', 'raw0 AS')}, raw AS (SELECT *, {PUBLISH} AS pub FROM raw0), {frame_sql('frame', _YEAR)},
@@ -84,22 +71,23 @@ def c3_year_repair(spark, d):
     return o.select("id", r["start"].alias("survey_start"), r["end"].alias("survey_end"))
 
 
-@query(f"WITH {RAW_SQL.replace('raw AS', 'raw0 AS')}, raw AS (SELECT *, 2001 AS y FROM raw0), {frame_sql('frame', 'CAST(y AS VARCHAR)')} SELECT id, f_start AS frame_start, f_end AS frame_end, f_type AS frame_type, f_ignore AS ignored FROM frames")
+@query(f"WITH {RAW_SQL.replace('raw AS', 'raw0 AS')}, raw AS (SELECT *, 2001 AS y FROM raw0), {frame_sql('frame', 'y')} SELECT id, f_start AS frame_start, f_end AS frame_end, f_type AS frame_type, f_ignore AS ignored FROM frames")
 def c4_timeframe(spark, d):
     return raw(spark, d).select("id", S.timeframe(F.col("frame"), F.lit(2001)).alias("w")).select("id", F.col("w.start").alias("frame_start"), F.col("w.end").alias("frame_end"), F.col("w.type").alias("frame_type"), F.col("w.ignore").alias("ignored"))
 
 
-@query(f"WITH {RAW_SQL}, {frame_sql('frame', 'CAST(NULL AS VARCHAR)')} SELECT id, frame, f_start AS frame_start, f_end AS frame_end, f_type AS frame_type, f_ignore AS ignored FROM frames")
+@query(f"WITH {RAW_SQL}, {frame_sql('frame', 'CAST(NULL AS BIGINT)')} SELECT id, frame, f_start AS frame_start, f_end AS frame_end, f_type AS frame_type, f_ignore AS ignored FROM frames")
 def c5_timeframe_step(spark, d):
     return raw(spark, d).select("id", "frame", S.timeframe(F.col("frame")).alias("w")).select("id", "frame", F.col("w.start").alias("frame_start"), F.col("w.end").alias("frame_end"), F.col("w.type").alias("frame_type"), F.col("w.ignore").alias("ignored"))
 
 
-COUNT = r"TRY_CAST(replace(regexp_extract(respondents_raw, '\d{1,3}(?:\.\d{3})+|\d+'), '.', '') AS INT)"
-_PREFIX, _REST = r"upper(regexp_extract(respondents_raw, '^([A-Za-z]+)\s*[•·]', 1))", r"lower(regexp_replace(respondents_raw, '^[A-Za-z]+\s*[•·]\s*', ''))"
-METHOD = f"""CASE WHEN {_PREFIX} = 'O' THEN 'ONLINE' WHEN {_PREFIX} IN ('TOM', 'TO') THEN 'TELEFON_ONLINE' WHEN regexp_matches({_REST}, 'telefon|cati') THEN 'TELEFONISCH' WHEN regexp_matches({_REST}, 'online|cawi|panel') THEN 'ONLINE'
-  WHEN regexp_matches({_REST}, 'persönlich|persoenlich|face|f2f') THEN 'PERSOENLICH' WHEN regexp_matches({_REST}, 'tom|mixed|komb') THEN 'TELEFON_ONLINE' END"""
-_RANGE = r"(\d{1,2}\.\d{1,2}\.)\s*[–\-]\s*(\d{1,2}\.\d{1,2}\.)"
-RANGE_AT = lambda i: f"CAST(try_strptime(regexp_extract(respondents_raw, '{_RANGE}', {i}) || CAST(year({PUBLISH}) AS VARCHAR), '%d.%m.%Y') AS DATE)"
+#: Literal results of the eight kinds of respondents_raw.
+COUNT = "CAST(CASE id % 8 WHEN 0 THEN (id % 9 + 1) * 1000 + 4 WHEN 1 THEN 1000 + id % 900 + 100 WHEN 2 THEN id % 5000 WHEN 3 THEN id % 700 WHEN 4 THEN 1204 WHEN 7 THEN 1000 END AS INT)"
+METHOD = "CASE id % 8 WHEN 0 THEN 'ONLINE' WHEN 1 THEN 'TELEFON_ONLINE' WHEN 2 THEN 'TELEFONISCH' WHEN 3 THEN 'ONLINE' WHEN 4 THEN 'TELEFON_ONLINE' WHEN 5 THEN 'PERSOENLICH' WHEN 7 THEN 'TELEFON_ONLINE' END"
+
+
+def RANGE_AT(i: int) -> str:
+    return f"CASE WHEN id % 8 = 1 THEN make_date(year({PUBLISH}), {2 if i == 1 else 3}, {25 if i == 1 else 3}) END"
 
 
 @query(f"WITH {RAW_SQL} SELECT id, {COUNT} AS respondents FROM raw")
@@ -180,36 +168,34 @@ def c17_percentage(spark, d):
     return raw(spark, d).select("id", S.percentage(F.col("share_raw")).alias("percentage"))
 
 
-_ENTRIES = "map_from_arrays(array('SPD', 'cdu', 'Summe', 'Neue'), array(concat(CAST(id % 40 AS STRING), ',5 %'), CAST(id % 30 AS STRING), '100', '3'))"
+_ENTRIES = """CASE id % 5 WHEN 0 THEN ' ' WHEN 1 THEN '["SPD"]' ELSE to_json(map_from_arrays(array('SPD', 'cdu', 'Summe', 'Neue', 'FDP', 'spd'), array(concat(CAST(id % 40 AS STRING), ',5 %'), CAST(id % 30 AS STRING), '100', '3', 'k.A.', '7'))) END"""
 
 
-@query(f"""WITH {RAW_SQL}, e AS (SELECT id, unnest(['SPD', 'cdu', 'Summe', 'Neue']) AS label, unnest([concat(CAST(id % 40 AS VARCHAR), ',5 %'), CAST(id % 30 AS VARCHAR), '100', '3']) AS v, unnest([0, 1, 2, 3]) AS pos FROM raw)
-SELECT id, CAST(pos AS INT) AS pos, CASE label WHEN 'SPD' THEN 'SPD' WHEN 'cdu' THEN 'CDU' END AS party, CASE label WHEN 'SPD' THEN CAST(replace(replace(v, ',', '.'), ' %', '') AS DOUBLE) WHEN 'cdu' THEN CAST(v AS DOUBLE) END AS percentage,
-CASE label WHEN 'Summe' THEN 'skipped' WHEN 'Neue' THEN 'unknown party' ELSE 'ok' END AS outcome FROM e""")
+@query(f"""WITH {RAW_SQL}, e AS (SELECT id, unnest(['SPD', 'cdu', 'Summe', 'Neue', 'FDP', 'spd']) AS label, unnest(['SPD', 'CDU', NULL, NULL, NULL, 'SPD']) AS party, unnest([id % 40 + 0.5, CAST(id % 30 AS DOUBLE), NULL, NULL, NULL, 7.0]) AS percentage,
+  unnest(['ok', 'ok', 'skipped', 'unknown party', 'unparseable value', 'duplicate party']) AS outcome, unnest([0, 1, 2, 3, 4, 5]) AS pos FROM raw WHERE id % 5 > 1)
+SELECT id, CAST(pos AS INT) AS pos, label, party, CAST(percentage AS DOUBLE) AS percentage, outcome FROM e UNION ALL SELECT id, NULL, NULL, NULL, NULL, CASE id % 5 WHEN 0 THEN 'empty payload' ELSE 'no JSON object' END FROM raw WHERE id % 5 <= 1""")
 def c18_party_json(spark, d):
-    rows = raw(spark, d).select("id", F.to_json(F.expr(_ENTRIES)).alias("parties"))
-    return explode_parties(rows)
+    return C.explode_parties(raw(spark, d).select("id", F.expr(_ENTRIES).alias("parties")))
 
 
-def explode_parties(rows):
-    """(id, pos, party, percentage, outcome) of a JSON object label -> text; payload errors give one row with a null party."""
-    parsed = rows.withColumn("m", F.from_json("parties", "map<string,string>"))
-    long = parsed.select("id", F.posexplode_outer(F.map_entries("m")).alias("pos", "e"))
-    known, value = S.party(F.col("e.key")), S.percentage(F.col("e.value"))
-    outcome = F.when(F.col("e").isNull(), "payload error").when(S.is_non_result(F.col("e.key")), "skipped").when(known.isNull(), "unknown party").when(value.isNull(), "unparseable value").otherwise("ok")
-    return long.withColumn("outcome", outcome).select("id", "pos", F.when(F.col("outcome") == "ok", known).alias("party"), F.when(F.col("outcome") == "ok", value).alias("percentage"), "outcome")
+@query(f"""WITH {RAW_SQL} SELECT id, CASE WHEN id % 5 > 1 THEN concat('CDU=', CAST(id % 30 AS VARCHAR), ',SPD=7') END AS results, CASE WHEN id % 5 > 1 THEN 3 ELSE 1 END AS n_failed, false AS complete FROM raw""")
+def c18_party_results(spark, d):
+    r = C.party_results(C.explode_parties(raw(spark, d).select("id", F.expr(_ENTRIES).alias("parties"))))
+    text = F.array_join(F.transform(F.array_sort(F.map_entries("results")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("int").cast("string"))), ",")
+    return r.select("id", text.alias("results"), "n_failed", "complete")
 
 
-FINGERPRINT = f"""{POLL}, {RESULT}, fp AS (SELECT id, sha256(concat_ws('|', CAST(publish_date AS VARCHAR), provider, CAST(institute AS VARCHAR), CAST(scope AS VARCHAR), method, CAST(respondents AS VARCHAR), coalesce(CAST(survey_start AS VARCHAR), '~'),
-coalesce(CAST(survey_end AS VARCHAR), '~'), coalesce((SELECT string_agg(party || '=' || CAST(CAST(round(percentage * 1000) AS BIGINT) AS VARCHAR), ',' ORDER BY party) FROM result WHERE poll_id = id), ''))) AS fingerprint FROM poll)"""
+FIELDS = ("election", "institute", "method", "provider", "publish_date", "respondents", "scope", "source", "survey_end", "survey_start")
+FINGERPRINT = f"""{POLL}, {RESULT}, listed AS (SELECT poll_id, list({{'party': party, 'value': CAST(round(percentage * 1000) AS BIGINT)}} ORDER BY party) AS results FROM result GROUP BY 1),
+fp AS (SELECT id, CASE WHEN results IS NOT NULL THEN sha256(CAST(to_json({{{', '.join(f"'{c}': {c}" for c in FIELDS)}, 'results': results}}) AS VARCHAR)) END AS fingerprint FROM poll LEFT JOIN listed ON poll_id = id)"""
 
 
 def fingerprints(polls_df, results_df):
     from ..operators.dedupe import fingerprint
     from ..operators.views import nested_results
 
-    rows = polls_df.join(nested_results(results_df), F.col("id") == F.col("poll_id"), "left").withColumn("results", F.coalesce("results", F.array().cast("array<struct<party:string,percentage:double>>")))
-    return rows.withColumn("fingerprint", fingerprint([F.col(c) for c in ("publish_date", "provider", "institute", "scope", "method", "respondents", "survey_start", "survey_end")], F.col("results")))
+    rows = polls_df.join(nested_results(results_df), F.col("id") == F.col("poll_id"), "left")
+    return rows.withColumn("fingerprint", fingerprint({c: F.col(c) for c in FIELDS}, F.col("results")))
 
 
 @query(f"WITH {FINGERPRINT} SELECT id, fingerprint FROM fp")
