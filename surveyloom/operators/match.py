@@ -21,7 +21,7 @@ class MatchConfig:
 
 
 def side(polls: DataFrame, results: DataFrame, provider: str, cfg: MatchConfig) -> DataFrame:
-    """The provider's dated polls (case-insensitive), links reset, with a column for each key party."""
+    """The provider's dated polls (case-insensitive; with id, publish_date, scope, institute, election, respondents, survey_start and survey_end), links reset, with a column for each key party."""
     wide = results.filter(F.col("party").isin(*cfg.parties)).groupBy("poll_id").agg(*[F.max(F.when(F.col("party") == p, F.col("percentage"))).alias(f"p{i}") for i, p in enumerate(cfg.parties)])
     rows = polls.filter((F.lower("provider") == provider.lower()) & F.col("publish_date").isNotNull())
     complete = F.lit(True)
@@ -31,7 +31,7 @@ def side(polls: DataFrame, results: DataFrame, provider: str, cfg: MatchConfig)
 
 
 def candidates(primary: DataFrame, secondary: DataFrame, cfg: MatchConfig) -> DataFrame:
-    """Pairs of the same scope and institute (null equals null), near in time, near in all key parties; with score.
+    """Pairs of the same scope and institute (null equals null), of the same election or one without any, near in time, near in all key parties; with score.
 
     The interval becomes an equi-join: days are cut into spans of the window's length and a
     primary looks in its own span and both neighbours, so one large scope and institute is
@@ -42,7 +42,9 @@ def candidates(primary: DataFrame, secondary: DataFrame, cfg: MatchConfig) -> Da
     p = primary.filter("complete").select(*[F.col(c).alias(f"a_{c}") for c in primary.columns], F.explode(F.array(*[(F.floor(day / span) + i) for i in (-1, 0, 1)])).alias("a_span"))
     s = secondary.filter("complete").select(*[F.col(c).alias(f"b_{c}") for c in secondary.columns], F.floor(day / span).alias("b_span"))
     near = F.abs(F.datediff("a_publish_date", "b_publish_date"))
-    pairs = p.join(s, (F.col("a_span") == F.col("b_span")) & F.col("a_scope").eqNullSafe(F.col("b_scope")) & F.col("a_institute").eqNullSafe(F.col("b_institute"))).filter(near <= cfg.window_days)
+    one, other = (F.coalesce(f"{side}_election", F.lit("")) for side in ("a", "b"))
+    same_election = (one == other) | (one == "") | (other == "")
+    pairs = p.join(s, (F.col("a_span") == F.col("b_span")) & F.col("a_scope").eqNullSafe(F.col("b_scope")) & F.col("a_institute").eqNullSafe(F.col("b_institute"))).filter((near <= cfg.window_days) & same_election)
     deltas = [F.abs(F.col(f"a_p{i}") - F.col(f"b_p{i}")) for i in range(len(cfg.parties))]
     total = sum(deltas[1:], deltas[0])
     worst = F.greatest(*deltas) if len(deltas) > 1 else deltas[0]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+ELECTION = "CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE concat('E', CAST(c_nationkey % 2 AS STRING)) END"
 PROVIDER = "CASE o_orderstatus WHEN 'O' THEN 'primary' WHEN 'P' THEN 'secondary' ELSE 'historic' END"
 
 POLL = f"""poll AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS publish_date, {PROVIDER} AS provider, CAST(c_custkey % 6 AS INT) AS institute, CAST(c_nationkey AS INT) AS scope,
-  o_orderpriority AS method, CAST(floor(o_totalprice / 100) AS INT) AS respondents,
+  o_orderpriority AS method, {ELECTION} AS election, concat('s', CAST(o_custkey % 3 AS STRING)) AS source, CAST(floor(o_totalprice / 100) AS INT) AS respondents,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 9 AS INT) AS DATE) END AS survey_start,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(CAST(o_orderdate AS DATE) - CAST(o_orderkey % 4 AS INT) AS DATE) END AS survey_end
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
@@ -24,7 +25,7 @@ def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = F.col("o_orderkey") % 11 != 0
     return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id"), day.alias("publish_date"), F.expr(PROVIDER).alias("provider"), (F.col("c_custkey") % 6).cast("int").alias("institute"), F.col("c_nationkey").cast("int").alias("scope"),
-        F.col("o_orderpriority").alias("method"), F.floor(F.col("o_totalprice") / 100).cast("int").alias("respondents"),
+        F.col("o_orderpriority").alias("method"), F.expr(ELECTION).alias("election"), F.expr("concat('s', CAST(o_custkey % 3 AS STRING))").alias("source"), F.floor(F.col("o_totalprice") / 100).cast("int").alias("respondents"),
         F.when(known, F.date_sub(day, (F.col("o_orderkey") % 9).cast("int"))).alias("survey_start"), F.when(known, F.date_sub(day, (F.col("o_orderkey") % 4).cast("int"))).alias("survey_end"),
     )
 
@@ -36,14 +37,14 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SHIFT = 1_000_000_000
 MATCH_TABLES = f"""{POLL}, {RESULT},
-mpoll AS (SELECT * FROM poll WHERE provider <> 'historic' UNION ALL SELECT id + {SHIFT}, CAST(publish_date + 2 AS DATE), 'secondary', institute, scope, method, respondents, survey_start, survey_end FROM poll WHERE provider = 'primary' AND id % 3 = 0),
+mpoll AS (SELECT * FROM poll WHERE provider <> 'historic' UNION ALL SELECT id + {SHIFT}, CAST(publish_date + 2 AS DATE), 'secondary', institute, scope, method, CASE WHEN id % 4 = 0 THEN 'E9' ELSE election END, source, respondents, survey_start, survey_end FROM poll WHERE provider = 'primary' AND id % 3 = 0),
 mresult AS (SELECT * FROM result UNION ALL SELECT poll_id + {SHIFT}, party, percentage + 0.5 FROM result WHERE poll_id % 3 = 0)"""
 
 
 def match_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Polls and results in which every third primary poll has a shifted copy at the secondary provider."""
     p, r = polls(spark, sf_dir), results(spark, sf_dir)
-    copy = p.filter("provider = 'primary' and id % 3 = 0").withColumns({"id": F.col("id") + SHIFT, "publish_date": F.date_add("publish_date", 2), "provider": F.lit("secondary")})
+    copy = p.filter("provider = 'primary' and id % 3 = 0").withColumns({"id": F.col("id") + SHIFT, "publish_date": F.date_add("publish_date", 2), "provider": F.lit("secondary"), "election": F.when(F.col("id") % 4 == 0, "E9").otherwise(F.col("election"))})
     return p.filter("provider <> 'historic'").unionByName(copy), r.unionByName(r.filter("poll_id % 3 = 0").withColumns({"poll_id": F.col("poll_id") + SHIFT, "percentage": F.col("percentage") + 0.5}))
 
 
