@@ -20,10 +20,11 @@ def first_in_batch(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def ingest_counts(parsed: DataFrame, inserted: DataFrame, by: str) -> DataFrame:
-    """Parsed, inserted and skipped rows by source."""
+    """Parsed, inserted and skipped rows by source; rows without one are a source too."""
     p = parsed.groupBy(by).agg(F.count("*").alias("parsed"))
-    i = inserted.groupBy(by).agg(F.count("*").alias("inserted"))
-    return p.join(i, by, "left").select(by, "parsed", F.coalesce("inserted", F.lit(0)).cast("long").alias("inserted"), (F.col("parsed") - F.coalesce("inserted", F.lit(0))).alias("skipped"))
+    i = inserted.groupBy(F.col(by).alias("__by")).agg(F.count("*").alias("inserted"))
+    n = F.coalesce("inserted", F.lit(0)).cast("long")
+    return p.join(i, F.col(by).eqNullSafe(F.col("__by")), "left").select(by, "parsed", n.alias("inserted"), (F.col("parsed") - n).alias("skipped"))
 
 
 def silent_sources(run_counts: DataFrame, history: DataFrame, by: str) -> DataFrame:
@@ -31,11 +32,11 @@ def silent_sources(run_counts: DataFrame, history: DataFrame, by: str) -> DataFr
     return run_counts.filter("n = 0").join(history.select(by), by, "left_semi").select(by)
 
 
-def fingerprint(poll_fields: list[Column], results: Column) -> Column:
-    """SHA-256 of canonical text: fields and sorted results (party=percentage, three decimals), nulls marked."""
-    fields = [F.coalesce(c.cast("string"), F.lit("~")) for c in poll_fields]
-    text = F.array_join(F.transform(F.array_sort(results), lambda r: F.concat(r["party"], F.lit("="), F.round(r["percentage"] * 1000).cast("long").cast("string"))), ",")
-    return F.sha2(F.concat_ws("|", *fields, text), 256)
+def fingerprint(poll_fields: dict[str, Column], results: Column) -> Column:
+    """SHA-256 of the JSON of all fields by name, nulls included, and the results by party in thousandths; null without results. JSON escapes what separates values, so different polls have different texts."""
+    parts = F.transform(F.array_sort(results), lambda r: F.struct(r["party"].alias("party"), F.round(r["percentage"] * 1000).cast("long").alias("value")))
+    fields = [poll_fields[name].alias(name) for name in sorted(poll_fields)]
+    return F.when(F.size(results) > 0, F.sha2(F.to_json(F.struct(*fields, parts.alias("results")), {"ignoreNullFields": "false"}), 256))
 
 
 def unprocessed(raw: DataFrame, polls: DataFrame, duplicates: DataFrame, limit: int | None = None) -> DataFrame:
@@ -70,10 +71,13 @@ def finish_run(polls: DataFrame, version: str, dry_run: bool = False) -> int:
 
 
 def first_by_fingerprint(rows: DataFrame, stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, duplicates(id, duplicate_of)): a stored fingerprint wins, then the smallest id of the batch."""
-    s = stored.groupBy("fingerprint").agg(F.min("id").alias("stored_id"))
-    marked = rows.withColumn("first_id", F.min("id").over(W.partitionBy("fingerprint"))).join(s, "fingerprint", "left").withColumn("duplicate_of", F.coalesce("stored_id", F.when(F.col("first_id") != F.col("id"), F.col("first_id"))))
-    return marked.filter("duplicate_of is null").select(*rows.columns), marked.filter("duplicate_of is not null").select("id", "duplicate_of")
+    """(kept, duplicates(id, duplicate_of)): a stored fingerprint wins, then the smallest id of the batch.  A row without fingerprint (a poll without results) is no duplicate."""
+    s = stored.filter("fingerprint is not null").groupBy("fingerprint").agg(F.min("id").alias("stored_id"))
+    known = rows.filter("fingerprint is not null")
+    first = known.groupBy("fingerprint").agg(F.min("id").alias("first_id"))
+    marked = known.join(first, "fingerprint").join(s, "fingerprint", "left").withColumn("duplicate_of", F.coalesce("stored_id", F.when(F.col("first_id") != F.col("id"), F.col("first_id"))))
+    kept = marked.filter("duplicate_of is null").select(*rows.columns).unionByName(rows.filter("fingerprint is null"))
+    return kept, marked.filter("duplicate_of is not null").select("id", "duplicate_of")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

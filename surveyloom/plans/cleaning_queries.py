@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import survey as S
-from ..operators import dedupe as D
+from ..operators import clean as C, dedupe as D
 from .derived import RAW_SQL, polls, raw, results, table
 from .registry import query
-from .text_queries import FINGERPRINT, PUBLISH, fingerprints, frame_sql
+from .text_queries import FINGERPRINT, METHOD, PUBLISH, RANGE_AT, fingerprints, frame_sql
 
 
 def shorter(spark, d, where: str):
@@ -25,9 +25,9 @@ def b2_first_in_batch(spark, d):
     return D.first_in_batch(table(spark, d, "documents").select("doc_id", "lang", F.sha2("text", 256).alias("digest")), ["digest", "lang"], "doc_id").select("doc_id")
 
 
-@query("""WITH k AS (SELECT source, min(doc_id) OVER (PARTITION BY text) = doc_id AS first FROM documents) SELECT source, count(*) AS parsed, count(*) FILTER (first) AS inserted, count(*) FILTER (NOT first) AS skipped FROM k GROUP BY 1""")
+@query("""WITH k AS (SELECT CASE WHEN doc_id % 9 > 0 THEN source END AS source, min(doc_id) OVER (PARTITION BY text) = doc_id AS first FROM documents) SELECT source, count(*) AS parsed, count(*) FILTER (first) AS inserted, count(*) FILTER (NOT first) AS skipped FROM k GROUP BY 1""")
 def b3_ingest_counts(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+    docs = table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 9 > 0, F.col("source")).alias("source"), F.sha2("text", 256).alias("digest"))
     return D.ingest_counts(docs, D.first_in_batch(docs, ["digest"], "doc_id"), "source")
 
 
@@ -50,25 +50,34 @@ def d1_unprocessed(spark, d):
     return D.unprocessed(o, o.filter("id % 3 = 0").select(F.col("id").alias("raw_id")), o.filter("id % 5 = 0"))
 
 
-_YEAR = "CAST(year(pub) AS VARCHAR)"
-_REJECT = f"""{RAW_SQL.replace('raw AS', 'raw0 AS')}, raw AS (SELECT *, {PUBLISH} AS pub FROM raw0), {frame_sql('frame', _YEAR)},
-rejected AS (SELECT id, CASE WHEN pub IS NULL THEN 'missing publish date' WHEN f_ignore THEN 'ignored timeframe' WHEN party_raw IN ('Summe', 'Neue', 'Nichtwähler') THEN 'no party result' END AS reason FROM frames)"""
+_PAYLOAD = """CASE id % 4 WHEN 0 THEN to_json(map(party_raw, share_raw)) WHEN 1 THEN '{}' WHEN 2 THEN 'no json' ELSE to_json(map('SPD', '20', party_raw, '5')) END"""
+_REJECT = f"""{RAW_SQL.replace('raw AS', 'raw0 AS')}, raw AS (SELECT *, {PUBLISH} AS pub FROM raw0), {frame_sql('frame', 'year(pub)')},
+rejected AS (SELECT id, CASE WHEN pub IS NULL THEN 'missing publish date' WHEN f_ignore THEN 'ignored timeframe'
+  WHEN id % 4 IN (1, 2) OR (id % 4 = 0 AND NOT (id % 9 IN (0, 1, 2, 3, 6, 7) AND id % 8 IN (0, 1, 3, 5))) THEN 'no party result' WHEN id % 10 = 3 THEN 'duplicate' END AS reason FROM frames)"""
 
 
 def rejections(spark, d):
     pub = S.publish_date(F.col("publish_raw"))
-    reason = F.when(pub.isNull(), "missing publish date").when(S.timeframe(F.col("frame"), F.year(pub))["ignore"], "ignored timeframe").when(S.party(F.col("party_raw")).isNull(), "no party result")
-    return raw(spark, d).select("id", reason.alias("reason"))
+    rows = raw(spark, d)
+    results = C.party_results(C.explode_parties(rows.select("id", F.expr(_PAYLOAD).alias("parties")))).select("id", "results")
+    rows = rows.select("id", pub.alias("publish_date"), S.timeframe(F.col("frame"), F.year(pub))["ignore"].alias("ignore")).join(results, "id", "left")
+    return C.reject(rows, rows.filter("id % 10 = 3").select("id"))
 
 
 @query(f"WITH {_REJECT} SELECT id, reason FROM rejected")
 def d2_rejections(spark, d):
-    return rejections(spark, d)
+    return rejections(spark, d).select("id", "reason")
 
 
-@query(f"WITH {RAW_SQL} SELECT id, coalesce(method_raw, 'none') AS method, coalesce(nullif(trim(institute_raw), ''), 'Unknown') AS provider FROM raw")
+@query(f"""WITH {RAW_SQL} SELECT id, coalesce(CASE WHEN id % 3 = 0 THEN DATE '2001-01-01' END, {RANGE_AT(1)}) AS survey_start, {RANGE_AT(2)} AS survey_end, coalesce({METHOD}, CASE id % 2 WHEN 0 THEN 'TELEFONISCH' ELSE 'UNBEKANNT' END) AS method,
+  coalesce(nullif(trim(institute_raw), ''), 'Unknown') AS provider FROM raw""")
 def d3_fallbacks(spark, d):
-    return raw(spark, d).select("id", F.coalesce("method_raw", F.lit("none")).alias("method"), F.coalesce(F.nullif(F.trim("institute_raw"), F.lit("")), F.lit("Unknown")).alias("provider"))
+    none = F.lit(None).cast("date")
+    rows = raw(spark, d).select(
+        "id", S.publish_date(F.col("publish_raw")).alias("publish_date"), F.when(F.col("id") % 3 == 0, F.lit("2001-01-01").cast("date")).alias("survey_start"), none.alias("survey_end"),
+        F.col("respondents_raw").alias("respondents_text"), F.when(F.col("id") % 2 == 0, "CATI").otherwise("99").alias("method_text"), F.col("institute_raw").alias("provider"),
+    )
+    return C.with_fallbacks(rows).select("id", "survey_start", "survey_end", "method", "provider")
 
 
 @query("""WITH dim AS (SELECT DISTINCT CAST(s_nationkey AS BIGINT) AS id, 'src' || s_nationkey AS source FROM supplier WHERE s_nationkey < 5), unseen AS (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL AND source NOT IN (SELECT source FROM dim))
@@ -79,10 +88,10 @@ def d4_new_members(spark, d):
 
 
 def digests(spark, d):
-    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.sha2(F.lower("text"), 256).alias("fingerprint"))
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 11 > 0, F.sha2(F.lower("text"), 256)).alias("fingerprint"))
 
 
-@query("SELECT doc_id AS id, first AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(text)) AS first FROM documents) WHERE first <> doc_id")
+@query("SELECT doc_id AS id, first AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY lower(text)) AS first FROM documents WHERE doc_id % 11 > 0) WHERE first <> doc_id")
 def d5_fingerprint_duplicates(spark, d):
     rows = digests(spark, d)
     stored = rows.filter("id < 100")
@@ -113,14 +122,19 @@ def d8_backfill(spark, d):
     return D.backfill(made.withColumn("fingerprint", F.when(F.col("id") % 2 == 0, F.col("fingerprint"))), made)
 
 
-@query(f"WITH {_REJECT} SELECT coalesce(reason, 'created') AS outcome, count(*) AS n FROM rejected GROUP BY 1")
+@query(f"""WITH {_REJECT}, m AS (SELECT CASE o_orderkey % 4 WHEN 0 THEN 'matched' WHEN 1 THEN 'multiple_matches' ELSE 'no_match' END AS status FROM orders WHERE o_orderkey % 3 = 0)
+SELECT count(*) AS processed, count(*) FILTER (reason IS NULL AND id % 7 <> 0) AS created, count(*) FILTER (reason IS NULL AND id % 7 = 0) AS updated, count(*) FILTER (reason IS NOT NULL) AS skipped,
+(SELECT count(*) FILTER (status = 'matched') FROM m) AS matched, (SELECT count(*) FILTER (status = 'multiple_matches') FROM m) AS ambiguous,
+(SELECT count(*) FROM orders WHERE o_orderstatus = 'O') AS public, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'O') AS excluded FROM rejected""")
 def d10_cleaning_statistics(spark, d):
-    return rejections(spark, d).groupBy(F.coalesce("reason", F.lit("created")).alias("outcome")).agg(F.count("*").alias("n"))
+    k = F.col("o_orderkey")
+    links = table(spark, d, "orders").select(F.when(k % 3 == 0, "primary").otherwise("secondary").alias("side"), F.when(k % 4 == 0, "matched").when(k % 4 == 1, "multiple_matches").otherwise("no_match").alias("status"))
+    return C.cleaning_statistics(rejections(spark, d).withColumn("existed", F.col("id") % 7 == 0), links, table(spark, d, "orders").select((F.col("o_orderstatus") == "O").alias("is_public")))
 
 
-@query(f"WITH {FINGERPRINT} SELECT id, CAST(count(*) OVER (PARTITION BY fingerprint) AS BIGINT) AS copies FROM fp")
+@query(f"WITH {FINGERPRINT} SELECT id, CAST(count(*) OVER (PARTITION BY fingerprint) AS BIGINT) AS copies FROM fp WHERE fingerprint IS NOT NULL")
 def d5_poll_copies(spark, d):
-    rows = fingerprints(polls(spark, d), results(spark, d)).select("id", "fingerprint")
+    rows = fingerprints(polls(spark, d), results(spark, d)).select("id", "fingerprint").filter("fingerprint is not null")
     return rows.join(rows.groupBy("fingerprint").agg(F.count("*").alias("copies")), "fingerprint").select("id", "copies")
 
 
