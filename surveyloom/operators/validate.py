@@ -18,12 +18,17 @@ def sum_check(polls: DataFrame, results: DataFrame, total: float = 100, toleranc
     return polls.select("id").join(per, F.col("id") == F.col("poll_id"), "left").select("id", F.coalesce(F.col("observed").between(total - tolerance, total + tolerance), F.lit(False)).alias("passed"), F.round("observed", 2).alias("observed"))
 
 
-def date_check(polls: DataFrame, today: Column) -> DataFrame:
-    """Start, end and publication in order, none missing, none after today."""
+def date_message(today: Column) -> Column:
+    """What is wrong with start, end and publication: missing, out of order, after today; else ok."""
     missing = F.col("survey_start").isNull() | F.col("survey_end").isNull() | F.col("publish_date").isNull()
     ordered = (F.col("survey_start") <= F.col("survey_end")) & (F.col("survey_end") <= F.col("publish_date"))
     future = F.greatest("survey_start", "survey_end", "publish_date") > today
-    message = F.when(missing, "missing dates").when(~ordered, "dates out of order").when(future, "date in the future").otherwise("ok")
+    return F.when(missing, "missing dates").when(~ordered, "dates out of order").when(future, "date in the future").otherwise("ok")
+
+
+def date_check(polls: DataFrame, today: Column) -> DataFrame:
+    """Start, end and publication in order, none missing, none after today."""
+    message = date_message(today)
     return polls.select("id", (message == "ok").alias("passed"), message.alias("message"))
 
 
@@ -47,16 +52,27 @@ def expected_parties(polls: DataFrame, rules: list[tuple[str, list[str], int | N
 
 
 def presence(polls: DataFrame, results: DataFrame, parties: list[str], days: int = 365) -> DataFrame:
-    """Per poll and monitored party how many other polls of its scope within the window there are, and how many have the party. Undated polls compare with their whole scope."""
-    grid = polls.select("id", "scope", "publish_date", F.explode(F.array(*[F.lit(p) for p in parties])).alias("party"))
-    has = results.filter(F.col("party").isin(parties)).select(F.col("poll_id").alias("id"), "party", F.lit(1).alias("has")).distinct()
-    grid = grid.join(has, ["id", "party"], "left").withColumn("has", F.coalesce("has", F.lit(0))).withColumn("day", F.datediff("publish_date", F.lit("1970-01-01")))
-    near, everything = W.partitionBy("scope", "party").orderBy("day").rangeBetween(-days, days), W.partitionBy("scope", "party")
+    """Per poll and monitored party how many other polls of its scope within the window there are, and how many have the party. Undated polls compare with their whole scope.
+
+    Polls are counted by scope and day first, so the windows run over days, however many
+    polls a scope has.
+    """
+    have = results.filter(F.col("party").isin(parties)).groupBy(F.col("poll_id").alias("id")).agg(F.collect_set("party").alias("have"))
+    rows = polls.select("id", "scope", F.datediff("publish_date", F.lit("1970-01-01")).alias("day")).join(have, "id", "left")
+    rows = rows.withColumn("have", F.coalesce("have", F.array().cast("array<string>")))
+    holding = [F.count_if(F.array_contains("have", p)).alias(f"k{i}") for i, p in enumerate(parties)]
+    by_day = rows.groupBy("scope", "day").agg(F.count("*").alias("n"), *holding)
+    near, everything = W.partitionBy("scope").orderBy("day").rangeBetween(-days, days), W.partitionBy("scope")
     undated = F.col("day").isNull()
-    dated = F.when(~undated, 1).otherwise(0)
-    n = F.when(undated, F.count("*").over(everything)).otherwise(F.sum(dated).over(near))
-    k = F.when(undated, F.sum("has").over(everything)).otherwise(F.sum(F.col("has") * dated).over(near))
-    return grid.select("id", "party", "has", (n - 1).cast("long").alias("comparisons"), (k - F.col("has")).cast("long").alias("with_party"))
+
+    def around(c: str) -> Column:
+        return F.when(undated, F.sum(c).over(everything)).otherwise(F.sum(F.when(~undated, F.col(c))).over(near))
+
+    counts = by_day.select(F.col("scope").alias("__scope"), F.col("day").alias("__day"), around("n").alias("around"), F.array(*[around(f"k{i}") for i in range(len(parties))]).alias("holding"))
+    rows = rows.join(counts, F.col("scope").eqNullSafe(F.col("__scope")) & F.col("day").eqNullSafe(F.col("__day")))
+    grid = rows.select("id", "have", "around", F.posexplode(F.array(*[F.lit(p) for p in parties])).alias("i", "party"), "holding")
+    has = F.array_contains("have", F.col("party")).cast("int")
+    return grid.select("id", "party", has.alias("has"), (F.col("around") - 1).cast("long").alias("comparisons"), (F.get("holding", F.col("i")) - has).cast("long").alias("with_party"))
 
 
 def core_party_check(polls: DataFrame, expected: DataFrame, counts: DataFrame, min_polls: int = 5, min_share: float = 0.8, policy: bool = True) -> DataFrame:
@@ -69,14 +85,40 @@ def core_party_check(polls: DataFrame, expected: DataFrame, counts: DataFrame, m
 
 
 def jump_check(polls: DataFrame, results: DataFrame, group: str, threshold: float = 4.0) -> DataFrame:
-    """Change of a party from the previous poll of its group (by date, undated first, then id) above the threshold; polls without a group pass."""
-    rows = polls.filter(F.col(group).isNotNull()).select("id", F.col(group).alias("g"), "publish_date").join(results, F.col("id") == F.col("poll_id"))
-    order = W.partitionBy("g", "party").orderBy(F.col("publish_date").asc_nulls_first(), "id")
-    rows = rows.withColumn("delta", F.col("percentage") - F.lag("percentage").over(order))
-    jumps = rows.filter(F.abs("delta") > threshold).groupBy("id").agg(F.count("*").alias("jumps"), F.max(F.abs("delta")).alias("largest"))
+    """Change of a party from the previous poll of its group (by date, undated first, then id) above the threshold; polls without a group pass.
+
+    A window is a year of a party in a group; each year's last value is carried over to the
+    first poll of the next year that has one, so no task sorts a group's whole history.
+    """
+    rows = polls.filter(F.col(group).isNotNull()).select("id", F.col(group).alias("g"), "publish_date", F.coalesce(F.year("publish_date"), F.lit(-1_000_000)).alias("year"))
+    rows = rows.join(results.select(F.col("poll_id").alias("id"), "party", "percentage"), "id")
+    place = F.struct(F.coalesce("publish_date", F.lit("0001-01-01").cast("date")), "id")
+    by_year = rows.groupBy("g", "party", "year").agg(F.max_by("percentage", place).alias("last"))
+    carried = by_year.select("g", "party", "year", F.lag("last").over(W.partitionBy("g", "party").orderBy("year")).alias("carried"))
+    order = W.partitionBy("g", "party", "year").orderBy(F.col("publish_date").asc_nulls_first(), "id")
+    rows = rows.withColumn("before", F.lag("percentage").over(order)).withColumn("first", F.row_number().over(order) == 1).join(carried, ["g", "party", "year"])
+    delta = F.abs(F.col("percentage") - F.when(F.col("first"), F.col("carried")).otherwise(F.col("before")))
+    jumps = rows.withColumn("delta", delta).filter(F.col("delta") > threshold).groupBy("id").agg(F.count("*").alias("jumps"), F.max("delta").alias("largest"))
     return polls.select("id").join(jumps, "id", "left").select("id", F.col("jumps").isNull().alias("passed"), F.coalesce("jumps", F.lit(0)).alias("jumps"), "largest")
 
 
+def check_flags(
+    polls: DataFrame, results: DataFrame, bounds: DataFrame, unknown_method: str, rules: list, group: Column, monitored: list[str], today: Column, *, low: float = 0, high: float = 100, total: float = 100, tolerance: float = 2, jump: float = 4.0, groups: tuple[str, str] = ("institute", "scope"),
+) -> DataFrame:
+    """G1 to G9 at once: (poll_id, the seven flags, observed_sum, offenders, blocking, jumps). Results are aggregated once for the checks of a poll on its own; the others join by poll."""
+    bad = ~F.col("percentage").between(low, high)
+    per = results.groupBy("poll_id").agg(F.sum("percentage").alias("observed_sum"), F.sort_array(F.collect_list(F.when(bad, F.col("party")))).alias("offenders"))
+    rows = polls.join(per, F.col("id") == F.col("poll_id"), "left").withColumn("method", F.coalesce("method", F.lit(unknown_method))).join(F.broadcast(bounds), "method", "left")
+    rows = rows.select(
+        "id", F.coalesce(F.size("offenders") == 0, F.lit(False)).alias("qc_range"), F.coalesce(F.col("observed_sum").between(total - tolerance, total + tolerance), F.lit(False)).alias("qc_sum"), (date_message(today) == "ok").alias("qc_dates"),
+        F.coalesce(F.col("respondents").between(F.col("low"), F.col("high")), F.lit(False)).alias("qc_respondents"), "observed_sum", F.coalesce(F.array_join("offenders", ","), F.lit("")).alias("offenders"),
+    )
+    core = core_party_check(polls, expected_parties(polls, rules, group), presence(polls, results, monitored)).select("id", F.col("passed").alias("qc_core"), "blocking")
+    first, second = (jump_check(polls, results, g, jump).select("id", F.col("passed").alias(name), F.col("jumps").alias(f"jumps_{name}")) for g, name in zip(groups, CHECKS[5:], strict=True))
+    out = rows.join(core, "id").join(first, "id").join(second, "id")
+    return out.select(F.col("id").alias("poll_id"), *CHECKS, "observed_sum", "offenders", "blocking", sum(F.col(f"jumps_{name}") for name in CHECKS[5:]).alias("jumps"))
+
+
 CHECKS = ["qc_range", "qc_sum", "qc_dates", "qc_respondents", "qc_core", "qc_jump_institute", "qc_jump_scope"]
 SEVERITY = {"qc_range": "error", "qc_sum": "error", "qc_dates": "error", "qc_respondents": "error", "qc_core": "error", "qc_jump_institute": "warning", "qc_jump_scope": "warning"}
 
@@ -92,10 +134,18 @@ def research_ready(required: list[str] | None = None) -> Column:
     return out
 
 
-def validation_rows(flags: DataFrame, required: list[str] | None = None) -> DataFrame:
-    """Flags by poll with error and warning counts, validity and JSON details."""
+def validation_rows(flags: DataFrame, required: list[str] | None = None, validated_at: Column | None = None) -> DataFrame:
+    """Flags by poll with error and warning counts, validity, JSON details (what the checks observed) and, if given, the time."""
     count = lambda s: sum((F.when(~F.col(c), 1).otherwise(0) for c in CHECKS if SEVERITY[c] == s), F.lit(0))
-    return flags.select("poll_id", research_ready(required).alias("valid"), count("error").cast("long").alias("error_count"), count("warning").cast("long").alias("warning_count"), *CHECKS, F.to_json(F.struct(*CHECKS)).alias("details"))
+    seen = [c for c in ("observed_sum", "offenders", "blocking", "jumps") if c in flags.columns]
+    details = F.to_json(F.struct(*(seen or CHECKS)), {"ignoreNullFields": "false"})
+    out = flags.select("poll_id", research_ready(required).alias("valid"), count("error").cast("long").alias("error_count"), count("warning").cast("long").alias("warning_count"), *CHECKS, details.alias("details"))
+    return out if validated_at is None else out.withColumn("validated_at", validated_at)
+
+
+def upsert_validations(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of new take the place of those of old of the same poll."""
+    return old.join(new.select("poll_id"), "poll_id", "left_anti").unionByName(new)
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -104,9 +154,15 @@ def summary(rows: DataFrame) -> DataFrame:
 
 
 def check_report(rows: DataFrame) -> DataFrame:
-    """Passed and failed by check, in check order."""
+    """Passed, failed and the share that passed (four decimals, 0 without rows) by check, in check order."""
     long = rows.select(F.posexplode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("ok")) for c in CHECKS])).alias("position", "x"))
-    return long.groupBy("position", F.col("x.name").alias("check_name")).agg(F.count_if("x.ok").alias("passed"), F.count_if(~F.col("x.ok")).alias("failed"))
+    out = long.groupBy("position", F.col("x.name").alias("check_name")).agg(F.count_if("x.ok").alias("passed"), F.count_if(~F.col("x.ok")).alias("failed"))
+    return out.withColumn("pass_share", share(F.col("passed"), F.col("passed") + F.col("failed")))
+
+
+def share(part: Column, of: Column) -> Column:
+    """A share with four decimals, 0 of nothing."""
+    return F.coalesce(F.round(F.try_divide(part, of), 4), F.lit(0.0))
 
 
 def top_failing(report: DataFrame, n: int) -> DataFrame:
@@ -115,11 +171,19 @@ def top_failing(report: DataFrame, n: int) -> DataFrame:
     return report.filter("failed > 0").withColumn("rank", rank).filter(F.col("rank") <= n).select("rank", "check_name", "failed")
 
 
+#: Public wording of a status.
+PUBLIC_STATUS = {"pass": "ready", "warn": "review_recommended", "fail": "attention_needed"}
+
+
 def quality_status(rows: DataFrame, max_invalid: float = 0.05, min_valid: float = 0.9, max_warning: float = 0.1) -> DataFrame:
-    """Pass, warn or fail from the shares."""
-    s = summary(rows)
-    status = F.when(F.col("total") == 0, "warn").when(F.col("invalid") > max_invalid * F.col("total"), "fail").when((F.col("valid") < min_valid * F.col("total")) | (F.col("with_warning") > max_warning * F.col("total")), "warn").otherwise("pass")
-    return s.withColumn("status", status)
+    """Totals and shares with the status (pass, warn or fail), its public wording, and the latest validation where rows have validated_at."""
+    latest = F.max("validated_at") if "validated_at" in rows.columns else F.max(F.lit(None).cast("timestamp"))
+    s = summary(rows).crossJoin(rows.agg(latest.alias("latest_validated_at")))
+    for name in ("valid", "invalid", "with_warning"):
+        s = s.withColumn(f"{name}_share", share(F.col(name), F.col("total")))
+    status = F.when(F.col("total") == 0, "warn").when(F.col("invalid_share") > max_invalid, "fail").when((F.col("valid_share") < min_valid) | (F.col("with_warning_share") > max_warning), "warn").otherwise("pass")
+    public = F.create_map(*[F.lit(x) for kv in PUBLIC_STATUS.items() for x in kv])
+    return s.withColumn("status", status).withColumn("public_status", F.element_at(public, F.col("status")))
 
 
 def flagged(rows: DataFrame, n: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..operators import match as M, select as P, validate as V
@@ -17,7 +15,7 @@ wide AS (SELECT poll_id, max(CASE WHEN party = '1' THEN percentage END) AS p0, m
 side AS (SELECT m.*, p0, p1, p0 IS NOT NULL AND p1 IS NOT NULL AS complete FROM mpoll m LEFT JOIN wide ON poll_id = id WHERE publish_date IS NOT NULL)"""
 _PAIRS = f"""{_SIDES},
 near AS (SELECT a.id AS a_id, b.id AS b_id, abs(a.p0 - b.p0) AS d0, abs(a.p1 - b.p1) AS d1, abs(date_diff('day', a.publish_date, b.publish_date)) AS days, a.survey_start AS as_, a.survey_end AS ae, b.survey_start AS bs, b.survey_end AS be, a.respondents AS ar, b.respondents AS br
-  FROM side a JOIN side b ON a.provider = 'primary' AND b.provider = 'secondary' AND a.complete AND b.complete AND a.scope IS NOT DISTINCT FROM b.scope AND a.institute IS NOT DISTINCT FROM b.institute AND abs(date_diff('day', a.publish_date, b.publish_date)) <= 7),
+  FROM side a JOIN side b ON a.provider = 'primary' AND b.provider = 'secondary' AND a.complete AND b.complete AND a.scope IS NOT DISTINCT FROM b.scope AND a.institute IS NOT DISTINCT FROM b.institute AND (coalesce(a.election, '') = coalesce(b.election, '') OR coalesce(a.election, '') = '' OR coalesce(b.election, '') = '') AND abs(date_diff('day', a.publish_date, b.publish_date)) <= 7),
 pairs AS (SELECT *, d0 + d1 AS total, d0 + d1 + 0.1 * days AS score FROM near WHERE greatest(d0, d1) <= 10 AND d0 + d1 <= 15)"""
 _DATED = f"""{_PAIRS},
 dated AS (SELECT * FROM (SELECT *, max(CASE WHEN as_ IS NOT NULL AND ae IS NOT NULL AND bs IS NOT NULL AND be IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY a_id) AS strict FROM pairs) WHERE strict = 0 OR coalesce(as_ = bs AND ae = be, false))"""
@@ -155,8 +153,7 @@ def jump_sql(name: str, group: str) -> str:
 
 
 def expected(spark, p):
-    group = F.concat(F.lit("|"), F.when(F.col("scope") % 2 == 0, "even").otherwise("odd"), F.lit("|scope"), F.col("scope").cast("string"), F.lit("|"))
-    return V.expected_parties(p, RULES, group)
+    return V.expected_parties(p, RULES, group_of())
 
 
 MONITORED = ["1", "2", "3", "4", "5"]
@@ -217,17 +214,19 @@ def g9_scope_jumps(spark, d):
 
 
 _FLAGS = f"""{BASE}, {G1}, {G2}, {G3}, {G4}, {G7}, {jump_sql('g8', 'institute')}, {jump_sql('g9', 'scope')},
-flags AS (SELECT g1.id AS poll_id, g1.passed AS qc_range, g2.passed AS qc_sum, message = 'ok' AS qc_dates, g4.passed AS qc_respondents, blocking = '' AS qc_core, g8.jumps = 0 AS qc_jump_institute, g9.jumps = 0 AS qc_jump_scope
+flags AS (SELECT g1.id AS poll_id, g1.passed AS qc_range, g2.passed AS qc_sum, message = 'ok' AS qc_dates, g4.passed AS qc_respondents, blocking = '' AS qc_core, g8.jumps = 0 AS qc_jump_institute, g9.jumps = 0 AS qc_jump_scope, observed AS observed_sum, offenders, blocking, g8.jumps + g9.jumps AS jumps
   FROM g1 JOIN g2 USING (id) JOIN g3 USING (id) JOIN g4 USING (id) JOIN g7 USING (id) JOIN g8 USING (id) JOIN g9 USING (id)),
 val AS (SELECT *, qc_range AND qc_dates AND qc_respondents AS valid, CAST(NOT qc_range AS BIGINT) + CAST(NOT qc_sum AS BIGINT) + CAST(NOT qc_dates AS BIGINT) + CAST(NOT qc_respondents AS BIGINT) + CAST(NOT qc_core AS BIGINT) AS error_count,
   CAST(NOT qc_jump_institute AS BIGINT) + CAST(NOT qc_jump_scope AS BIGINT) AS warning_count FROM flags)"""
 REQUIRED = ["qc_range", "qc_dates", "qc_respondents"]
 
 
+def group_of():
+    return F.concat(F.lit("|"), F.when(F.col("scope") % 2 == 0, "even").otherwise("odd"), F.lit("|scope"), F.col("scope").cast("string"), F.lit("|"))
+
+
 def flags(spark, d):
-    checks = [g1_range_check, g2_sum_check, g3_date_check, g4_respondents_check, g7_core_parties, g8_institute_jumps, g9_scope_jumps]
-    frames = [f(spark, d).select("id", F.col("passed").alias(c)) for f, c in zip(checks, V.CHECKS, strict=True)]
-    return reduce(lambda a, b: a.join(b, "id"), frames).withColumnRenamed("id", "poll_id")
+    return V.check_flags(polls(spark, d), results(spark, d), bounds(spark), "3-MEDIUM", RULES, group_of(), MONITORED, F.lit(TODAY).cast("date"), high=45, jump=25)
 
 
 def validations(spark, d):
@@ -239,9 +238,13 @@ def g10_research_ready(spark, d):
     return flags(spark, d).select("poll_id", V.research_ready(REQUIRED).alias("valid"))
 
 
-@query(f"WITH {_FLAGS} SELECT poll_id, valid, error_count, warning_count, qc_range, qc_sum, qc_dates, qc_respondents, qc_core, qc_jump_institute, qc_jump_scope FROM val")
+@query(f"""WITH {_FLAGS} SELECT poll_id, valid, error_count, warning_count, qc_range, qc_sum, qc_dates, qc_respondents, qc_core, qc_jump_institute, qc_jump_scope,
+CAST(to_json({{'observed_sum': CAST(observed_sum AS DOUBLE), 'offenders': offenders, 'blocking': blocking, 'jumps': jumps}}) AS VARCHAR) AS details FROM val""")
 def g11_validation_rows(spark, d):
-    return validations(spark, d).drop("details")
+    """The rows of a run over all polls take the place of earlier ones."""
+    new = validations(spark, d)
+    old = polls(spark, d).filter("id % 2 = 0").select(F.col("id").alias("poll_id"), F.lit(False).alias("valid"), *[F.lit(9).cast("long").alias(c) for c in ("error_count", "warning_count")], *[F.lit(False).alias(c) for c in V.CHECKS], F.lit("").alias("details"))
+    return V.upsert_validations(old, new)
 
 
 @query(f"WITH {_FLAGS} SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (NOT valid) AS invalid, count(*) FILTER (warning_count > 0) AS with_warning FROM val")
@@ -253,7 +256,7 @@ _REPORT = f"""{_FLAGS}, long AS (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS positio
 report AS (SELECT position, check_name, count(*) FILTER (ok) AS passed, count(*) FILTER (NOT ok) AS failed FROM long GROUP BY 1, 2)"""
 
 
-@query(f"WITH {_REPORT} SELECT * FROM report")
+@query(f"WITH {_REPORT} SELECT *, round(passed / (passed + failed), 4) AS pass_share FROM report")
 def g13_check_report(spark, d):
     return V.check_report(validations(spark, d))
 
@@ -263,10 +266,15 @@ def g14_top_failing(spark, d):
     return V.top_failing(V.check_report(validations(spark, d)), 3)
 
 
-@query(f"""WITH {_FLAGS}, s AS (SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (NOT valid) AS invalid, count(*) FILTER (warning_count > 0) AS with_warning FROM val)
-SELECT *, CASE WHEN total = 0 THEN 'warn' WHEN invalid > 0.05 * total THEN 'fail' WHEN valid < 0.9 * total OR with_warning > 0.1 * total THEN 'warn' ELSE 'pass' END AS status FROM s""")
+QUALITY = f"""{_FLAGS}, s AS (SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (NOT valid) AS invalid, count(*) FILTER (warning_count > 0) AS with_warning FROM val),
+shares AS (SELECT *, coalesce(round(valid / nullif(total, 0), 4), 0) AS valid_share, coalesce(round(invalid / nullif(total, 0), 4), 0) AS invalid_share, coalesce(round(with_warning / nullif(total, 0), 4), 0) AS with_warning_share FROM s),
+quality AS (SELECT *, CASE WHEN total = 0 THEN 'warn' WHEN invalid_share > 0.05 THEN 'fail' WHEN valid_share < 0.9 OR with_warning_share > 0.1 THEN 'warn' ELSE 'pass' END AS status FROM shares)"""
+
+
+@query(f"""WITH {QUALITY} SELECT *, (SELECT max(o_orderdate) FROM orders) AS latest_validated_at, CASE status WHEN 'pass' THEN 'ready' WHEN 'warn' THEN 'review_recommended' ELSE 'attention_needed' END AS public_status FROM quality""")
 def g15_quality_status(spark, d):
-    return V.quality_status(validations(spark, d))
+    at = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("poll_id"), F.col("o_orderdate").alias("validated_at"))
+    return V.quality_status(validations(spark, d).join(at, "poll_id"))
 
 
 @query(f"WITH {_FLAGS} SELECT poll_id, valid FROM val WHERE NOT valid OR NOT qc_jump_institute OR NOT qc_jump_scope ORDER BY poll_id LIMIT 50")
