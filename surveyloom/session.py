@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -23,3 +25,13 @@ def ship(spark: SparkSession) -> None:
             z.write(p, str(p.relative_to(top.parent)))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in spark.checkpoint.dir, which driver and executors share; where that is unset, one of our own for a local session, else an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='spark-scratch-')}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

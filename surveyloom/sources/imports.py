@@ -1,94 +1,21 @@
-"""Reading raw rows (A): HTML tables, JSON dumps, CSV with header aliases, long files."""
+"""Reading raw rows (A): source catalogues, JSON dumps, CSV with header aliases, long files; and exports."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from html.parser import HTMLParser
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
-
-#: Columns of a page table that are no party results.
-FIXED_HEADERS = {"Institut", "Auftraggeber", "Befragte", "Datum", "Zeitraum"}
-
-
-class _Tables(HTMLParser):
-    """Rows of the tables of one class: (header cells?, cell texts) per row, in document order."""
-
-    def __init__(self, css: str):
-        super().__init__(convert_charrefs=True)
-        self.css, self.tables, self.depth, self.cell, self.row = css, [], 0, None, None
-        self.head = False
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            if self.depth or self.css in (dict(attrs).get("class") or "").split():
-                self.depth += 1
-                if self.depth == 1:
-                    self.tables.append([])
-        elif self.depth == 1 and tag == "thead":
-            self.head = True
-        elif self.depth == 1 and tag == "tr":
-            self.row = (self.head, [])
-            self.tables[-1].append(self.row)
-        elif self.depth == 1 and tag in ("td", "th") and self.row is not None:
-            self.cell = []
-            self.row[1].append((tag, self.cell))
-
-    def handle_endtag(self, tag):
-        if tag == "table" and self.depth:
-            self.depth -= 1
-        elif tag in ("td", "th"):
-            self.cell = None
-        elif tag == "thead":
-            self.head = False
-
-    def handle_data(self, data):
-        if self.depth == 1 and self.cell is not None:
-            self.cell.append(data)
-
-
-def page_rows(html: str, css: str = "wilko") -> list[list[tuple[str, str]]]:
-    """(header, text) pairs of each body row that has a party result; rows with too few cells are left out."""
-    parser = _Tables(css)
-    parser.feed(html)
-    out = []
-    clean = lambda parts: "".join(parts).replace("\xa0", " ").strip()
-    for rows in parser.tables:
-        heads = [r for r in rows if r[0]] or rows[:1]
-        if not heads:
-            continue
-        names = [clean(c) for _, c in heads[0][1]]
-        if names and not names[0]:
-            names[0] = "Datum"
-        for is_head, cells in rows:
-            texts = [clean(c) for tag, c in cells if tag == "td"]
-            if is_head or (is_head, cells) == heads[0] or len(texts) < len(names):
-                continue
-            pairs = list(zip(names, texts, strict=False))
-            if any(n not in FIXED_HEADERS and t for n, t in pairs):
-                out.append(pairs)
-    return out
-
-
-def html_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """A1: (page_id, row, fields map, parties map) of the poll tables of each page; pages without one give no rows."""
-
-    def run(batches):
-        kind = pa.map_(pa.string(), pa.string())
-        for batch in batches:
-            ids, rows, fields, parties = [], [], [], []
-            for i, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for n, pairs in enumerate(page_rows(html or "")):
-                    ids.append(i)
-                    rows.append(n)
-                    fields.append(dict(p for p in pairs if p[0] in FIXED_HEADERS))
-                    parties.append({k: v for k, v in pairs if k not in FIXED_HEADERS and v})
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.int32()), pa.array([list(x.items()) for x in fields], kind), pa.array([list(x.items()) for x in parties], kind)], names=["page_id", "row", "fields", "parties"])
-
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(html_col).alias("html"))
-    return src.mapInArrow(run, "page_id long, row int, fields map<string,string>, parties map<string,string>")
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from .. import vocab
+from ..functions.survey import day_first, iso_date, lookup
+
+
+def catalogue(entries: DataFrame) -> DataFrame:
+    """A4: a source catalogue with active and survey_type: a class runs if its name ends in Scraper; a survey type, however its key is written, is kept, else it is a projection."""
+    own = [c for c in entries.columns if c.lower() == "survey_type"]
+    kind = F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in own], F.lit("Projektion"))
+    return entries.select(*[c for c in entries.columns if c not in own], kind.alias("survey_type"), F.coalesce(F.col("class_name").endswith("Scraper"), F.lit(False)).alias("active"))
 
 
 def enrich_by_worker(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -104,12 +31,33 @@ def enrich_by_worker(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     return out.select(*given, *[F.col(f"__{x}").alias(x) for x in ("state", "scope", "provider", "survey_type")])
 
 
-def flatten_dump(dumps: DataFrame, column: str) -> DataFrame:
-    """A5: a row for each entry of the ``Surveys`` map of a JSON dump; results that are no numbers are dropped."""
-    kind = "Surveys map<string, struct<Date:string, Method_ID:string, Institute_ID:string, Results:map<string,string>>>"
-    surveys = dumps.select(F.explode(F.from_json(column, kind)["Surveys"]).alias("survey_id", "s"))
-    numbers = F.map_filter(F.transform_values("s.Results", lambda _, v: v.try_cast("double")), lambda _, v: v.isNotNull())
-    return surveys.select("survey_id", "s.Date", "s.Method_ID", "s.Institute_ID", numbers.alias("results"))
+_DUMP = """Parliaments map<string, struct<Shortcut:string>>, Institutes map<string, struct<Name:string>>, Taskers map<string, struct<Name:string>>, Methods map<string, struct<Name:string>>, Parties map<string, struct<Shortcut:string>>,
+  Surveys map<string, struct<Date:string, Surveyed_Persons:string, Parliament_ID:string, Institute_ID:string, Tasker_ID:string, Method_ID:string, Survey_Period:struct<Date_Start:string, Date_End:string>, Results:map<string,string>>>"""
+
+
+def last_of_each(entries: Column) -> Column:
+    """A map of (key, value) entries; of entries that share a key the last one."""
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])))
+
+
+def flatten_dump(dumps: DataFrame, column: str, on_empty: str = "error") -> DataFrame:
+    """A5: a row for each entry of the ``Surveys`` map of a JSON dump, with the names that the dump's own tables give to its ids.
+
+    A name that isn't found is null; the survey is kept.  Results are keyed by party
+    shortcuts (an unknown party's id stays), those that are no numbers are dropped.  A dump
+    without surveys, or that is no JSON, is an error (on_empty="skip": it gives no rows).
+    """
+    d = dumps.select(F.from_json(column, _DUMP).alias("d")).select("d.*")
+    if on_empty == "error":
+        d = d.withColumn("Surveys", F.when(F.coalesce(F.size("Surveys"), F.lit(0)) > 0, F.col("Surveys")).otherwise(F.raise_error(F.lit("a dump holds no surveys"))))
+    d = d.select("*", F.explode("Surveys").alias("survey_id", "s"))
+    name = lambda table, key, part: F.try_element_at(table, F.coalesce(key, F.lit("")))[part]
+    numbers = F.transform(F.map_entries("s.Results"), lambda e: F.struct(F.coalesce(name("Parties", e["key"], "Shortcut"), e["key"]).alias("key"), e["value"].try_cast("double").alias("value")))
+    return d.select(
+        "survey_id", "s.Date", "s.Surveyed_Persons", name("Parliaments", F.col("s.Parliament_ID"), "Shortcut").alias("Parliament"), name("Institutes", F.col("s.Institute_ID"), "Name").alias("Institute"),
+        name("Taskers", F.col("s.Tasker_ID"), "Name").alias("Tasker"), name("Methods", F.col("s.Method_ID"), "Name").alias("Method"),
+        last_of_each(F.filter(numbers, lambda e: e["value"].isNotNull())).alias("parties"), F.col("s.Survey_Period.Date_Start").alias("survey_date_start"), F.col("s.Survey_Period.Date_End").alias("survey_date_end"),
+    )
 
 
 def rename_and_tag(rows: DataFrame, names: dict[str, str], constants: dict[str, str]) -> DataFrame:
@@ -125,14 +73,28 @@ def pick_aliases(rows: DataFrame, aliases: dict[str, tuple[str, ...]], defaults:
     return rows.select(*keep, *out)
 
 
-def unpivot_parties(rows: DataFrame, reserved: set[str], json_columns: tuple[str, ...] = ("parties", "results")) -> DataFrame:
-    """Adds parties, a map: a JSON column if there is one, else all other columns with text; null if there are none."""
-    given = [c for c in rows.columns if c.strip().lower() in json_columns]
-    if given:
-        return rows.withColumn("parties", F.from_json(given[0], "map<string,string>"))
-    others = [c for c in rows.columns if c.strip().lower() not in reserved]
-    entries = F.filter(F.array(*[F.struct(F.lit(c.strip()).alias("key"), F.trim(F.col(c)).alias("value")) for c in others]), lambda e: F.coalesce(e["value"], F.lit("")) != "")
-    return rows.withColumn("parties", F.when(F.size(entries) > 0, F.map_from_entries(entries)))
+def read_csv(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
+    """All columns of CSV files with headers as trimmed text; a byte order mark is no part of the first header."""
+    rows = spark.read.csv(path, header=True, sep=delimiter, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+    return rows.toDF(*[c.lstrip("\ufeff").strip() for c in rows.columns])
+
+
+def csv_import(rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """The raw columns of CSV rows by header aliases, with defaults, the parties map, and parties_error (null, or why a row has no parties)."""
+    reserved = {a for names in vocab.CSV_FIELDS.values() for a in names} | set(vocab.CSV_PARTIES) | {k.lower() for k in keep}
+    return pick_aliases(unpivot_parties(rows, reserved), vocab.CSV_FIELDS, vocab.CSV_DEFAULTS, [*keep, "parties", "parties_error"])
+
+
+def unpivot_parties(rows: DataFrame, reserved: set[str], json_columns: tuple[str, ...] = vocab.CSV_PARTIES) -> DataFrame:
+    """Adds parties, a map, and parties_error: the first JSON column with text if it holds an object, else all other columns with text."""
+    given = [c for name in json_columns for c in rows.columns if c.strip().lower() == name]
+    text = F.coalesce(*[F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")) for c in given], F.lit(None).cast("string"))
+    others = [c for c in rows.columns if c.strip().lower() not in reserved and c not in given]
+    entries = F.filter(F.array(*[F.struct(F.lit(c.strip()).alias("key"), F.trim(F.col(f"`{c}`")).alias("value")) for c in others]), lambda e: F.coalesce(e["value"], F.lit("")) != "") if others else F.array().cast("array<struct<key:string,value:string>>")
+    read = F.from_json(text, "map<string,string>")
+    parties = F.when(text.isNotNull(), read).when(F.size(entries) > 0, F.map_from_entries(entries))
+    error = F.when(text.isNotNull() & read.isNull(), "the party results are no JSON object").when(text.isNull() & (F.size(entries) == 0), "there is no column with party results")
+    return rows.withColumns({"parties": parties, "parties_error": error})
 
 
 def grouped_import(rows: DataFrame, keys: list[str], party: str, value: str) -> DataFrame:
@@ -141,16 +103,38 @@ def grouped_import(rows: DataFrame, keys: list[str], party: str, value: str) ->
     return per.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(party).alias("key"), F.col("lo").alias("value"))))).alias("parties"), F.max(F.col("lo") != F.col("hi")).alias("torn")).filter(~F.col("torn")).drop("torn")
 
 
+def long_import(rows: DataFrame) -> DataFrame:
+    """(publish_date, institute_id, parties) of a long file's rows (country_iso3c, survey_date, institute, party_name_short, poll).
+
+    Rows of other countries, of parties without a name here and without a value are left out;
+    groups whose parties contradict themselves, without a date that can be read, or without
+    parties are dropped.
+    """
+    blank = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    own = rows.filter(blank("country_iso3c") == vocab.LONG_COUNTRY)
+    own = own.select(F.trim("survey_date").alias("day"), blank("institute").alias("name"), lookup(vocab.LONG_PARTIES, F.trim("party_name_short")).alias("party"), number_text(F.col("poll")).alias("value"))
+    groups = grouped_import(own, ["day", "name"], "party", "value").withColumn("publish_date", long_date(F.col("day"))).filter("publish_date is not null")
+    return groups.select("publish_date", institute_text(F.col("name")).alias("institute_id"), "parties")
+
+
+def long_date(c: Column) -> Column:
+    """A10: an ISO date, with midnight or without, or a day-first date."""
+    t = F.trim(c)
+    return F.coalesce(iso_date(F.regexp_replace(t, r"\s+00:00:00$", "")), day_first(t))
+
+
 def number_text(c: Column) -> Column:
-    """A10: comma as a dot, at most six decimals, no trailing zeros, whole numbers without decimals."""
-    t = F.regexp_replace(F.trim(c), ",", ".")
-    t = F.regexp_replace(t, r"^(-?\d+\.\d{6})\d+$", "$1")
-    return F.regexp_replace(F.regexp_replace(t, r"^(-?\d+\.\d*?)0+$", "$1"), r"\.$", "")
+    """A10: a number with comma or dot as text: whole ones without decimals, others with at most six and no zero at the end; null if it is none."""
+    n = F.replace(F.trim(c), F.lit(","), F.lit(".")).try_cast("double")
+    return F.when(n == F.floor(n), n.cast("decimal(38,0)").cast("string")).when(n.isNotNull(), F.regexp_replace(F.regexp_replace(F.format_string("%.6f", n), "0+$", ""), r"\.$", ""))
 
 
 def institute_text(c: Column) -> Column:
-    """A10: the name without archive and method suffixes."""
-    return F.trim(F.regexp_replace(c, r" Archived .*$| \(intermediate result\)| \(MRP\)", ""))
+    """A10: an institute's name here: without what marks an archive, an intermediate result or a model at its end; Unknown if empty."""
+    t = F.trim(F.substring_index(F.trim(c), " Archived ", 1))
+    for end in ("(intermediate result)", "(MRP)"):
+        t = F.when(t.endswith(end), F.trim(F.substring(t, F.lit(1), F.length(t) - len(end)))).otherwise(t)
+    return F.when(F.coalesce(t, F.lit("")) == "", "Unknown").otherwise(F.coalesce(lookup(vocab.LONG_INSTITUTES, t), t))
 
 
 def payload_filter(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -162,23 +146,47 @@ def payload_filter(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def raw_rows(rows: DataFrame) -> DataFrame:
-    """Blanks become null; an election in the time frame clears it, a count in it moves to empty respondents."""
+    """Raw rows from read ones (id, respondents, zeitraum, parties map, and if there source, method_id).
+
+    Blanks become null; where respondents are empty an election in the time frame clears it,
+    and a count in it moves.  Parties become JSON sorted by name; source and method have defaults.
+    """
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     r, z = blank(F.col("respondents")), blank(F.col("zeitraum"))
-    voting, count = r.isNull() & F.lower(z).contains("wahl"), r.isNull() & z.rlike(r"^\d+([.,]\d+)*$")
-    return rows.select("id", F.when(count, z).otherwise(r).alias("respondents"), F.when(~F.coalesce(voting | count, F.lit(False)), z).alias("zeitraum"), F.lit("html_scraper").alias("source"))
+    voting, count = r.isNull() & F.lower(z).contains("wahl"), r.isNull() & F.replace(z, F.lit(" "), F.lit("")).rlike(r"^\d+([.,]\d+)*$")
+    parties = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("parties"))))
+    given = lambda name, default: F.coalesce(blank(F.col(name)) if name in rows.columns else F.lit(None).cast("string"), F.lit(default)).alias(name)
+    return rows.select(
+        "id", F.when(count & ~F.coalesce(voting, F.lit(False)), z).otherwise(r).alias("respondents"), F.when(~F.coalesce(voting | count, F.lit(False)), z).alias("zeitraum"), parties.alias("parties"), given("source", "html_scraper"), given("method_id", "99"),
+    )
+
+
+def manifest(tables: dict[str, DataFrame], formats: Iterable[str] = ("json", "csv", "parquet")) -> DataFrame:
+    """One row with the number of rows of each table, and the names of their files."""
+    counts = reduce(lambda a, b: a.crossJoin(b), [df.agg(F.count("*").alias(name)) for name, df in tables.items()])
+    return counts.withColumn("files", F.lit(",".join(f"{name}.{kind}" for name in tables for kind in formats)))
+
+
+def dimension(spark: SparkSession, names: dict[str, str], external_ids: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """(key, name, external_ids) of a vocabulary; a key without external ids has an empty map."""
+    rows = [(key, name, (external_ids or {}).get(key, {})) for key, name in names.items()]
+    return spark.createDataFrame(rows, "key string, name string, external_ids map<string,string>")
 
 
-def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row with the number of rows of each table."""
-    return reduce(lambda a, b: a.crossJoin(b), [df.agg(F.count("*").alias(name)) for name, df in tables.items()])
+def upsert_dimension(old: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(the dimension with new and changed members of new, their numbers by action)."""
+    changes = dimension_changes(old, new, key)
+    kept = old.join(new.select(key), key, "left_anti").select(*new.columns)
+    return kept.unionByName(changes.drop("action")), changes.groupBy("action").agg(F.count("*").alias("n"))
 
 
 def dimension_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New rows with their action: new, changed or same."""
     values = [c for c in new.columns if c != key]
     o = old.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in values])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in values], F.lit(True))
+    # Maps have no equality: they are compared as sorted entries.
+    plain = lambda c: F.array_sort(F.map_entries(c)) if dict(new.dtypes)[c.removeprefix("__")].startswith("map") else F.col(c)
+    same = reduce(lambda a, b: a & b, [plain(c).eqNullSafe(plain(f"__{c}")) for c in values], F.lit(True))
     return new.join(o, F.col(key) == F.col("__k"), "left").select(*new.columns, F.when(F.col("__k").isNull(), "new").when(same, "same").otherwise("changed").alias("action"))
 
 
@@ -191,5 +199,5 @@ def export(df: DataFrame, base: str) -> None:
     """The dataset as JSON (nested), CSV and Parquet (nested cells as JSON text)."""
     df.write.mode("overwrite").json(f"{base}/json")
     flat = flat_cells(df)
-    flat.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
+    flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{base}/csv")
     flat.write.mode("overwrite").parquet(f"{base}/parquet")

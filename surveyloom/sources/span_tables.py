@@ -1,4 +1,4 @@
-"""Poll tables whose party cells span columns, and whose states head groups of rows (A2, A3).
+"""Poll tables: plain ones (A1), with party cells that span columns (A2), and with states that head groups of rows (A3).
 
 Python only takes the cells out of the HTML, a page at a time; what they mean is column expressions.
 """
@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..vocab import ELECTION_STATES
 
-_CELL = pa.struct([("text", pa.string()), ("title", pa.string()), ("span", pa.int32())])
-_CELLS = "page_id long, tab int, row int, heads array<string>, group_id string, cells array<struct<text:string,title:string,span:int>>"
+_CELL = pa.struct([("text", pa.string()), ("title", pa.string()), ("span", pa.int32()), ("head", pa.bool_())])
+_CELLS = "page_id long, tab int, row int, heads array<string>, group_id string, cells array<struct<text:string,title:string,span:int,head:boolean>>"
 
 
 class _Cells(HTMLParser):
@@ -37,17 +37,17 @@ class _Cells(HTMLParser):
         heads, rows = self.tables[-1]
         if tag in ("thead", "tbody"):
             self.part, self.into = tag, None
-        elif tag == "tr" and self.part == "tbody":
+        elif tag == "tr" and self.part != "thead":
             rows.append([None, []])
             self.into = None
         elif tag == "th" and self.part == "thead":
             self.into = []
             heads.append(self.into)
-        elif tag in ("td", "th") and self.part == "tbody" and rows:
+        elif tag in ("td", "th") and self.part != "thead" and rows:
             if tag == "th" and rows[-1][0] is None and "li" in named.get("class", "").split():
                 rows[-1][0] = named.get("id", "")
             span, self.into = named.get("colspan", "1").strip(), []
-            rows[-1][1].append((self.into, named.get("title", ""), int(span) if span.isdecimal() and len(span) < 5 else 1))
+            rows[-1][1].append((self.into, named.get("title", ""), int(span) if span.isdecimal() and len(span) < 5 else 1, tag == "th"))
 
     def handle_endtag(self, tag):
         if tag == "table" and self.depth:
@@ -74,7 +74,7 @@ def table_cells(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 parser = _Cells(css)
                 parser.feed(html or "")
                 out = [
-                    {"page_id": page, "tab": t, "row": r, "heads": ["\n".join(h) for h in heads], "group_id": group, "cells": [{"text": "\n".join(text), "title": title, "span": span} for text, title, span in cells]}
+                    {"page_id": page, "tab": t, "row": r, "heads": ["\n".join(h) for h in heads], "group_id": group, "cells": [{"text": "\n".join(text), "title": title, "span": span, "head": head} for text, title, span, head in cells]}
                     for t, (heads, rows) in enumerate(parser.tables)
                     for r, (group, cells) in enumerate(rows)
                 ]
@@ -110,6 +110,37 @@ def _text(i: int) -> Column:
     return one_line(F.get("cells", F.lit(i))["text"])
 
 
+#: Columns of a plain table that are no party results.
+FIXED_HEADERS = ("Institut", "Auftraggeber", "Befragte", "Datum", "Zeitraum")
+
+
+def plain_tables(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """A1: (page_id, tab, row, fields map, parties map) of the rows that hold a party result.
+
+    Headers are those of thead, else the cells of the first row; an empty first one is
+    ``Datum``.  A row of fewer data cells than headers gives nothing.  Of columns that share a
+    header the last filled one counts.
+    """
+    rows = table_cells(pages, id_col, html_col)
+    # A partition is one table of one page.
+    first = F.first("cells").over(Window.partitionBy("page_id", "tab").orderBy("row"))
+    rows = rows.withColumn("first", first).withColumn("bare", F.size("heads") == 0)
+    names = F.when(F.col("bare"), F.transform("first", lambda c: one_line(c["text"]))).otherwise(F.transform("heads", one_line))
+    names = F.transform(names, lambda h, i: F.when((i == 0) & (h == ""), "Datum").otherwise(h))
+    texts = F.transform(F.filter("cells", lambda c: ~c["head"]), lambda c: one_line(c["text"]))
+    rows = rows.withColumns({"names": names, "texts": texts}).filter(~(F.col("bare") & (F.col("row") == 0)) & (F.size("texts") >= F.size("names")) & (F.size("names") > 0))
+    pairs = F.zip_with("names", F.slice("texts", 1, F.size("names")), lambda name, text: F.struct(name.alias("key"), text.alias("value")))
+    fixed = F.array(*[F.lit(h) for h in FIXED_HEADERS])
+
+    def as_map(keep) -> Column:
+        kept = F.filter("pairs", keep)
+        return F.map_from_entries(F.filter(kept, lambda p, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda q: q["key"] == p["key"])))
+
+    rows = rows.withColumn("pairs", pairs)
+    rows = rows.withColumns({"fields": as_map(lambda p: F.array_contains(fixed, p["key"])), "parties": as_map(lambda p: ~F.array_contains(fixed, p["key"]) & (p["value"] != ""))})
+    return rows.filter(F.size("parties") > 0).select("page_id", "tab", "row", "fields", "parties")
+
+
 def spanned_tables(pages: DataFrame, tables: tuple[int, ...] = (0, 1), id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """A2: (page_id, tab, row, institute, client, date, respondents, results) of rows that begin with a date (dd.mm.yyyy) and hold a result.
 
@@ -136,7 +167,7 @@ def grouped_tables(pages: DataFrame, tables: tuple[int, ...] = (2,), id_col: str
     dated = r"\((\d{2}\.\d{2}\.\d{2,4})\)$"
     rows = _named(rows.filter((F.size("cells") >= 5) & _text(0).rlike(dated))).withColumn("results", _results(F.col("cells"), 4)).filter(F.size("results") > 0)
     lines = F.filter(F.transform(F.split(F.get("cells", F.lit(2))["text"], r"\R"), one_line), lambda x: x != "")
-    timed = F.coalesce(F.element_at(F.when(F.size("lines") > 0, F.col("lines")), -1).rlike(r"(\d|\?)\d?\.\d|\?\?"), F.lit(False))
+    timed = F.coalesce(F.element_at(F.when(F.size("lines") > 0, F.col("lines")), -1).rlike(r"\?{2}|[0-9?][0-9]?\.[0-9]"), F.lit(False))
     rows = rows.withColumn("lines", lines).withColumn("timed", timed)
     said = F.array_join(F.when(F.col("timed"), F.slice("lines", 1, F.size("lines") - 1)).otherwise(F.col("lines")), " ")
     title = one_line(F.get("cells", F.lit(2))["title"])

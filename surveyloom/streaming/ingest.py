@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedupe import first_in_batch, reject_known
 
 
-def ingest_new(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str, keys: list[str], order: str) -> None:
+def _stored(spark: SparkSession, target: str, schema: StructType) -> DataFrame | None:
+    """The target table, None before the first batch."""
+    try:
+        return spark.read.schema(schema).parquet(target)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+
+
+def ingest_new(spark: SparkSession, landing: str, schema: StructType, target: str, checkpoint: str, keys: list[str], order: str, partition_by: str | None = None) -> None:
     """Read the JSON files that landed since the last run, drop repeats (within the batch and against the target), append.
 
     The checkpoint holds which files were read.  A batch that is run again after a failure
-    finds its own rows in the target, so nothing is appended twice.
+    finds its own rows in the target, so nothing is appended twice.  With ``partition_by``, a
+    column of the keys, the target is laid out by it, and of the target only the partitions
+    that a batch touches are read: their values come to the driver (days, say), so it should
+    be a column of few values in a batch.
     """
+    if partition_by is not None and partition_by not in keys:
+        raise ValueError("rows are told apart by keys: partition_by must be one of them")
 
     def append(batch: DataFrame, _: int) -> None:
-        new = first_in_batch(batch, keys, order)
-        path = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-            new = reject_known(new, spark.read.schema(schema).parquet(target), keys)
-        new.write.mode("append").parquet(target)
+        new, known = first_in_batch(batch, keys, order), _stored(spark, target, schema)
+        if known is not None:
+            if partition_by is not None:
+                touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
+                c = F.col(partition_by)
+                known = known.filter(c.isin([x for x in touched if x is not None]) | (c.isNull() if None in touched else F.lit(False)))
+            new = reject_known(new, known, keys)
+        (new.write.partitionBy(partition_by) if partition_by else new.write).mode("append").parquet(target)
 
     stream = spark.readStream.schema(schema).json(landing)
     stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
