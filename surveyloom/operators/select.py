@@ -52,16 +52,22 @@ class GatePolicy:
 
 
 def serving_gate(polls: DataFrame, validations: DataFrame, policy: GatePolicy) -> DataFrame:
-    """public polls that are valid, or of the historic provider before the cutoff year (unless only invalid ones are asked for)."""
+    """public polls that are valid, or of the historic provider before the cutoff year (prevalidated).
+
+    Without require_validation polls that were never validated pass too.  With
+    include_valid=False only invalid ones do.  Polls with warnings, and those that fail a
+    required check, go if the policy says so, prevalidated ones excepted.
+    """
     v = validations.withColumnRenamed("poll_id", "__poll")
     rows = polls.join(v, polls["id"] == v["__poll"], "left")
-    ok = F.col("is_public")
-    if policy.require_validation:
-        known = F.col("__poll").isNotNull() & (F.col("valid") == policy.include_valid)
-        early = (F.lower("provider") == policy.historic.lower()) & (F.year("publish_date") < policy.cutoff_year)
-        ok = ok & F.coalesce(known | (early if policy.include_valid else F.lit(False)), F.lit(False))
+    early = F.coalesce((F.lower("provider") == policy.historic.lower()) & (F.year("publish_date") < policy.cutoff_year), F.lit(False))
+    true = lambda c: F.coalesce(c, F.lit(False))
+    if policy.include_valid:
+        ok = early | true(F.col("valid")) | (F.lit(False) if policy.require_validation else F.col("__poll").isNull())
+    else:
+        ok = true(~F.col("valid"))
     if not policy.include_warnings:
-        ok = ok & (F.coalesce("warning_count", F.lit(0)) == 0)
+        ok = ok & (early | true(F.col("warning_count") == 0))
     for c in policy.required_checks:
-        ok = ok & F.coalesce(c, F.lit(False))
-    return rows.filter(ok).select(*polls.columns)
+        ok = ok & (early | true(F.col(c)))
+    return rows.filter(F.col("is_public") & ok).select(*polls.columns)

@@ -4,21 +4,32 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-def filter_polls(polls: DataFrame, *, scopes=None, institutes=None, methods=None, provider=None, date_from=None, date_to=None) -> DataFrame:
-    """H1 and H2: all given conditions; dates are inclusive and must be in order."""
+from ..functions.survey import public_election_key, public_election_name, public_id, scope_code
+from ..vocab import RAW_NAMES
+from .select import GatePolicy, serving_gate
+
+
+def filter_polls(polls: DataFrame, *, scopes=None, institutes=None, elections=None, methods=None, provider_id=None, provider=None, source=None, date_from=None, date_to=None) -> DataFrame:
+    """H1 and H2: all given conditions.  Scopes are any names of areas (C14); keys are trimmed and capitalised; dates are inclusive and must be in order.  An empty list is no condition."""
     if date_from is not None and date_to is not None and date_from > date_to:
         raise ValueError("date_from is after date_to")
     out = polls
-    for column, wanted in (("scope", scopes), ("institute", institutes)):
-        if wanted is not None:
-            out = out.filter(F.col(column).isin(list(wanted)))
-    if methods is not None:
-        out = out.filter(F.upper(F.trim("method")).isin([m.strip().upper() for m in methods]))
-    if provider is not None:
+    if scopes:
+        out = out.filter(reduce(lambda a, b: a | b, [F.col("scope") == scope_code(F.lit(s)) for s in scopes]))
+    for column, wanted in (("institute", institutes), ("election", elections), ("method", methods)):
+        keys = [k.strip().upper() for k in wanted or () if k.strip()]
+        if keys:
+            out = out.filter(F.col(column).isin(keys))
+    if provider_id is not None:
+        out = out.filter(F.col("provider_id") == provider_id)
+    if provider:
         out = out.filter(F.lower("provider") == provider.lower())
+    if source:
+        out = out.filter(F.col("source") == source)
     if date_from is not None:
         out = out.filter(F.col("publish_date") >= F.lit(date_from).cast("date"))
     if date_to is not None:
@@ -40,6 +51,43 @@ def page(polls: DataFrame, offset: int, limit: int) -> DataFrame:
     return rows.withColumn("place", place).crossJoin(F.broadcast(total)).withColumn("has_next", F.col("total") > offset + limit)
 
 
+def enriched(polls: DataFrame, raw: DataFrame, institutes: DataFrame, providers: DataFrame, elections: DataFrame, methods: DataFrame) -> DataFrame:
+    """H5: polls with public ids, the raw row's and the matched poll's, and the names of institute, provider, election and method; what isn't found is null.
+
+    institutes, elections and methods have key and name (elections: type), providers id and
+    name; raw has id.  Spark broadcasts those that are small; the self join is by id.
+    """
+    named = lambda dim, key, **columns: dim.select(F.col(key).alias(f"__{key}"), *[F.col(c).alias(name) for name, c in columns.items()])
+    out = polls.withColumn("public_id", public_id("C", F.col("id")))
+    for column, dim in (
+        ("raw_id", raw.select(F.col("id").alias("__key"), public_id("R", F.col("id")).alias("raw_public_id"))), ("institute", named(institutes, "key", institute_name="name")), ("method", named(methods, "key", method_name="name")),
+        ("provider_id", named(providers, "id", provider_name="name").withColumnRenamed("__id", "__key")), ("election", named(elections, "key", election_type="type")),
+        ("matching_poll_id", polls.select(F.col("id").alias("__key"), public_id("C", F.col("id")).alias("matching_poll_public_id"))),
+    ):
+        out = out.join(dim, F.col(column) == F.col("__key"), "left").drop("__key")
+    return out.withColumns({"election": public_election_key(F.col("election")), "election_type": public_election_name(F.col("election_type"))})
+
+
+#: Columns that public rows don't show.
+INTERNAL = ("fingerprint", "is_public", "public_exclusion_reason")
+
+
+def without_results(polls: DataFrame, internal: bool = False) -> DataFrame:
+    """H9: poll rows without nested results; the audit dump (internal) shows the internal columns too."""
+    return polls.drop("results", *(() if internal else INTERNAL))
+
+
+DATASETS = ("default", "all-cleaned")
+
+
+def dataset(name: str, polls: DataFrame, validations: DataFrame, policy: GatePolicy, **filters) -> DataFrame:
+    """The polls of a named dataset under the filters of H1: default passes the serving gate, all-cleaned is everything."""
+    if name not in DATASETS:
+        raise ValueError(f"no dataset {name!r}")
+    rows = filter_polls(polls, **filters)
+    return serving_gate(rows, validations, policy) if name == "default" else rows
+
+
 def nested_results(results: DataFrame) -> DataFrame:
     """H6: sorted (party, percentage) array by poll."""
     return results.groupBy("poll_id").agg(F.array_sort(F.collect_list(F.struct("party", "percentage"))).alias("results"))
@@ -62,12 +110,44 @@ def latest(polls: DataFrame, n: int, scope=None) -> DataFrame:
     return sort_polls(rows.filter("publish_date is not null")).limit(n)
 
 
-def lookup(polls: DataFrame, key: str) -> DataFrame:
-    """By C… or R… public id, any case, or by digits; anything else is an error."""
+def lookup(polls: DataFrame, key: str, validations: DataFrame | None = None, policy: GatePolicy | None = None) -> DataFrame:
+    """By C… or R… public id, any case, or by digits; anything else is an error.  With validations only what passes the serving gate is found."""
     m = re.fullmatch(r"([CcRr]?)(\d+)", key.strip())
     if not m:
         raise ValueError(f"no poll id: {key!r}")
-    return polls.filter(F.col("raw_id" if m[1].upper() == "R" else "id") == int(m[2]))
+    found = polls.filter(F.col("raw_id" if m[1].upper() == "R" else "id") == int(m[2]))
+    return found if validations is None else serving_gate(found, validations, policy or GatePolicy())
+
+
+def raw_audit(raw: DataFrame, *, source=None, scope=None, provider=None, worker=None) -> DataFrame:
+    """Raw rows in id order under English names, with their public ids, of one source, scope, provider and worker where given."""
+    rows = raw
+    for column, wanted in (("source", source), ("scope", scope), ("provider", provider), ("worker", worker)):
+        if wanted is not None:
+            rows = rows.filter(F.col(column) == wanted)
+    return rows.withColumn("public_id", public_id("R", F.col("id"))).withColumnsRenamed({k: v for k, v in RAW_NAMES.items() if k in rows.columns}).orderBy("id")
+
+
+def scopes_list(elections: DataFrame) -> DataFrame:
+    """(key, election_key, election_type) of each election (key, scope, type): its scope, else its key in small letters, and its public names."""
+    return elections.select(F.coalesce("scope", F.lower("key")).alias("key"), public_election_key(F.col("key")).alias("election_key"), public_election_name(F.col("type")).alias("election_type"))
+
+
+def reference_list(dim: DataFrame, by: str) -> DataFrame:
+    """A dimension in the order of its key or id."""
+    return dim.orderBy(by)
+
+
+def reference_lists(dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """All dimensions (frame, key column, name column) as one, by kind and key; keys as text."""
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.col(name).alias("name")) for kind, (df, key, name) in dims.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def validation_list(validations: DataFrame, valid: bool | None = None, poll_id: int | None = None) -> DataFrame:
+    """Validation rows by poll id, valid or invalid ones only where asked for, or the report of one poll."""
+    rows = validations if valid is None else validations.filter(F.col("valid") == valid)
+    return (rows if poll_id is None else rows.filter(F.col("poll_id") == poll_id)).orderBy("poll_id")
 
 
 def election_summary(elections: DataFrame, polls: DataFrame, key: str) -> DataFrame:
@@ -86,6 +166,39 @@ def year_report(polls: DataFrame, validated: DataFrame, by_year: dict[int, str],
     return rows.groupBy("year", "configured").agg(F.count("*").alias("polls"), F.count_if("seen").alias("validated"), F.count_if(F.col("provider") == F.col("configured")).alias("of_configured"))
 
 
-def freshness(polls: DataFrame, runs: DataFrame, now) -> DataFrame:
-    """Total polls, last run and its age in seconds."""
-    return polls.agg(F.count("*").alias("polls")).crossJoin(F.broadcast(runs.agg(F.max("ended").alias("last_run")))).withColumn("age", F.unix_timestamp(now) - F.unix_timestamp("last_run"))
+def freshness(polls: DataFrame, runs: DataFrame, quality: DataFrame, now: Column) -> DataFrame:
+    """Total polls, the last run and its age in seconds, and the worst of the run's status (warn without a run) and the validation's (quality: G15)."""
+    out = polls.agg(F.count("*").alias("polls")).crossJoin(runs.agg(F.max("ended").alias("last_run"))).crossJoin(quality.select(F.col("status").alias("validation_status")))
+    run = F.when(F.col("last_run").isNull(), "warn").otherwise("pass")
+    both = F.array(run, F.col("validation_status"))
+    status = F.when(F.array_contains(both, "fail"), "fail").when(F.array_contains(both, "warn"), "warn").otherwise("pass")
+    return out.withColumns({"age": F.unix_timestamp(now) - F.unix_timestamp("last_run"), "run_status": run, "status": status})
+
+
+def report_totals(polls: DataFrame, validations: DataFrame, quality: DataFrame, run: DataFrame) -> DataFrame:
+    """Polls, validated, valid, invalid and warning ones with the valid share and status (quality: G15), and the counters of a run (H21; 0 if there is none)."""
+    totals = polls.agg(F.count("*").alias("polls")).crossJoin(validations.agg(F.count("*").alias("validated")))
+    totals = totals.crossJoin(quality.select("valid", "invalid", F.col("with_warning").alias("warning"), "valid_share", "status"))
+    counters = run.agg(F.max("run_id").alias("run_id"), *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("scraped", "created", "updated", "errors")])
+    return totals.crossJoin(counters.withColumn("run_id", F.coalesce("run_id", F.lit("not connected"))))
+
+
+def run_records(steps: DataFrame) -> DataFrame:
+    """One audit row a run from its steps (run_id, stage, started, ended, n, failed): times, duration in seconds, success, rows by stage and errors."""
+    stages = ("scraped", "created", "updated")
+    return steps.groupBy("run_id").agg(
+        F.min("started").alias("started"), F.max("ended").alias("finished"), (F.unix_timestamp(F.max("ended")) - F.unix_timestamp(F.min("started"))).alias("duration"), (F.count_if("failed") == 0).alias("success"),
+        *[F.coalesce(F.sum(F.when(F.col("stage") == s, F.col("n"))), F.lit(0)).alias(s) for s in stages], F.count_if("failed").alias("errors"),
+    )
+
+
+def append_runs(history: DataFrame, new: DataFrame) -> DataFrame:
+    """History with the runs of new that it doesn't hold yet."""
+    return history.unionByName(new.join(history.select("run_id"), "run_id", "left_anti"))
+
+
+def run_of(history: DataFrame, run_id: str | None = None) -> DataFrame:
+    """A run by its id, or the one that finished last."""
+    if run_id is not None:
+        return history.filter(F.col("run_id") == run_id)
+    return history.orderBy(F.desc("finished"), F.desc("run_id")).limit(1)
