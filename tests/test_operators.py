@@ -49,12 +49,12 @@ def test_percentage(spark, text, want):
     assert one(spark, S.percentage(F.col("c")), c=text) == want
 
 
-POLL = "id long, publish_date date, provider string, institute int, scope int, respondents int, survey_start date, survey_end date"
+POLL = "id long, publish_date date, provider string, institute int, scope int, election string, respondents int, survey_start date, survey_end date"
 
 
-def linked(spark, primary, secondary, results, **cfg):
+def linked(spark, primary, secondary, results, own="E", other="E", **cfg):
     cfg = M.MatchConfig(**cfg)
-    polls = spark.createDataFrame([(i, d, "p", 1, None, r, s, e) for i, d, r, s, e in primary] + [(i, d, "s", 1, None, r, s, e) for i, d, r, s, e in secondary], POLL)
+    polls = spark.createDataFrame([(i, d, "p", 1, None, own, r, s, e) for i, d, r, s, e in primary] + [(i, d, "s", 1, None, other, r, s, e) for i, d, r, s, e in secondary], POLL)
     res = spark.createDataFrame([(i, p, float(v)) for i, pair in results.items() for p, v in zip(("SPD", "AFD"), pair)], "poll_id long, party string, percentage double")
     a, b = M.side(polls, res, "P", cfg), M.side(polls, res, "s", cfg)
     return {r["id"]: (r["status"], r["matched_id"]) for r in M.link(a, b, M.choose(M.with_evidence(M.candidates(a, b, cfg), cfg), cfg)).collect()}
@@ -64,6 +64,9 @@ def test_matching(spark):
     d = lambda x: D(2024, 6, x)
     assert linked(spark, [(1, d(1), None, None, None)], [(2, d(3), None, None, None)], {1: (16, 17), 2: (16, 17.5)}) == {1: ("matched", 2), 2: ("matched", 1)}
     same = {1: (16, 17), 2: (16, 17), 3: (16, 17)}
+    for own, other, status in (("E", "E", "matched"), ("E", "F", "no_match"), ("E", None, "matched"), ("", "F", "matched"), (None, None, "matched")):
+        got = linked(spark, [(1, d(1), None, None, None)], [(2, d(2), None, None, None)], same, own, other)
+        assert {s for s, _ in got.values()} == {status}, (own, other)
     assert {s for s, _ in linked(spark, [(1, d(10), None, None, None)], [(2, d(11), None, None, None), (3, d(9), None, None, None)], same).values()} == {"multiple_matches"}
     assert {s for s, _ in linked(spark, [(1, d(1), None, None, None)], [(2, d(2), None, None, None)], {1: (16, 17), 2: (16, 18)}, max_party_delta=0.4, max_total_delta=0.4).values()} == {"no_match"}
     got = linked(spark, [(1, d(30), None, d(23), d(29))], [(2, d(30), None, d(23), d(29)), (3, d(30), None, d(20), d(25))], same)
@@ -92,9 +95,104 @@ def test_checks_and_guards(spark):
 
 
 def test_html(spark):
-    html = "<table class='wilko'><tr><th></th><th>Institut</th><th>SPD</th></tr><tr><td>1.1.2024</td><td>A</td><td>20 %</td></tr><tr><td>x</td></tr><tr><td>2.1.</td><td>B</td><td></td></tr></table>"
-    rows = I.html_tables(spark.createDataFrame([(1, html), (2, None), (3, "<p>")], "page_id long, html string")).collect()
-    assert [(r["fields"]["Datum"], r["parties"]) for r in rows] == [("1.1.2024", {"SPD": "20 %"})]
+    html = "<table class='wilko'><tr><th></th><th>Institut</th><th>SPD</th></tr><tr><td>1.1.2024</td><td>A</td><td>20&nbsp;%</td></tr><tr><td>x</td></tr><tr><td>2.1.</td><td>B</td><td></td></tr></table>"
+    headed = "<table class='a wilko'><thead><tr><th>Datum</th><th>SPD</th><th>SPD</th></tr></thead><tbody><tr><td>1</td><td>2</td><td>3</td><td>4</td></tr></tbody></table>"
+    rows = T.plain_tables(spark.createDataFrame([(1, html), (2, None), (3, "<p>"), (4, headed), (5, "<table class='wilko'>")], "page_id long, html string")).orderBy("page_id").collect()
+    assert [(r["fields"]["Datum"], r["parties"]) for r in rows] == [("1.1.2024", {"SPD": "20 %"}), ("1", {"SPD": "3"})]
+
+
+@pytest.mark.parametrize(("text", "year", "start", "end", "kind"), [
+    ("24.06.-26.06.2024", None, D(2024, 6, 24), D(2024, 6, 26), "VALID_RANGE"), ("01.–05.03.2024", None, D(2024, 3, 1), D(2024, 3, 5), "VALID_RANGE"), ("1-5.3.2024", None, D(2024, 3, 1), D(2024, 3, 5), "VALID_RANGE"),
+    ("01.03.2024 - 05.03.2024", None, D(2024, 3, 1), D(2024, 3, 5), "VALID_RANGE"), ("01.03.2024-05.03.2024", None, D(2024, 3, 1), D(2024, 3, 5), "VALID_RANGE"), ("28.10.–01.11.", 2024, D(2024, 10, 28), D(2024, 11, 1), "VALID_RANGE"),
+    ("28.10.–01.11.", None, None, None, "INVALID"), ("28.10. – 01.11.2024", None, None, None, "INVALID"), ("31.02.–05.03.2024", None, D(2024, 3, 2), D(2024, 3, 5), "VALID_RANGE"), ("31.02.–31.02.", 2024, None, None, "INVALID"),
+    ("20:15-22:00 Uhr", 2024, None, None, "TIME_RANGE"), ("??.09.–??.09.", 2024, None, None, "UNKNOWN_DATE"), ("Bundestagswahl", 2024, None, None, "ELECTION_MARKER"), ("bis 31.08.", 2024, None, None, "BIS_PREFIX"),
+    ("bis 31.08.", None, None, None, "INVALID"), ("30.6", 2024, D(2024, 6, 30), None, "SINGLE_DATE"), ("1.234", 2024, None, None, "INVALID"), ("", 2024, None, None, "INVALID"), ("Online-Umfrage 01.–05.03.2024", None, D(2024, 3, 1), D(2024, 3, 5), "VALID_RANGE"),
+])
+def test_timeframe(spark, text, year, start, end, kind):
+    w = one(spark, S.timeframe(F.col("c"), F.lit(year) if year else None), c=text)
+    assert (w["start"], w["end"], w["type"], w["ignore"]) == (start, end, kind, kind in ("TIME_RANGE", "UNKNOWN_DATE", "ELECTION_MARKER"))
+
+
+def test_state_names(spark):
+    for text, key in (("BY  | (Bayern)", "BY"), ("nrw", "NW"), ("NW | (Nordrhein-Westfalen)", "NW"), ("Ost", "OST"), ("x", "BUND"), ("", "BUND")):
+        assert one(spark, S.state(F.col("c")), c=text) == key
+
+
+def test_fingerprints_apart(spark):
+    """Signs that separate fields, and nulls, make no two polls one; polls without results have no fingerprint and no duplicates."""
+    rows = [(1, "a|b", "c", "x"), (2, "a", "b|c", "x"), (3, None, "c", "x"), (4, "~", "c", "x"), (5, "a|b", "c", "x"), (6, "a", "c", None), (7, "a", "c", None)]
+    frame = spark.createDataFrame(rows, "id long, p string, q string, party string")
+    results = F.when(F.col("party").isNotNull(), F.array(F.struct("party", F.lit(1.5).alias("percentage"))))
+    made = frame.withColumn("fingerprint", dedupe.fingerprint({"p": F.col("p"), "q": F.col("q")}, results))
+    of = {r["id"]: r["fingerprint"] for r in made.collect()}
+    assert of[1] == of[5] and len({of[i] for i in (1, 2, 3, 4)}) == 4 and of[6] is None
+    kept, dups = dedupe.first_by_fingerprint(made.select("id", "fingerprint"), made.select("id", "fingerprint").limit(0))
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 7] and [tuple(r) for r in dups.collect()] == [(5, 1)]
+
+
+def test_counts_of_no_source(spark):
+    rows = spark.createDataFrame([(1, None), (2, None), (3, "a")], "id long, source string")
+    assert {tuple(r) for r in dedupe.ingest_counts(rows, rows.filter("id <> 2"), "source").collect()} == {(None, 2, 1, 1), ("a", 1, 1, 0)}
+
+
+def test_dumps(spark):
+    dump = '{"Parties": {"1": {"Shortcut": "SPD"}, "2": {"Shortcut": "SPD"}}, "Surveys": {"7": {"Institute_ID": "3", "Results": {"1": "16", "2": 17, "9": "x", "8": 5}}}}'
+    frame = spark.createDataFrame([(dump,)], "d string")
+    r = I.flatten_dump(frame, "d").first()
+    assert (r["survey_id"], r["Institute"], r["parties"], r["survey_date_start"]) == ("7", None, {"SPD": 17.0, "8": 5.0}, None)
+    empty = spark.createDataFrame([('{"Surveys": {}}',), ("x",)], "d string")
+    assert I.flatten_dump(empty, "d", on_empty="skip").count() == 0
+    with pytest.raises(Exception, match="no surveys"):
+        I.flatten_dump(empty, "d").collect()
+
+
+def test_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\ufeffDatum,Institut ,CDU/CSU,SPD,results\n2024-01-01,"A, B",30,,\n2024-01-02,C,,,"{""FDP"": ""7""}"\n2024-01-03,D,,,\n', encoding="utf-8")
+    rows = I.csv_import(I.read_csv(spark, str(tmp_path / "a.csv"))).orderBy("publish_date").collect()
+    assert [(r["publish_date"], r["institute_id"], r["worker"], r["parties"], r["parties_error"] is None) for r in rows] == [
+        ("2024-01-01", "A, B", "import:csv", {"CDU/CSU": "30"}, True), ("2024-01-02", "C", "import:csv", {"FDP": "7"}, True), ("2024-01-03", "D", "import:csv", None, False),
+    ]
+
+
+def test_long_values(spark):
+    for text, want in (("13,5", "13.5"), ("12,0", "12"), ("0.1234567", "0.123457"), ("k.A.", None), (" 7 ", "7"), ("-0,50", "-0.5")):
+        assert one(spark, I.number_text(F.col("c")), c=text) == want
+    for text, want in (("Emnid Archived 2001", "Verian (Emnid)"), ("X (MRP)", "X"), ("", "Unknown"), ("X (MRP) y", "X (MRP) y")):
+        assert one(spark, I.institute_text(F.col("c")), c=text) == want
+
+
+def test_catalogue(spark):
+    rows = I.catalogue(spark.createDataFrame([("a", "AScraper", "Stimmung"), ("b", "BTotal", " ")], "worker string, class_name string, Survey_Type string")).collect()
+    assert [(r["worker"], r["survey_type"], r["active"]) for r in rows] == [("a", "Stimmung", True), ("b", "Projektion", False)]
+
+
+def test_gate(spark):
+    polls = spark.createDataFrame([(1, "p", D(2024, 1, 1), True), (2, "p", D(2024, 1, 1), True), (3, "p", D(2024, 1, 1), True), (4, "Historic", D(2004, 1, 1), True), (5, "p", D(2024, 1, 1), False)], "id long, provider string, publish_date date, is_public boolean")
+    checks = spark.createDataFrame([(1, True, 0, True), (2, True, 1, False), (3, False, 2, False), (5, True, 0, True)], "poll_id long, valid boolean, warning_count int, qc boolean")
+    shown = lambda **policy: [r["id"] for r in P.serving_gate(polls, checks, P.GatePolicy(**policy)).orderBy("id").collect()]
+    assert shown() == [1, 2, 4] and shown(include_warnings=False) == [1, 4] and shown(include_valid=False) == [3] and shown(required_checks=("qc",)) == [1, 4]
+    more = polls.unionByName(spark.createDataFrame([(6, "p", D(2024, 1, 1), True)], polls.schema))
+    assert [r["id"] for r in P.serving_gate(more, checks, P.GatePolicy(require_validation=False)).orderBy("id").collect()] == [1, 2, 4, 6]
+
+
+def test_presence_and_jumps_across_years(spark):
+    """Undated polls compare with their whole scope; a jump over a year's end, and one after an undated poll, are found."""
+    polls = spark.createDataFrame([(1, "a", None), (2, "a", D(2023, 12, 30)), (3, "a", D(2024, 1, 2)), (4, "a", D(2030, 1, 2)), (5, None, D(2024, 1, 1))], "id long, scope string, publish_date date")
+    res = spark.createDataFrame([(1, "x", 10.0), (2, "x", 20.0), (3, "x", 21.0), (4, "x", 30.0), (5, "y", 1.0)], "poll_id long, party string, percentage double")
+    assert {r["id"]: (r["passed"], r["largest"]) for r in V.jump_check(polls, res, "scope", 4.0).collect()} == {1: (True, None), 2: (False, 10.0), 3: (True, None), 4: (False, 9.0), 5: (True, None)}
+    got = {(r["id"], r["party"]): (r["has"], r["comparisons"], r["with_party"]) for r in V.presence(polls, res, ["x", "y"]).collect()}
+    assert got[1, "x"] == (1, 3, 3) and got[2, "x"] == (1, 1, 1) and got[4, "x"] == (1, 0, 0) and got[5, "y"] == (1, 0, 0) and got[2, "y"] == (0, 1, 0)
+
+
+def test_names_that_are_none(spark):
+    polls = spark.createDataFrame([(1, "federal")], "id long, scope string")
+    with pytest.raises(ValueError):
+        H.dataset("other", polls, polls, P.GatePolicy())
+    assert H.filter_polls(polls, scopes=["Deutschland"], institutes=[], methods=[" "]).count() == 1
+    quality = V.quality_status(spark.createDataFrame([], "valid boolean, warning_count long"))
+    assert quality.select("total", "valid_share", "status", "public_status").first()[:] == (0, 0.0, "warn", "review_recommended")
+    runs = spark.createDataFrame([], "ended timestamp")
+    assert H.freshness(polls, runs, quality, F.lit("2030-01-01").cast("timestamp")).first()["status"] == "warn"
 
 
 def test_export_and_stream(spark, tmp_path):
