@@ -58,7 +58,7 @@ def winnow(text: Column, k: int = 24, window: int = 16) -> Column:
         n_windows = F.greatest(F.octet_length(data) - (k + window - 2), F.lit(1))
 
         def segment(s: Column) -> Column:
-            return F.array_distinct(_least(_grams(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), s, k), window))
+            return _let(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), lambda part: F.array_distinct(_least(_grams(part, s, k), window)))
 
         starts = F.sequence(F.lit(0), n_windows - 1, F.lit(SEGMENT))
         return F.when(F.octet_length(data) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(F.flatten(F.transform(starts, segment))))
