@@ -51,19 +51,48 @@ def _least(values: Column, window: int) -> Column:
     return _let(values, of)
 
 
+def _winnowed(data: Column, start: Column, k: int, window: int) -> Column:
+    """Packed values of the winnowed grams of a binary, whose first byte is at place ``start``."""
+    n_windows = F.greatest(F.octet_length(data) - (k + window - 2), F.lit(1))
+
+    def segment(s: Column) -> Column:
+        return _let(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), lambda part: F.array_distinct(_least(_grams(part, start + s, k), window)))
+
+    starts = F.sequence(F.lit(0), n_windows - 1, F.lit(SEGMENT))
+    return F.when(F.octet_length(data) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(F.flatten(F.transform(starts, segment))))
+
+
+def _bytes(text: Column) -> Column:
+    return F.encode(F.lower(text), "UTF-8")
+
+
 def winnow(text: Column, k: int = 24, window: int = 16) -> Column:
     """Packed values of the winnowed grams in order of place; see unpack()."""
+    return _let(_bytes(text), lambda data: _winnowed(data, F.lit(0), k, window))
+
+
+def rewinnow(packed: Column, text: Column, edited: Column, kept: Column, k: int = 24, window: int = 16) -> Column:
+    """winnow(edited), of which the first ``kept`` characters are those of text, from text's packed values.
+
+    All windows that hold a gram end k + window - 1 bytes after it at most, so grams so far
+    before the end of the kept bytes are chosen in both texts or in neither.  What follows is
+    winnowed, from the first window on that can choose a later gram.
+    """
+    sides = F.struct(_bytes(edited).alias("data"), F.octet_length(_bytes(F.substring(text, F.lit(1), kept))).alias("n"), _bytes(text).alias("before"))
 
-    def of(data: Column) -> Column:
-        n_windows = F.greatest(F.octet_length(data) - (k + window - 2), F.lit(1))
+    def of(x: Column) -> Column:
+        # Lower case can depend on what follows: only if the bytes are the same.
+        same = F.substring(x["data"], F.lit(1), x["n"]) == F.substring(x["before"], F.lit(1), x["n"])
+        settled = F.when(same, F.greatest(x["n"] - (k + window - 1), F.lit(-1))).otherwise(-1)
 
-        def segment(s: Column) -> Column:
-            return _let(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), lambda part: F.array_distinct(_least(_grams(part, s, k), window)))
+        def joined(last: Column) -> Column:
+            start = F.greatest(last - (window - 2), F.lit(0))
+            tail = _let(F.substring(x["data"], start + 1, F.octet_length(x["data"])), lambda data: _winnowed(data, start, k, window))
+            return F.concat(F.filter(packed, lambda v: _place(v) <= last), F.filter(tail, lambda v: _place(v) > last))
 
-        starts = F.sequence(F.lit(0), n_windows - 1, F.lit(SEGMENT))
-        return F.when(F.octet_length(data) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(F.flatten(F.transform(starts, segment))))
+        return _let(settled, joined)
 
-    return _let(F.encode(F.lower(text), "UTF-8"), of)
+    return _let(sides, of)
 
 
 def _place(x: Column) -> Column:
@@ -172,7 +201,7 @@ def edited_likeness(docs: DataFrame, k: int = 24, window: int = 16, id_col: str
     cut = F.floor(n / 3).cast("int")
     rows = rows.withColumn("fp", winnow(F.col("text"), k, window)).withColumns({"next": F.lead("text").over(order), "next_fp": F.lead("fp").over(order)}).filter(~F.col("copy"))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next", F.lit(1), cut)))
-    rows = rows.withColumn("edited_fp", winnow(F.col("edited"), k, window))
+    rows = rows.withColumn("edited_fp", rewinnow(F.col("fp"), F.col("text"), F.col("edited"), n - cut, k, window))
     own, edited, following = (hashes(F.col(c)) for c in ("fp", "edited_fp", "next_fp"))
     return rows.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
