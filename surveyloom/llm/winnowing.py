@@ -199,7 +199,8 @@ def edited_likeness(docs: DataFrame, k: int = 24, window: int = 16, id_col: str
     rows, order = with_next(src)
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
-    rows = rows.withColumn("fp", winnow(F.col("text"), k, window)).withColumns({"next": F.lead("text").over(order), "next_fp": F.lead("fp").over(order)}).filter(~F.col("copy"))
+    # Texts are moved first, fingerprints are made where they have arrived.
+    rows = rows.withColumn("next", F.lead("text").over(order)).withColumn("fp", winnow(F.col("text"), k, window)).withColumn("next_fp", F.lead("fp").over(order)).filter(~F.col("copy"))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next", F.lit(1), cut)))
     rows = rows.withColumn("edited_fp", rewinnow(F.col("fp"), F.col("text"), F.col("edited"), n - cut, k, window))
     own, edited, following = (hashes(F.col(c)) for c in ("fp", "edited_fp", "next_fp"))
