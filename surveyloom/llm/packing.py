@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .common import stored, whole
@@ -23,6 +23,13 @@ KEPT_WORDS, KEPT_LENGTH = 300_000, 64
 _PLAIN = re.compile(r"[\t\n\r -~\u00a1-\u024f]*")
 
 
+def plain_pattern(pattern: str) -> re.Pattern:
+    """The word pattern for texts that _PLAIN matches, as one of ``re``: the classes of letters and numbers are written out."""
+    letters, numbers = (re.escape("".join(c for c in map(chr, range(0x250)) if unicodedata.category(c)[0] == kind)) for kind in "LN")
+    written = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{letters}{numbers}]")
+    return re.compile(written.replace(r"\p{L}", f"[{letters}]").replace(r"\p{N}", f"[{numbers}]"))
+
+
 class Encoder:
     """Token ids by ``tokenizers``, whose ids of a word are kept: texts repeat their words.
 
@@ -34,7 +41,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.ids = Tokenizer.from_file(path), regex.compile(pattern), {}
+        self.tokenizer, self.words, self.ids = Tokenizer.from_file(path), plain_pattern(pattern), {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _whole(self, text: str) -> list[int]:

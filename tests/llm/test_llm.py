@@ -278,6 +278,8 @@ def test_tokenizer(texts):
     rnd = random.Random(2)
     signs = "abc XYZ 12\t\n\r'’²½éßœ “…« \u0085​中文Ⅷ're 'S\x1c\x00<|endoftext|>"
     mixed = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 60))) for _ in range(2000)]
+    latin = "".join(c for c in map(chr, range(0x250)) if packing._PLAIN.fullmatch(c)) + " \n\r'"
+    mixed += ["".join(rnd.choice(latin) for _ in range(rnd.randint(0, 90))) for _ in range(3000)]
     for text in [*texts.values(), *mixed, " " * 10**6, "a" * 10**6, "<|endoftext|>" * 3]:
         assert encode(text) == whole.encode(text, add_special_tokens=False).ids
 
