@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, exact_dedup, language_id, licenses, minhash_dedup, mixing, packing, substring_dedup, url_filter, winnowing
+from . import chat_format, conversation_repair, exact_dedup, language_id, licenses, minhash_dedup, mixing, oracle, packing, secret_ledger, substring_dedup, url_filter, vector_codes, winnowing
 from .common import table
 
 
@@ -51,7 +51,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), length=50)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_language_id, op3_chat_format, op4_license_scan, op5_source_mix, op6_best_fit_packing, op7_url_filter, op8_exact_dedup, op9_fingerprints, op10_substring_dedup)}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(conversation_repair.damaged(table(spark, sf_dir, "conversations")), copies_col="n")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ledger.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_minhash_dedup, op2_language_id, op3_chat_format, op4_license_scan, op5_source_mix, op6_best_fit_packing, op7_url_filter, op8_exact_dedup, op9_fingerprints, op10_substring_dedup,
+    op11_vector_codes, op12_conversation_repair, op13_secret_scan,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+
 
 def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
@@ -75,6 +92,7 @@ def _digest_sql(lines: str) -> str:
 _KNOWN_SQL = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.known_texts())
 
 ORACLE_SQL = {
+    **oracle.ORACLE_SQL,
     "op4_license_scan": f"""
         WITH known AS (SELECT {_digest_sql("lines")} AS digest, min(i) AS license_id FROM (SELECT i, {_lines_sql("t")} AS lines FROM (VALUES {_KNOWN_SQL}) AS k(i, t)) GROUP BY 1),
         forms AS (SELECT doc_id, {_lines_sql("coalesce(text, '')")} AS lines FROM documents),
