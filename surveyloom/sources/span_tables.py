@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.survey import day_first, digits
 from ..vocab import ELECTION_STATES
 
 _CELL = pa.struct([("text", pa.string()), ("title", pa.string()), ("span", pa.int32()), ("head", pa.bool_())])
@@ -151,6 +152,19 @@ def spanned_tables(pages: DataFrame, tables: tuple[int, ...] = (0, 1), id_col: s
     return rows.select("page_id", "tab", "row", _text(2).alias("institute"), F.nullif(_text(3), F.lit("")).alias("client"), _text(0).alias("date"), _text(4).alias("respondents"), "results")
 
 
+def bracketed_end(text: Column) -> tuple[Column, Column]:
+    """(what stands before the last bracket, what stands in it) of a text that ends with a closing one; the second is null for others."""
+    inside = F.when(text.endswith(")"), F.substring_index(F.substring(text, F.lit(1), F.length(text) - 1), "(", -1))
+    return F.trim(F.substring(text, F.lit(1), F.length(text) - F.length(inside) - 2)), inside
+
+
+def holds_days(text: Column) -> Column:
+    """Whether a line has days in it: two groups of digits with but a dot between them, or signs in place of unknown ones."""
+    groups, gaps = digits(text)
+    inner = F.slice(gaps, 2, F.greatest(F.size(groups) - 1, F.lit(0)))
+    return text.contains("??") | F.exists(inner, lambda g: g == ".") | F.exists(F.slice(gaps, 1, F.size(groups)), lambda g: g.endswith("?."))
+
+
 def grouped_tables(pages: DataFrame, tables: tuple[int, ...] = (2,), id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """A3: (page_id, tab, row, state, institute, client, date, respondents, timeframe, results) of rows whose first cell ends in a date in brackets.
 
@@ -164,14 +178,14 @@ def grouped_tables(pages: DataFrame, tables: tuple[int, ...] = (2,), id_col: str
     above = Window.partitionBy("page_id", "tab").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("state", F.coalesce(F.last(own, ignorenulls=True).over(above), F.lit("BUND")))
     rows = rows.withColumn("cells", F.when(own.isNotNull(), F.slice("cells", 3, F.greatest(F.size("cells") - 2, F.lit(0)))).otherwise(F.col("cells")))
-    dated = r"\((\d{2}\.\d{2}\.\d{2,4})\)$"
-    rows = _named(rows.filter((F.size("cells") >= 5) & _text(0).rlike(dated))).withColumn("results", _results(F.col("cells"), 4)).filter(F.size("results") > 0)
+    named, date = bracketed_end(_text(0))
+    rows = _named(rows.filter((F.size("cells") >= 5) & day_first(date).isNotNull())).withColumn("results", _results(F.col("cells"), 4)).filter(F.size("results") > 0)
     lines = F.filter(F.transform(F.split(F.get("cells", F.lit(2))["text"], r"\R"), one_line), lambda x: x != "")
-    timed = F.coalesce(F.element_at(F.when(F.size("lines") > 0, F.col("lines")), -1).rlike(r"\?{2}|[0-9?][0-9]?\.[0-9]"), F.lit(False))
+    timed = F.coalesce(holds_days(F.element_at(F.when(F.size("lines") > 0, F.col("lines")), -1)), F.lit(False))
     rows = rows.withColumn("lines", lines).withColumn("timed", timed)
     said = F.array_join(F.when(F.col("timed"), F.slice("lines", 1, F.size("lines") - 1)).otherwise(F.col("lines")), " ")
     title = one_line(F.get("cells", F.lit(2))["title"])
     return rows.select(
-        "page_id", "tab", "row", "state", F.trim(F.regexp_replace(_text(0), dated, "")).alias("institute"), F.nullif(_text(1), F.lit("")).alias("client"), F.regexp_extract(_text(0), dated, 1).alias("date"),
+        "page_id", "tab", "row", "state", named.alias("institute"), F.nullif(_text(1), F.lit("")).alias("client"), date.alias("date"),
         F.when((title == "") | F.contains(said, title), said).otherwise(F.trim(F.concat_ws(" ", said, title))).alias("respondents"), F.when(F.col("timed"), F.element_at("lines", -1)).otherwise("").alias("timeframe"), "results",
     )
