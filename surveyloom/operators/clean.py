@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import survey as S
 
@@ -37,13 +37,23 @@ def party_results(exploded: DataFrame) -> DataFrame:
     return failed.join(maps, "id", "left").withColumn("complete", F.col("results").isNotNull() & (F.col("n_failed") == 0))
 
 
+def results_of(payload: Column) -> Column:
+    """C18 in one row: the results of a JSON object of labels and texts as a sorted array of (party, percentage), of a party's values the last; empty if there are none."""
+    entries = F.transform(F.map_entries(F.from_json(F.trim(payload), "map<string,string>")), lambda e: F.struct(S.party(e["key"]).alias("party"), S.percentage(e["value"]).alias("percentage"), S.is_non_result(e["key"]).alias("other")))
+    own = F.filter(entries, lambda e: e["party"].isNotNull() & e["percentage"].isNotNull() & ~e["other"])
+    last = F.filter(own, lambda e, i: ~F.exists(F.slice(own, i + 2, F.size(own)), lambda x: x["party"] == e["party"]))
+    return F.coalesce(F.array_sort(F.transform(last, lambda e: F.struct(e["party"].alias("party"), e["percentage"].alias("percentage")))), F.array().cast("array<struct<party:string,percentage:double>>"))
+
+
+def rejection() -> Column:
+    """Why a cleaned row (publish_date, ignore, results) is no poll, the first reason that holds; null if none does."""
+    return F.when(F.col("publish_date").isNull(), "missing publish date").when(F.col("ignore"), "ignored timeframe").when(F.coalesce(F.size("results"), F.lit(0)) <= 0, "no party result")
+
+
 def reject(rows: DataFrame, duplicates: DataFrame) -> DataFrame:
     """Rows (id, publish_date, ignore, results map) with reason, the first that holds: null for those that stay. duplicates: (id, ...) of D5."""
     known = duplicates.select("id", F.lit(True).alias("__known")).distinct()
-    reason = (
-        F.when(F.col("publish_date").isNull(), "missing publish date").when(F.col("ignore"), "ignored timeframe").when(F.coalesce(F.size("results"), F.lit(0)) <= 0, "no party result").when(F.col("__known"), "duplicate")
-    )
-    return rows.join(known, "id", "left").withColumn("reason", reason).drop("__known")
+    return rows.join(known, "id", "left").withColumn("reason", rejection().when(F.col("__known"), "duplicate")).drop("__known")
 
 
 def with_fallbacks(rows: DataFrame) -> DataFrame:

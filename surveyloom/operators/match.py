@@ -89,6 +89,30 @@ def link(primary: DataFrame, secondary: DataFrame, chosen: DataFrame) -> DataFra
     return a.unionByName(b.select("id", F.lit("secondary").alias("side"), status.alias("status"), F.when(status == "matched", F.col("matched_id")).alias("matched_id")))
 
 
+def relink(polls: DataFrame, results: DataFrame, changed: DataFrame, cfg: MatchConfig, primary: str, secondary: str) -> tuple[DataFrame, DataFrame]:
+    """E1 to E8 where polls have changed: (the links (id, side, status, matched_id) of the polls near a change, those polls).
+
+    changed: (scope, institute, publish_date) of polls before and after their change, new and
+    vanished ones too.  A change reaches as far as four windows: over a primary's candidates to
+    the other primaries that chose one of them, and over all of theirs to secondaries that are in
+    an ambiguous set.  So days are cut into spans of four windows; polls in the spans of changes
+    and beside them are relinked, from polls up to two spans further, where what they depend on
+    lies.  All other links stay what they are.
+    """
+    days = 4 * (cfg.window_days + 1)
+    span = F.floor(F.datediff("publish_date", F.lit("1970-01-01")) / days)
+    touched = changed.filter("publish_date is not null").select("scope", "institute", span.alias("span")).distinct()
+
+    def within(reach: int) -> DataFrame:
+        cells = touched.select(F.col("scope").alias("__scope"), F.col("institute").alias("__institute"), F.explode(F.array(*[F.col("span") + i for i in range(-reach, reach + 1)])).alias("__span")).distinct()
+        return polls.join(cells, F.col("scope").eqNullSafe(F.col("__scope")) & F.col("institute").eqNullSafe(F.col("__institute")) & (span == F.col("__span")), "left_semi")
+
+    near, around = within(1), within(3)
+    a, b = side(around, results, primary, cfg), side(around, results, secondary, cfg)
+    links = link(a, b, choose(with_evidence(candidates(a, b, cfg), cfg), cfg))
+    return links.join(near.select("id"), "id", "left_semi"), near
+
+
 def match_statistics(links: DataFrame) -> DataFrame:
     """Counts; multiple_matches counts primaries, the others as the statuses stand on both sides (matched: primaries)."""
     one = lambda s, sides: F.count_if((F.col("status") == s) & F.col("side").isin(*sides))

@@ -14,16 +14,15 @@ from .select import GatePolicy, serving_gate
 
 
 def filter_polls(polls: DataFrame, *, scopes=None, institutes=None, elections=None, methods=None, provider_id=None, provider=None, source=None, date_from=None, date_to=None) -> DataFrame:
-    """H1 and H2: all given conditions.  Scopes are any names of areas (C14); keys are trimmed and capitalised; dates are inclusive and must be in order.  An empty list is no condition."""
+    """H1 and H2: all given conditions.  Scopes are any names of areas (C14); keys are trimmed and capitalised; dates are inclusive and must be in order.  An empty list is no condition; keys that are all blank are one that no poll meets."""
     if date_from is not None and date_to is not None and date_from > date_to:
         raise ValueError("date_from is after date_to")
     out = polls
     if scopes:
         out = out.filter(reduce(lambda a, b: a | b, [F.col("scope") == scope_code(F.lit(s)) for s in scopes]))
     for column, wanted in (("institute", institutes), ("election", elections), ("method", methods)):
-        keys = [k.strip().upper() for k in wanted or () if k.strip()]
-        if keys:
-            out = out.filter(F.col(column).isin(keys))
+        if wanted:
+            out = out.filter(F.col(column).isin([k.strip().upper() for k in wanted if k.strip()]))
     if provider_id is not None:
         out = out.filter(F.col("provider_id") == provider_id)
     if provider:
@@ -38,9 +37,9 @@ def filter_polls(polls: DataFrame, *, scopes=None, institutes=None, elections=No
 
 
 def sort_polls(polls: DataFrame, by: str = "publish_date", descending: bool = True) -> DataFrame:
-    """H3: by date or id, id breaks ties."""
-    order = F.col(by).desc() if descending else F.col(by).asc()
-    return polls.orderBy(order, F.col("id").desc() if descending else F.col("id").asc())
+    """H3: by date or id, id breaks ties; rows of a poll's parties (H8) stand by party."""
+    order = [F.col(c).desc() if descending else F.col(c).asc() for c in dict.fromkeys((by, "id"))]
+    return polls.orderBy(*order, *[F.col(c).asc() for c in ("party",) if c in polls.columns])
 
 
 def page(polls: DataFrame, offset: int, limit: int) -> DataFrame:
@@ -105,9 +104,8 @@ def observations(polls: DataFrame, results: DataFrame, parties: list[str] | None
 
 
 def latest(polls: DataFrame, n: int, scope=None) -> DataFrame:
-    """The n latest polls."""
-    rows = polls if scope is None else polls.filter(F.col("scope") == scope)
-    return sort_polls(rows.filter("publish_date is not null")).limit(n)
+    """The n latest polls; undated ones come last."""
+    return sort_polls(polls if scope is None else polls.filter(F.col("scope") == scope)).limit(n)
 
 
 def lookup(polls: DataFrame, key: str, validations: DataFrame | None = None, policy: GatePolicy | None = None) -> DataFrame:
@@ -156,14 +154,28 @@ def election_summary(elections: DataFrame, polls: DataFrame, key: str) -> DataFr
     return elections.join(per, key, "left").withColumn("polls", F.coalesce("polls", F.lit(0)).cast("long"))
 
 
-def year_report(polls: DataFrame, validated: DataFrame, by_year: dict[int, str], default: str) -> DataFrame:
-    """Dated polls, validated polls and those of the year's configured provider."""
-    year = F.year("publish_date")
-    configured = F.lit(default)
-    for y, name in by_year.items():
-        configured = F.when(year == y, name).otherwise(configured)
-    rows = polls.filter("publish_date is not null").withColumn("year", year).withColumn("configured", configured).join(validated.select(F.col("poll_id").alias("id"), F.lit(True).alias("seen")), "id", "left")
-    return rows.groupBy("year", "configured").agg(F.count("*").alias("polls"), F.count_if("seen").alias("validated"), F.count_if(F.col("provider") == F.col("configured")).alias("of_configured"))
+NOT_CONFIGURED = "not configured"
+
+
+def year_report(polls: DataFrame, validated: DataFrame, by_year: dict[int, dict[str, str]], default: dict[str, str] | None = None) -> DataFrame:
+    """By year (year, primary_provider, primary_source, polls, validated, primary_polls) of the dated polls (provider, source).
+
+    by_year and default may give ``provider`` and ``source``; what a year doesn't give is the
+    default's, else ``not configured``, which is no condition on the primary polls.
+    """
+    year, given = F.year("publish_date"), {}
+    for name in ("provider", "source"):
+        own = F.when(F.lit(False), "")
+        for y, config in by_year.items():
+            if config.get(name):
+                own = own.when(year == y, config[name])
+        given[name] = own.otherwise((default or {}).get(name) or NOT_CONFIGURED)
+    rows = polls.filter("publish_date is not null").select("id", "provider", "source", year.alias("year"), *[c.alias(f"primary_{name}") for name, c in given.items()])
+    rows = rows.join(validated.select(F.col("poll_id").alias("id"), F.lit(True).alias("seen")), "id", "left")
+    primary = F.lit(True)
+    for name in given:
+        primary = primary & ((F.col(f"primary_{name}") == NOT_CONFIGURED) | F.coalesce(F.col(name) == F.col(f"primary_{name}"), F.lit(False)))
+    return rows.groupBy("year", "primary_provider", "primary_source").agg(F.count("*").alias("polls"), F.count_if("seen").alias("validated"), F.count_if(primary).alias("primary_polls"))
 
 
 def freshness(polls: DataFrame, runs: DataFrame, quality: DataFrame, now: Column) -> DataFrame:

@@ -23,7 +23,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable]:
-    from . import cleaning_queries, import_queries, serving_queries, text_queries, validation_queries  # noqa: F401
+    from . import cleaning_queries, import_queries, run_queries, serving_queries, text_queries, validation_queries  # noqa: F401
 
     return dict(_queries)
 

@@ -172,11 +172,12 @@ def h18_freshness(spark, d):
     return H.freshness(polls(spark, d), table(spark, d, "events").select(F.col("ts").alias("ended")), quality, F.lit("2030-01-01 00:00:00").cast("timestamp"))
 
 
-@query(f"""WITH {POLL}, y AS (SELECT CAST(year(publish_date) AS INT) AS year, CASE WHEN year(publish_date) = 1996 THEN 'historic' ELSE 'primary' END AS configured, provider, id % 2 = 0 AS seen FROM poll)
-SELECT year, configured, count(*) AS polls, count(*) FILTER (seen) AS validated, count(*) FILTER (provider = configured) AS of_configured FROM y GROUP BY 1, 2""")
+@query(f"""WITH {POLL}, y AS (SELECT CAST(year(publish_date) AS INT) AS year, provider, source, id % 2 = 0 AS seen FROM poll)
+SELECT year, CASE year WHEN 1996 THEN 'historic' ELSE 'primary' END AS primary_provider, CASE year WHEN 1997 THEN 's2' ELSE 'not configured' END AS primary_source, count(*) AS polls, count(*) FILTER (seen) AS validated,
+  count(*) FILTER (provider = CASE year WHEN 1996 THEN 'historic' ELSE 'primary' END AND (year <> 1997 OR source = 's2')) AS primary_polls FROM y GROUP BY 1, 2, 3""")
 def h19_year_report(spark, d):
     p = polls(spark, d)
-    return H.year_report(p, p.filter("id % 2 = 0").select(F.col("id").alias("poll_id")), {1996: "historic"}, "primary")
+    return H.year_report(p, p.filter("id % 2 = 0").select(F.col("id").alias("poll_id")), {1996: {"provider": "historic"}, 1997: {"source": "s2"}}, {"provider": "primary"})
 
 
 #: A run is a day of events; its steps are users' events.

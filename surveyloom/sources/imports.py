@@ -104,7 +104,7 @@ def grouped_import(rows: DataFrame, keys: list[str], party: str, value: str) ->
 
 
 def long_import(rows: DataFrame) -> DataFrame:
-    """(publish_date, institute_id, parties) of a long file's rows (country_iso3c, survey_date, institute, party_name_short, poll).
+    """(publish_date, institute_id, parties, provider, source, scope, election_id, method_id, worker) of a long file's rows (country_iso3c, survey_date, institute, party_name_short, poll).
 
     Rows of other countries, of parties without a name here and without a value are left out;
     groups whose parties contradict themselves, without a date that can be read, or without
@@ -114,7 +114,7 @@ def long_import(rows: DataFrame) -> DataFrame:
     own = rows.filter(blank("country_iso3c") == vocab.LONG_COUNTRY)
     own = own.select(F.trim("survey_date").alias("day"), blank("institute").alias("name"), lookup(vocab.LONG_PARTIES, F.trim("party_name_short")).alias("party"), number_text(F.col("poll")).alias("value"))
     groups = grouped_import(own, ["day", "name"], "party", "value").withColumn("publish_date", long_date(F.col("day"))).filter("publish_date is not null")
-    return groups.select("publish_date", institute_text(F.col("name")).alias("institute_id"), "parties")
+    return groups.select("publish_date", institute_text(F.col("name")).alias("institute_id"), "parties", *[F.lit(v).alias(k) for k, v in vocab.LONG_ROW.items()])
 
 
 def long_date(c: Column) -> Column:
