@@ -9,7 +9,9 @@ from .. import vocab
 
 def lookup(table: dict[str, str], key: Column) -> Column:
     """Value of a small fixed table, null where it has no such key."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.coalesce(key, F.lit("")))
+    # One expression, read by Spark in one call; it is folded to a map.
+    quoted = ("'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'" for kv in table.items() for x in kv)
+    return F.try_element_at(F.expr(f"map({', '.join(quoted)})"), F.coalesce(key, F.lit("")))
 
 
 def label(c: Column) -> Column:
@@ -94,6 +96,11 @@ def timeframe(c: Column, default_year: Column | None = None) -> Column:
     )
 
 
+def once(value: Column, use) -> Column:
+    """use(value) with the value evaluated a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def repaired(start: Column, end: Column, publish: Column, text: Column) -> Column:
     """struct(start, end) moved back a year where the text has no year and the dates run past publication or each other."""
     yearless = ~F.coalesce(text, F.lit("")).rlike(r"\b\d{4}\b") & publish.isNotNull()
@@ -104,14 +111,17 @@ def repaired(start: Column, end: Column, publish: Column, text: Column) -> Colum
 
 def survey_window(start: Column, end: Column, text: Column, publish: Column) -> Column:
     """struct(start, end, ignore): explicit dates, completed from the time frame; ``bis`` leaves both null."""
-    own_start, own_end = publish_date(start), publish_date(end)
-    frame = timeframe(text, F.year(publish))
-    use = (own_start.isNull() | own_end.isNull()) & ~frame["ignore"]
-    fixed = repaired(frame["start"], frame["end"], publish, text)
-    until = use & (frame["type"] == "BIS_PREFIX")
-    return F.struct(
-        F.when(~until, F.coalesce(own_start, F.when(use, fixed["start"]))).alias("start"), F.when(~until, F.coalesce(own_end, F.when(use, fixed["end"]))).alias("end"), frame["ignore"].alias("ignore")
-    )
+
+    def window(x: Column) -> Column:
+        frame, own_start, own_end = x["frame"], x["own_start"], x["own_end"]
+        use = (own_start.isNull() | own_end.isNull()) & ~frame["ignore"]
+        fixed = repaired(frame["start"], frame["end"], publish, text)
+        until = use & (frame["type"] == "BIS_PREFIX")
+        return F.struct(
+            F.when(~until, F.coalesce(own_start, F.when(use, fixed["start"]))).alias("start"), F.when(~until, F.coalesce(own_end, F.when(use, fixed["end"]))).alias("end"), frame["ignore"].alias("ignore")
+        )
+
+    return once(F.struct(timeframe(text, F.year(publish)).alias("frame"), publish_date(start).alias("own_start"), publish_date(end).alias("own_end")), window)
 
 
 def digits(c: Column) -> tuple[Column, Column]:
@@ -150,19 +160,22 @@ def embedded_range(c: Column, publish: Column) -> Column:
     dot, a month and a dot.
     """
     groups, gaps = digits(c)
-    bare = F.transform(gaps, lambda g: F.translate(F.regexp_replace(g, r"\s", ""), "–", "-"))
-    group, gap = (lambda i: F.get(groups, i)), (lambda i: F.get(bare, i))
-    dotted = lambda i: F.get(gaps, i) == "."
-    short = lambda i: F.length(group(i)) <= 2
-
-    def days(i: Column) -> Column:
-        tight = F.get(gaps, i + 2).startswith(".") & F.get(gaps, i + 4).startswith(".")
-        return dotted(i + 1) & (gap(i + 2) == ".-") & dotted(i + 3) & tight & short(i + 1) & short(i + 2) & short(i + 3)
-
-    at = F.get(F.filter(F.when(F.size(groups) > 3, F.sequence(F.lit(0), F.size(groups) - 4)).otherwise(F.array().cast("array<int>")), days), F.lit(0))
-    date = lambda i: _dmy(F.right(group(at + i), F.lit(2)), group(at + i + 1), F.year(publish).cast("string"))
-    known = at.isNotNull() & publish.isNotNull()
-    return F.struct(F.when(known, date(0)).alias("start"), F.when(known, date(2)).alias("end"))
+
+    def found(x: Column) -> Column:
+        groups, gaps, bare = x["groups"], x["gaps"], F.transform(x["gaps"], lambda g: F.translate(F.regexp_replace(g, r"\s", ""), "–", "-"))
+        group, gap, plain = (lambda i: F.get(groups, i)), (lambda i: F.get(gaps, i)), (lambda i: F.get(bare, i))
+        short = lambda i: F.length(group(i)) <= 2
+
+        def days(i: Column) -> Column:
+            dots = (gap(i + 1) == ".") & (gap(i + 3) == ".") & gap(i + 2).startswith(".") & gap(i + 4).startswith(".")
+            return dots & (plain(i + 2) == ".-") & short(i + 1) & short(i + 2) & short(i + 3)
+
+        at = F.filter(F.when(F.size(groups) > 3, F.sequence(F.lit(0), F.size(groups) - 4)).otherwise(F.array().cast("array<int>")), days)
+        date = lambda i, n: _dmy(F.right(group(i + n), F.lit(2)), group(i + n + 1), F.year(publish).cast("string"))
+        return F.get(F.transform(F.slice(at, 1, 1), lambda i: F.struct(F.when(publish.isNotNull(), date(i, 0)).alias("start"), F.when(publish.isNotNull(), date(i, 2)).alias("end"))), F.lit(0))
+
+    none = F.lit(None).cast("date")
+    return F.coalesce(once(F.struct(groups.alias("groups"), gaps.alias("gaps")), found), F.struct(none.alias("start"), none.alias("end")))
 
 
 def parse_diagnostics(c: Column) -> Column:

@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .joins import dense_numbers
+
+
+def key_digest(keys: list[str]) -> Column:
+    """128 bits of the keys' values, nulls among them; what a history keeps beside its rows so that reject_known() reads no more of it."""
+    return F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
 
-def reject_known(new: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """B1: rows of new that no row of known equals on all keys, nulls equal."""
-    k = known.select(*[F.col(c).alias(f"__{c}") for c in keys])
-    same = F.lit(True)
+
+def reject_known(new: DataFrame, known: DataFrame, keys: list[str], digest: str | None = None, made: Callable[[list[str]], Column] = key_digest) -> DataFrame:
+    """B1: rows of new that no row of known equals on all keys, nulls equal.
+
+    Of the history only ``digest``, its column of key digests, meets the batch (without one it is
+    computed); a small batch is broadcast, so the history isn't shuffled.  Rows that share a
+    digest with the batch are then compared on all keys, so equal digests of unlike rows do no harm.
+    """
+    marked = new.withColumn("__digest", made(keys))
+    batch = marked.select("__digest").distinct()
+    old = known.withColumn("__digest", F.col(digest) if digest else made(keys))
+    hits = old.select("__digest").join(batch, "__digest", "left_semi").distinct()
+    alike = old.join(hits, "__digest", "left_semi").select("__digest", *[F.col(c).alias(f"__{c}") for c in keys])
+    same = marked["__digest"] == alike["__digest"]
     for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return new.join(k, same, "left_anti")
+        same = same & marked[c].eqNullSafe(alike[f"__{c}"])
+    return marked.join(alike, same, "left_anti").drop("__digest")
 
 
 def first_in_batch(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -99,8 +117,8 @@ def backfill(polls: DataFrame, computed: DataFrame) -> DataFrame:
 
 
 def new_members(rows: DataFrame, dim: DataFrame, name: str) -> DataFrame:
-    """The dimension with members for unseen names, ids going on in name order (numbering runs over the unseen names alone)."""
+    """The dimension with members for unseen names, ids going on without gaps in the order of names; they are numbered by ranges, so there may be any number of them."""
     top = dim.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     unseen = rows.select(name).filter(F.col(name).isNotNull()).distinct().join(dim.select(name), name, "left_anti")
-    numbered = unseen.withColumn("n", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(name))).crossJoin(F.broadcast(top))
+    numbered = dense_numbers(unseen, [name]).crossJoin(F.broadcast(top))
     return dim.select("id", name).unionByName(numbered.select((F.col("top") + F.col("n")).cast("long").alias("id"), name))
