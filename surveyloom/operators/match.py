@@ -89,6 +89,11 @@ def link(primary: DataFrame, secondary: DataFrame, chosen: DataFrame) -> DataFra
     return a.unionByName(b.select("id", F.lit("secondary").alias("side"), status.alias("status"), F.when(status == "matched", F.col("matched_id")).alias("matched_id")))
 
 
+def reach(cfg: MatchConfig) -> int:
+    """Days from a change within which relink() gives links anew: the rest of its span and one more."""
+    return 8 * (cfg.window_days + 1)
+
+
 def relink(polls: DataFrame, results: DataFrame, changed: DataFrame, cfg: MatchConfig, primary: str, secondary: str) -> tuple[DataFrame, DataFrame]:
     """E1 to E8 where polls have changed: (the links (id, side, status, matched_id) of the polls near a change, those polls).
 

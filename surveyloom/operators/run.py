@@ -168,14 +168,17 @@ def clean_run(spark: SparkSession, tables: Versions, raw: DataFrame, mode: str =
 
     changed = stored(replaced.select("publish_date", "scope", "institute", "part").unionByName(fresh.select("publish_date", "scope", "institute", "part")), "changed")
     # What a change reaches lies less than a year from it, so other years are not read.
-    years = F.col("part").isin([p + i for p in _parts_of(changed) for i in (-1, 0, 1)])
+    own = _parts_of(changed)
+    years = F.col("part").isin([p + i for p in own for i in (-1, 0, 1)])
     links, near = M.relink(now.filter(years), now_results.filter(years), changed, cfg.match, cfg.selection.primary, cfg.selection.secondary)
-    near = stored(near.select("id", "part"), "near")
-    parts = None if mode == "rebuild" else _parts_of(changed, near, filled)
+    near = near.select("id")
+    reach = M.reach(cfg.match)
+    around = changed.select(F.explode(F.array(*[F.year(F.date_add("publish_date", i)) for i in (-reach, reach)])).alias("part"))
+    parts = None if mode == "rebuild" else sorted({*own, *_parts_of(around, filled)})
     changes = {}
     linked = _selected(_linked(now if parts is None else now.filter(F.col("part").isin(parts)), links, near), cfg.selection)
     changes["polls"] = Change(counters.written(linked.select(*old_polls.columns), cfg.selection.primary), parts)
-    result_parts = None if parts is None else _parts_of(changed)
+    result_parts = None if parts is None else own
     changes["results"] = Change(now_results if result_parts is None else now_results.filter(F.col("part").isin(result_parts)), result_parts)
     block = F.floor(F.col("id") / RAW_IDS).cast("int").alias("part")
     holders = ids.select(F.col("raw_id").alias("duplicate_of_raw"), F.col("id").alias("duplicate_of"))
