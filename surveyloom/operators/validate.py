@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.survey import public_id
+from ..session import stored
+
 
 def range_check(polls: DataFrame, results: DataFrame, low: float = 0, high: float = 100) -> DataFrame:
     """G1: has results, all inside the range; offenders by name."""
@@ -37,8 +42,8 @@ def respondents_check(polls: DataFrame, bounds: DataFrame, unknown: str) -> Data
     return polls.withColumn("method", F.coalesce("method", F.lit(unknown))).join(F.broadcast(bounds), "method", "left").select("id", F.coalesce(F.col("respondents").between(F.col("low"), F.col("high")), F.lit(False)).alias("passed"))
 
 
-def expected_parties(polls: DataFrame, rules: list[tuple[str, list[str], int | None, int | None]], group: Column) -> DataFrame:
-    """(id, party): parties expected by rules (scope group, parties, from year, until year); undated polls ignore years."""
+def expected_list(rules: list[tuple[str, list[str], int | None, int | None]], group: Column) -> Column:
+    """The parties expected by rules (scope group, parties, from year, until year); undated polls ignore years."""
     wanted = []
     year = F.year("publish_date")
     for scope, parties, first, last in rules:
@@ -48,18 +53,29 @@ def expected_parties(polls: DataFrame, rules: list[tuple[str, list[str], int | N
         if last is not None:
             ok = ok & (year.isNull() | (year <= last))
         wanted.append(F.when(ok, F.array(*[F.lit(p) for p in parties])).otherwise(F.array().cast("array<string>")))
-    return polls.select("id", F.explode(F.array_distinct(F.flatten(F.array(*wanted)))).alias("party"))
+    return F.array_sort(F.array_distinct(F.flatten(F.array(*wanted))))
+
+
+def expected_parties(polls: DataFrame, rules: list[tuple[str, list[str], int | None, int | None]], group: Column) -> DataFrame:
+    """(id, party): a row for each expected party."""
+    return polls.select("id", F.explode(expected_list(rules, group)).alias("party"))
 
 
 def presence(polls: DataFrame, results: DataFrame, parties: list[str], days: int = 365) -> DataFrame:
-    """Per poll and monitored party how many other polls of its scope within the window there are, and how many have the party. Undated polls compare with their whole scope.
+    """Per poll and monitored party how many other polls of its scope within the window there are, and how many have the party. Undated polls compare with their whole scope."""
+    have = results.filter(F.col("party").isin(parties)).groupBy(F.col("poll_id").alias("id")).agg(F.collect_set("party").alias("have"))
+    rows = polls.select("id", "scope", "publish_date").join(have, "id", "left")
+    rows = with_presence(rows.withColumn("have", F.coalesce("have", F.array().cast("array<string>"))), parties, days)
+    return rows.select("id", F.explode("nearby").alias("p")).select("id", "p.party", "p.has", "p.comparisons", "p.with_party")
+
+
+def with_presence(rows: DataFrame, parties: list[str], days: int = 365) -> DataFrame:
+    """Rows (scope, publish_date, have: the poll's parties) with ``nearby``, an array of (party, has, comparisons, with_party).
 
     Polls are counted by scope and day first, so the windows run over days, however many
     polls a scope has.
     """
-    have = results.filter(F.col("party").isin(parties)).groupBy(F.col("poll_id").alias("id")).agg(F.collect_set("party").alias("have"))
-    rows = polls.select("id", "scope", F.datediff("publish_date", F.lit("1970-01-01")).alias("day")).join(have, "id", "left")
-    rows = rows.withColumn("have", F.coalesce("have", F.array().cast("array<string>")))
+    rows = rows.withColumn("day", F.datediff("publish_date", F.lit("1970-01-01")))
     holding = [F.count_if(F.array_contains("have", p)).alias(f"k{i}") for i, p in enumerate(parties)]
     by_day = rows.groupBy("scope", "day").agg(F.count("*").alias("n"), *holding)
     near, everything = W.partitionBy("scope").orderBy("day").rangeBetween(-days, days), W.partitionBy("scope")
@@ -70,9 +86,12 @@ def presence(polls: DataFrame, results: DataFrame, parties: list[str], days: int
 
     counts = by_day.select(F.col("scope").alias("__scope"), F.col("day").alias("__day"), around("n").alias("around"), F.array(*[around(f"k{i}") for i in range(len(parties))]).alias("holding"))
     rows = rows.join(counts, F.col("scope").eqNullSafe(F.col("__scope")) & F.col("day").eqNullSafe(F.col("__day")))
-    grid = rows.select("id", "have", "around", F.posexplode(F.array(*[F.lit(p) for p in parties])).alias("i", "party"), "holding")
-    has = F.array_contains("have", F.col("party")).cast("int")
-    return grid.select("id", "party", has.alias("has"), (F.col("around") - 1).cast("long").alias("comparisons"), (F.get("holding", F.col("i")) - has).cast("long").alias("with_party"))
+
+    def one(i: int, party: str) -> Column:
+        has = F.array_contains("have", party).cast("int")
+        return F.struct(F.lit(party).alias("party"), has.alias("has"), (F.col("around") - 1).cast("long").alias("comparisons"), (F.get("holding", F.lit(i)) - has).cast("long").alias("with_party"))
+
+    return rows.withColumn("nearby", F.array(*[one(i, p) for i, p in enumerate(parties)])).drop("day", "__scope", "__day", "around", "holding")
 
 
 def core_party_check(polls: DataFrame, expected: DataFrame, counts: DataFrame, min_polls: int = 5, min_share: float = 0.8, policy: bool = True) -> DataFrame:
@@ -84,39 +103,129 @@ def core_party_check(polls: DataFrame, expected: DataFrame, counts: DataFrame, m
     return rows.select("id", (F.col("blocking") == "").alias("passed"), F.when(F.col("blocking") != "", "error").when(F.col("context") != "", "warning").otherwise("info").alias("severity"), "blocking", "context")
 
 
-def jump_check(polls: DataFrame, results: DataFrame, group: str, threshold: float = 4.0) -> DataFrame:
-    """Change of a party from the previous poll of its group (by date, undated first, then id) above the threshold; polls without a group pass.
+def _previous(rows: DataFrame) -> DataFrame:
+    """rows (kind, g, party, publish_date, id, percentage) with ``previous``, (percentage, id) of the party in the poll before of its group, by date, undated first, then id.
 
     A window is a year of a party in a group; each year's last value is carried over to the
     first poll of the next year that has one, so no task sorts a group's whole history.
     """
-    rows = polls.filter(F.col(group).isNotNull()).select("id", F.col(group).alias("g"), "publish_date", F.coalesce(F.year("publish_date"), F.lit(-1_000_000)).alias("year"))
-    rows = rows.join(results.select(F.col("poll_id").alias("id"), "party", "percentage"), "id")
-    place = F.struct(F.coalesce("publish_date", F.lit("0001-01-01").cast("date")), "id")
-    by_year = rows.groupBy("g", "party", "year").agg(F.max_by("percentage", place).alias("last"))
-    carried = by_year.select("g", "party", "year", F.lag("last").over(W.partitionBy("g", "party").orderBy("year")).alias("carried"))
-    order = W.partitionBy("g", "party", "year").orderBy(F.col("publish_date").asc_nulls_first(), "id")
-    rows = rows.withColumn("before", F.lag("percentage").over(order)).withColumn("first", F.row_number().over(order) == 1).join(carried, ["g", "party", "year"])
-    delta = F.abs(F.col("percentage") - F.when(F.col("first"), F.col("carried")).otherwise(F.col("before")))
-    jumps = rows.withColumn("delta", delta).filter(F.col("delta") > threshold).groupBy("id").agg(F.count("*").alias("jumps"), F.max("delta").alias("largest"))
-    return polls.select("id").join(jumps, "id", "left").select("id", F.col("jumps").isNull().alias("passed"), F.coalesce("jumps", F.lit(0)).alias("jumps"), "largest")
-
-
-def check_flags(
-    polls: DataFrame, results: DataFrame, bounds: DataFrame, unknown_method: str, rules: list, group: Column, monitored: list[str], today: Column, *, low: float = 0, high: float = 100, total: float = 100, tolerance: float = 2, jump: float = 4.0, groups: tuple[str, str] = ("institute", "scope"),
-) -> DataFrame:
-    """G1 to G9 at once: (poll_id, the seven flags, observed_sum, offenders, blocking, jumps). Results are aggregated once for the checks of a poll on its own; the others join by poll."""
-    bad = ~F.col("percentage").between(low, high)
-    per = results.groupBy("poll_id").agg(F.sum("percentage").alias("observed_sum"), F.sort_array(F.collect_list(F.when(bad, F.col("party")))).alias("offenders"))
-    rows = polls.join(per, F.col("id") == F.col("poll_id"), "left").withColumn("method", F.coalesce("method", F.lit(unknown_method))).join(F.broadcast(bounds), "method", "left")
-    rows = rows.select(
-        "id", F.coalesce(F.size("offenders") == 0, F.lit(False)).alias("qc_range"), F.coalesce(F.col("observed_sum").between(total - tolerance, total + tolerance), F.lit(False)).alias("qc_sum"), (date_message(today) == "ok").alias("qc_dates"),
-        F.coalesce(F.col("respondents").between(F.col("low"), F.col("high")), F.lit(False)).alias("qc_respondents"), "observed_sum", F.coalesce(F.array_join("offenders", ","), F.lit("")).alias("offenders"),
+    rows = rows.withColumn("year", F.coalesce(F.year("publish_date"), F.lit(-1_000_000)))
+    keys, value = ["kind", "g", "party"], F.struct("percentage", "id")
+    by_year = rows.groupBy(*keys, "year").agg(F.max_by(value, F.struct(F.coalesce("publish_date", F.lit("0001-01-01").cast("date")), "id")).alias("last"))
+    carried = by_year.select(*keys, "year", F.lag("last").over(W.partitionBy(*keys).orderBy("year")).alias("carried"))
+    order = W.partitionBy(*keys, "year").orderBy(F.col("publish_date").asc_nulls_first(), "id")
+    rows = rows.withColumn("before", F.lag(value).over(order)).withColumn("first", F.row_number().over(order) == 1).join(carried, [*keys, "year"])
+    return rows.withColumn("previous", F.when(F.col("first"), F.col("carried")).otherwise(F.col("before")))
+
+
+def jumps_of(rows: DataFrame, groups: dict[str, str], threshold: float = 4.0) -> DataFrame:
+    """G8 and G9 in one pass: (id, kind, jumps) of polls (id, publish_date, results, the groups' columns) that jump. groups: column by kind.
+
+    jumps is an array of (party_key, jump, current, previous, previous_poll_id,
+    previous_public_id) by party: where its value is more than the threshold from that of the
+    poll before of the same group.  A null or empty group is compared with nothing.
+    """
+    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("g")) for kind, c in groups.items()])
+    rel = rows.select("id", "publish_date", F.explode("results").alias("r"), kinds.alias("kinds")).select("id", "publish_date", "r.party", "r.percentage", F.explode("kinds").alias("k")).select("*", "k.kind", "k.g")
+    rel = _previous(rel.filter(F.coalesce("g", F.lit("")) != "").drop("k"))
+    change = F.col("percentage") - F.col("previous.percentage")
+    jump = F.struct(
+        F.col("party").alias("party_key"), F.round(change, 2).alias("jump"), F.col("percentage").alias("current"), F.col("previous.percentage").alias("previous"), F.col("previous.id").alias("previous_poll_id"),
+        public_id("C", F.col("previous.id")).alias("previous_public_id"),
     )
-    core = core_party_check(polls, expected_parties(polls, rules, group), presence(polls, results, monitored)).select("id", F.col("passed").alias("qc_core"), "blocking")
-    first, second = (jump_check(polls, results, g, jump).select("id", F.col("passed").alias(name), F.col("jumps").alias(f"jumps_{name}")) for g, name in zip(groups, CHECKS[5:], strict=True))
-    out = rows.join(core, "id").join(first, "id").join(second, "id")
-    return out.select(F.col("id").alias("poll_id"), *CHECKS, "observed_sum", "offenders", "blocking", sum(F.col(f"jumps_{name}") for name in CHECKS[5:]).alias("jumps"))
+    return rel.filter(F.abs(change) > threshold).groupBy("id", "kind").agg(F.array_sort(F.collect_list(jump)).alias("jumps"))
+
+
+def jump_check(polls: DataFrame, results: DataFrame, group: str, threshold: float = 4.0) -> DataFrame:
+    """Change of a party from the previous poll of its group above the threshold; polls without a group pass."""
+    rows = polls.select("id", "publish_date", group).join(results.select(F.col("poll_id").alias("id"), F.array(F.struct("party", "percentage")).alias("results")), "id")
+    jumps = jumps_of(rows, {group: group}, threshold).select("id", "jumps")
+    size = F.coalesce(F.size("jumps"), F.lit(0))
+    return polls.select("id").join(jumps, "id", "left").select("id", (size <= 0).alias("passed"), F.greatest(size, F.lit(0)).cast("long").alias("jumps"), F.array_max(F.transform("jumps", lambda j: F.abs(j["current"] - j["previous"]))).alias("largest"))
+
+
+@dataclass(frozen=True)
+class CheckConfig:
+    """Limits of the checks; groups: the columns of an institute and a scope."""
+
+    low: float = 0
+    high: float = 100
+    total: float = 100
+    tolerance: float = 2
+    jump: float = 4.0
+    min_polls: int = 5
+    min_share: float = 0.8
+    days: int = 365
+    groups: tuple[str, str] = ("institute", "scope")
+
+
+def _shown(x: float) -> str:
+    return f"{x:.0f}"
+
+
+def check_structs(polls: DataFrame, results: DataFrame, bounds: DataFrame, unknown_method: str, rules: list, group: Column, monitored: list[str], today: Column, cfg: CheckConfig | None = None) -> DataFrame:
+    """G1 to G9 at once: (poll_id, a struct for each check): passed, severity, observed (a VARIANT), expected, message (null if there is nothing to say) and affected_parties.
+
+    Polls and results are joined once and stored; the checks of a poll on its own are
+    expressions of that row, presence is counted by day, and both jump checks are one pass.
+    """
+    cfg = cfg or CheckConfig()
+    listed = results.groupBy("poll_id").agg(F.array_sort(F.collect_list(F.struct("party", "percentage"))).alias("results"))
+    rows = polls.join(listed, F.col("id") == F.col("poll_id"), "left").drop("poll_id").withColumn("results", F.coalesce("results", F.array().cast("array<struct<party:string,percentage:double>>")))
+    rows = rows.withColumn("method", F.coalesce("method", F.lit(unknown_method))).join(F.broadcast(bounds), "method", "left").withColumns({"expected": expected_list(rules, group), "have": F.transform("results", lambda r: r["party"])})
+    rows = stored(rows, "polls-with-results")
+    kinds = dict(zip(CHECKS[5:], cfg.groups, strict=True))
+    jumps = jumps_of(rows, kinds, cfg.jump).groupBy("id").agg(*[F.first(F.when(F.col("kind") == k, F.col("jumps")), ignorenulls=True).alias(k) for k in kinds])
+    out = with_presence(rows, monitored, cfg.days).join(jumps.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left")
+
+    parties = F.array().cast("array<string>")
+    names = lambda c: F.transform(c, lambda x: x["party"])
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    def check(name: str, passed: Column, observed: Column, expected: Column, message: Column, affected: Column = parties, severity: Column | None = None) -> Column:
+        return F.struct(passed.alias("passed"), (severity if severity is not None else F.lit(SEVERITY[name])).alias("severity"), observed.alias("observed"), expected.alias("expected"), message.alias("message"), affected.alias("affected_parties")).alias(name)
+
+    some = F.size("results") > 0
+    outside = F.filter("results", lambda r: ~r["percentage"].between(cfg.low, cfg.high))
+    in_range = some & (F.size(outside) == 0)
+    total = F.aggregate("results", F.lit(0.0), lambda s, r: s + r["percentage"])
+    sums = some & total.between(cfg.total - cfg.tolerance, cfg.total + cfg.tolerance)
+    wrong = date_message(today)
+    dates = F.to_variant_object(F.struct(*[F.col(c).cast("string").alias(n) for c, n in (("survey_start", "survey_date_start"), ("survey_end", "survey_date_end"), ("publish_date", "publish_date"))]))
+    plausible = F.coalesce(F.col("respondents").between(F.col("low"), F.col("high")), F.lit(False))
+    missing = F.array_sort(F.array_except("expected", "have"))
+    usual = F.filter("nearby", lambda p: (p["has"] == 0) & (p["comparisons"] >= cfg.min_polls) & (p["with_party"] >= cfg.min_share * p["comparisons"]))
+    blocking = F.array_sort(F.array_intersect(missing, names(usual)))
+    blocked, open_ = F.size(blocking) > 0, F.size(missing) > 0
+    # What the checks expect and say.
+    structs = [
+        check(CHECKS[0], in_range, F.to_variant_object(F.map_from_entries("results")), text(f"Each party percentage must be between {_shown(cfg.low)} and {_shown(cfg.high)}."), F.when(~in_range, "One or more party percentages are outside the allowed range."), names(outside)),
+        check(CHECKS[1], sums, F.round(total, 2).cast("variant"), text(f"Sum between {_shown(cfg.total - cfg.tolerance)} and {_shown(cfg.total + cfg.tolerance)}."), F.when(~sums, "Party results do not sum to 100 within tolerance.")),
+        check(CHECKS[2], wrong == "ok", dates, text("survey_date_start <= survey_date_end <= publish_date; no future dates."), F.when(wrong == "missing dates", "One or more required dates are missing.").when(wrong != "ok", "Poll dates are inconsistent or in the future.")),
+        check(CHECKS[3], plausible, F.col("respondents").cast("variant"), text(F.col("method"), ": respondents between ", F.col("low").cast("string"), " and ", F.col("high").cast("string"), "."), F.when(~plausible, "Respondent count is missing or outside plausible range.")),
+        check(
+            CHECKS[4], ~blocked, F.to_variant_object(F.array_sort("have")), text("Contextual core parties present: ", F.array_join("expected", ", "), "."),
+            F.when(blocked, "One or more contextually expected core parties are missing.").when(open_, "One or more monitored core parties are missing, but nearby polls do not make this a blocking issue."),
+            F.when(blocked, blocking).otherwise(missing), F.when(open_ & ~blocked, "warning").otherwise("error"),
+        ),
+    ]
+    none = F.array().cast("array<struct<party_key:string,jump:double,current:double,previous:double,previous_poll_id:bigint,previous_public_id:string>>")
+    for (name, column), said in zip(kinds.items(), ("institute", "scope"), strict=True):
+        grouped, found = F.coalesce(F.col(column).cast("string"), F.lit("")) != "", F.coalesce(name, none)
+        structs.append(check(
+            name, F.size(found) == 0, F.when(grouped, F.to_variant_object(found)), F.when(grouped, f"No party jump greater than {_shown(cfg.jump)} percentage points.").otherwise(f"Previous poll with same {said}."),
+            F.when(~grouped, f"No {said} value available for jump check.").when(F.size(found) > 0, f"Large party result jump within same {said}."), F.transform(found, lambda j: j["party_key"]),
+        ))
+    return out.select(F.col("id").alias("poll_id"), *structs)
+
+
+def check_flags(polls: DataFrame, results: DataFrame, bounds: DataFrame, unknown_method: str, rules: list, group: Column, monitored: list[str], today: Column, cfg: CheckConfig | None = None) -> DataFrame:
+    """(poll_id, the seven flags, checks: the struct of the seven structs)."""
+    return flags_of(check_structs(polls, results, bounds, unknown_method, rules, group, monitored, today, cfg))
+
+
+def flags_of(structs: DataFrame) -> DataFrame:
+    return structs.select("poll_id", *[F.col(f"{c}.passed").alias(c) for c in CHECKS], F.struct(*CHECKS).alias("checks"))
 
 
 CHECKS = ["qc_range", "qc_sum", "qc_dates", "qc_respondents", "qc_core", "qc_jump_institute", "qc_jump_scope"]
@@ -135,10 +244,9 @@ def research_ready(required: list[str] | None = None) -> Column:
 
 
 def validation_rows(flags: DataFrame, required: list[str] | None = None, validated_at: Column | None = None) -> DataFrame:
-    """Flags by poll with error and warning counts, validity, JSON details (what the checks observed) and, if given, the time."""
+    """Flags by poll with error and warning counts, validity, JSON details (the structs of the checks; without them the flags) and, if given, the time."""
     count = lambda s: sum((F.when(~F.col(c), 1).otherwise(0) for c in CHECKS if SEVERITY[c] == s), F.lit(0))
-    seen = [c for c in ("observed_sum", "offenders", "blocking", "jumps") if c in flags.columns]
-    details = F.to_json(F.struct(*(seen or CHECKS)), {"ignoreNullFields": "false"})
+    details = F.to_json("checks" if "checks" in flags.columns else F.struct(*CHECKS), {"ignoreNullFields": "false"})
     out = flags.select("poll_id", research_ready(required).alias("valid"), count("error").cast("long").alias("error_count"), count("warning").cast("long").alias("warning_count"), *CHECKS, details.alias("details"))
     return out if validated_at is None else out.withColumn("validated_at", validated_at)
 
@@ -148,9 +256,9 @@ def upsert_validations(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.join(new.select("poll_id"), "poll_id", "left_anti").unionByName(new)
 
 
-def summary(rows: DataFrame) -> DataFrame:
-    """Totals."""
-    return rows.agg(F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.count_if(F.col("warning_count") > 0).alias("with_warning"))
+def summary(rows: DataFrame, *more: Column) -> DataFrame:
+    """Totals, and further aggregates in the same pass."""
+    return rows.agg(*more, F.count("*").alias("total"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"), F.count_if(F.col("warning_count") > 0).alias("with_warning"))
 
 
 def check_report(rows: DataFrame) -> DataFrame:
@@ -178,7 +286,7 @@ PUBLIC_STATUS = {"pass": "ready", "warn": "review_recommended", "fail": "attenti
 def quality_status(rows: DataFrame, max_invalid: float = 0.05, min_valid: float = 0.9, max_warning: float = 0.1) -> DataFrame:
     """Totals and shares with the status (pass, warn or fail), its public wording, and the latest validation where rows have validated_at."""
     latest = F.max("validated_at") if "validated_at" in rows.columns else F.max(F.lit(None).cast("timestamp"))
-    s = summary(rows).crossJoin(rows.agg(latest.alias("latest_validated_at")))
+    s = summary(rows, latest.alias("latest_validated_at"))
     for name in ("valid", "invalid", "with_warning"):
         s = s.withColumn(f"{name}_share", share(F.col(name), F.col("total")))
     status = F.when(F.col("total") == 0, "warn").when(F.col("invalid_share") > max_invalid, "fail").when((F.col("valid_share") < min_valid) | (F.col("with_warning_share") > max_warning), "warn").otherwise("pass")

@@ -187,10 +187,9 @@ def freshness(polls: DataFrame, runs: DataFrame, quality: DataFrame, now: Column
     return out.withColumns({"age": F.unix_timestamp(now) - F.unix_timestamp("last_run"), "run_status": run, "status": status})
 
 
-def report_totals(polls: DataFrame, validations: DataFrame, quality: DataFrame, run: DataFrame) -> DataFrame:
+def report_totals(polls: DataFrame, quality: DataFrame, run: DataFrame) -> DataFrame:
     """Polls, validated, valid, invalid and warning ones with the valid share and status (quality: G15), and the counters of a run (H21; 0 if there is none)."""
-    totals = polls.agg(F.count("*").alias("polls")).crossJoin(validations.agg(F.count("*").alias("validated")))
-    totals = totals.crossJoin(quality.select("valid", "invalid", F.col("with_warning").alias("warning"), "valid_share", "status"))
+    totals = polls.agg(F.count("*").alias("polls")).crossJoin(quality.select(F.col("total").alias("validated"), "valid", "invalid", F.col("with_warning").alias("warning"), "valid_share", "status"))
     counters = run.agg(F.max("run_id").alias("run_id"), *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("scraped", "created", "updated", "errors")])
     return totals.crossJoin(counters.withColumn("run_id", F.coalesce("run_id", F.lit("not connected"))))
 

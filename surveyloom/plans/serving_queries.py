@@ -198,8 +198,7 @@ def runs(spark, d):
 @query(f"""WITH {QUALITY}, {RUNS} SELECT (SELECT count(*) FROM poll) AS polls, (SELECT count(*) FROM val) AS validated, valid, invalid, with_warning AS warning, valid_share, status, run_id, scraped, created, updated, errors
 FROM quality, (SELECT * FROM runs ORDER BY finished DESC LIMIT 1)""")
 def h20_report_totals(spark, d):
-    rows = validations(spark, d)
-    return H.report_totals(polls(spark, d), rows, V.quality_status(rows), H.run_of(runs(spark, d)))
+    return H.report_totals(polls(spark, d), V.quality_status(validations(spark, d)), H.run_of(runs(spark, d)))
 
 
 @query(f"WITH {RUNS} SELECT 'history' AS part, * FROM runs UNION ALL (SELECT 'latest', * FROM runs ORDER BY finished DESC LIMIT 1) UNION ALL SELECT 'one', * FROM runs WHERE run_id = (SELECT min(run_id) FROM runs)")

@@ -226,7 +226,7 @@ def group_of():
 
 
 def flags(spark, d):
-    return V.check_flags(polls(spark, d), results(spark, d), bounds(spark), "3-MEDIUM", RULES, group_of(), MONITORED, F.lit(TODAY).cast("date"), high=45, jump=25)
+    return V.check_flags(polls(spark, d), results(spark, d), bounds(spark), "3-MEDIUM", RULES, group_of(), MONITORED, F.lit(TODAY).cast("date"), V.CheckConfig(high=45, jump=25))
 
 
 def validations(spark, d):
@@ -244,7 +244,45 @@ def g11_validation_rows(spark, d):
     """The rows of a run over all polls take the place of earlier ones."""
     new = validations(spark, d)
     old = polls(spark, d).filter("id % 2 = 0").select(F.col("id").alias("poll_id"), F.lit(False).alias("valid"), *[F.lit(9).cast("long").alias(c) for c in ("error_count", "warning_count")], *[F.lit(False).alias(c) for c in V.CHECKS], F.lit("").alias("details"))
-    return V.upsert_validations(old, new)
+    rows = V.upsert_validations(old, new)
+    at = lambda path: F.get_json_object("details", f"$.{path}")
+    parties = lambda c: F.coalesce(F.array_join(F.from_json(at(f"{c}.affected_parties"), "array<string>"), ","), F.lit(""))
+    jumps = sum(F.size(F.from_json(at(f"{c}.affected_parties"), "array<string>")) for c in V.CHECKS[5:])
+    blocking = F.when(at("qc_core.passed") == "false", parties("qc_core")).otherwise("")
+    told = F.struct(F.when(at("qc_range.observed") != "{}", at("qc_sum.observed").cast("double")).alias("observed_sum"), parties("qc_range").alias("offenders"), blocking.alias("blocking"), jumps.cast("long").alias("jumps"))
+    return rows.withColumn("details", F.to_json(told, {"ignoreNullFields": "false"}))
+
+
+_NUMBERS = "CASE WHEN percentage = floor(percentage) THEN printf('%.1f', percentage) ELSE CAST(percentage AS VARCHAR) END"
+
+
+def _jumps_sql(name: str, group: str, said: str) -> str:
+    return f"""{name}l AS (SELECT id, party, percentage, lag(percentage) OVER w AS before, lag(id) OVER w AS before_id FROM poll JOIN result ON poll_id = id WINDOW w AS (PARTITION BY {group}, party ORDER BY publish_date NULLS FIRST, id)),
+{name}j AS (SELECT id, string_agg(party, ',' ORDER BY party) AS affected, '[' || string_agg(printf('{{"current":%.1f,"jump":%.1f,"party_key":"%s","previous":%.1f,"previous_poll_id":%d,"previous_public_id":"C%08d"}}', percentage, percentage - before, party, before, before_id, before_id), ',' ORDER BY party) || ']' AS observed
+  FROM {name}l WHERE abs(percentage - before) > 25 GROUP BY id),
+{name}s AS (SELECT p.id, j.id IS NULL AS passed, 'warning' AS severity, coalesce(observed, '[]') AS observed, 'No party jump greater than 25 percentage points.' AS expected, CASE WHEN j.id IS NOT NULL THEN 'Large party result jump within same {said}.' END AS message, coalesce(affected, '') AS affected FROM poll p LEFT JOIN {name}j j ON j.id = p.id)"""
+
+
+@query(f"""WITH {BASE}, {G3}, {G7}, {_jumps_sql('i', 'institute', 'institute')}, {_jumps_sql('s', 'scope', 'scope')},
+told0 AS (SELECT poll_id, '{{' || string_agg('"' || party || '":' || {_NUMBERS}, ',' ORDER BY party) || '}}' AS shares, '[' || string_agg('"' || party || '"', ',' ORDER BY party) || ']' AS have, coalesce(string_agg(CASE WHEN percentage > 45 THEN party END, ',' ORDER BY party), '') AS outside, sum(percentage) AS total FROM result GROUP BY 1),
+told AS (SELECT id AS poll_id, coalesce(shares, '{{}}') AS shares, coalesce(have, '[]') AS have, coalesce(outside, '') AS outside, coalesce(total, 0) AS total, shares IS NOT NULL AS held FROM poll LEFT JOIN told0 ON told0.poll_id = id),
+wanted AS (SELECT id, string_agg(party, ', ' ORDER BY party) AS wanted FROM g5 GROUP BY 1),
+b AS (SELECT * FROM (VALUES {', '.join(f"('{m}', {lo}, {hi})" for m, lo, hi in BOUNDS)}) AS b(method, low, high)),
+range_ AS (SELECT id, held AND outside = '' AS passed, 'error' AS severity, shares AS observed, 'Each party percentage must be between 0 and 45.' AS expected, CASE WHEN NOT held OR outside <> '' THEN 'One or more party percentages are outside the allowed range.' END AS message, outside AS affected FROM poll JOIN told ON poll_id = id),
+sum_ AS (SELECT id, total BETWEEN 98 AND 102 AS passed, 'error' AS severity, printf('%.1f', total) AS observed, 'Sum between 98 and 102.' AS expected, CASE WHEN total NOT BETWEEN 98 AND 102 THEN 'Party results do not sum to 100 within tolerance.' END AS message, '' AS affected FROM poll JOIN told ON poll_id = id),
+dates AS (SELECT p.id, g3.message = 'ok' AS passed, 'error' AS severity, '{{"publish_date":"' || publish_date || '","survey_date_end":' || coalesce('"' || survey_end || '"', 'null') || ',"survey_date_start":' || coalesce('"' || survey_start || '"', 'null') || '}}' AS observed,
+  'survey_date_start <= survey_date_end <= publish_date; no future dates.' AS expected, CASE g3.message WHEN 'ok' THEN NULL WHEN 'missing dates' THEN 'One or more required dates are missing.' ELSE 'Poll dates are inconsistent or in the future.' END AS message, '' AS affected FROM poll p JOIN g3 ON g3.id = p.id),
+asked AS (SELECT id, respondents BETWEEN low AND high AS passed, 'error' AS severity, CAST(respondents AS VARCHAR) AS observed, method || ': respondents between ' || low || ' and ' || high || '.' AS expected, CASE WHEN respondents NOT BETWEEN low AND high THEN 'Respondent count is missing or outside plausible range.' END AS message, '' AS affected FROM poll JOIN b USING (method)),
+core_ AS (SELECT poll.id, blocking = '' AS passed, CASE WHEN blocking = '' AND context <> '' THEN 'warning' ELSE 'error' END AS severity, have AS observed, 'Contextual core parties present: ' || wanted || '.' AS expected,
+  CASE WHEN blocking <> '' THEN 'One or more contextually expected core parties are missing.' WHEN context <> '' THEN 'One or more monitored core parties are missing, but nearby polls do not make this a blocking issue.' END AS message, CASE WHEN blocking <> '' THEN blocking ELSE context END AS affected
+  FROM poll JOIN told ON poll_id = poll.id JOIN g7 ON g7.id = poll.id JOIN wanted ON wanted.id = poll.id)
+SELECT 'qc_range' AS check_name, * FROM range_ UNION ALL SELECT 'qc_sum', * FROM sum_ UNION ALL SELECT 'qc_dates', * FROM dates UNION ALL SELECT 'qc_respondents', * FROM asked UNION ALL SELECT 'qc_core', * FROM core_
+UNION ALL SELECT 'qc_jump_institute', * FROM is_ UNION ALL SELECT 'qc_jump_scope', * FROM ss""".replace("is AS (SELECT p.id", "is_ AS (SELECT p.id"))
+def g11_check_details(spark, d):
+    """What the seven checks of each poll observed, expected and say; observed values as JSON."""
+    rows = flags(spark, d).select("poll_id", F.explode(F.array(*[F.struct(F.lit(c).alias("check_name"), F.col(f"checks.{c}").alias("c")) for c in V.CHECKS])).alias("x"))
+    c = F.col("x.c")
+    return rows.select("x.check_name", F.col("poll_id").alias("id"), c["passed"].alias("passed"), c["severity"].alias("severity"), F.to_json(c["observed"]).alias("observed"), c["expected"].alias("expected"), c["message"].alias("message"), F.array_join(c["affected_parties"], ",").alias("affected"))
 
 
 @query(f"WITH {_FLAGS} SELECT count(*) AS total, count(*) FILTER (valid) AS valid, count(*) FILTER (NOT valid) AS invalid, count(*) FILTER (warning_count > 0) AS with_warning FROM val")

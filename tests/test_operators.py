@@ -189,7 +189,7 @@ def test_names_that_are_none(spark):
     with pytest.raises(ValueError):
         H.dataset("other", polls, polls, P.GatePolicy())
     assert H.filter_polls(polls, scopes=["Deutschland"], institutes=[]).count() == 1
-    assert H.filter_polls(polls, scopes=["Deutschland"], methods=[" "]).count() == 0
+    assert H.filter_polls(polls.withColumn("method", F.lit("X")), methods=[" "]).count() == 0
     quality = V.quality_status(spark.createDataFrame([], "valid boolean, warning_count long"))
     assert quality.select("total", "valid_share", "status", "public_status").first()[:] == (0, 0.0, "warn", "review_recommended")
     runs = spark.createDataFrame([], "ended timestamp")
