@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import sliced, stored
 
@@ -79,12 +79,21 @@ def _centred(rows, languages: list[str], smoothing: float) -> tuple[dict[str, in
 
 
 def sampled(labelled: DataFrame, max_docs: int, max_chars: int) -> DataFrame:
-    """(lang, text) of at most ``max_docs`` texts, those first by a hash, as long as they have no more than ``max_chars`` characters together; each of them whole, and once however often it occurs."""
+    """(lang, text) of at most ``max_docs`` texts, those first by a hash, of at most ``max_chars`` characters together; each of them whole, and once however often it occurs.
+
+    A text that doesn't fit beside those before it is passed over, so that one very long text
+    changes nothing for the others.
+    """
     rows = labelled.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text"))
-    # Only hashes and lengths are sorted; the running sum is over max_docs rows.
-    first = rows.groupBy("h").agg(F.max(F.length("text")).alias("n")).orderBy("h").limit(max_docs)
-    fits = first.withColumn("sum", F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("h").rowsBetween(W.unboundedPreceding, 0))).filter(F.col("sum") <= max_chars)
-    return rows.join(F.broadcast(fits.select("h")), "h", "left_semi").groupBy("h").agg(F.min(F.struct("lang", "text")).alias("x")).select("x.lang", "x.text")
+    # Only hashes and lengths are sorted; max_docs of them, twice 8 bytes each, come to the driver.
+    first = rows.groupBy("h").agg(F.max(F.length("text")).alias("n")).orderBy("h").limit(max_docs).collect()
+    fits, total = [], 0
+    for r in first:
+        if total + r["n"] <= max_chars:
+            fits.append((r["h"],))
+            total += r["n"]
+    chosen = labelled.sparkSession.createDataFrame(fits, "h long")
+    return rows.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min(F.struct("lang", "text")).alias("x")).select("x.lang", "x.text")
 
 
 def words(text: Column) -> Column:

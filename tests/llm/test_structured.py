@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.llm import conversation_repair as C, oracle, queries, secret_ledger as L, vector_codes as V
+from surveyloom.llm import conversation_repair as C, language_id, oracle, queries, secret_ledger as L, vector_codes as V
 
 DIR = "/root/testdata/sf0.001"
 
@@ -232,3 +232,18 @@ def test_ledger_scans_unseen_pairs_only(spark, tmp_path):
     L.read_ledger(spark, ledger).write.mode("append").parquet(ledger + "2")
     L.read_ledger(spark, ledger).write.mode("append").parquet(ledger + "2")  # a run that wrote twice
     assert sorted((r["path"], len(r["spans"])) for r in L.findings(named, ledger + "2", (one, two)).collect()) == [("a", 1), ("a", 1), ("d", 1)]
+
+
+# --- language sample
+
+
+def test_long_text_leaves_the_language_sample_whole(spark):
+    """A text above the bound, wherever its hash puts it, changes nothing for the others."""
+    short = [(i, f"der kleine hund {'läuft' if i % 3 else 'schläft'} und {i}", "de") if i % 2 else (i, f"the small dog {'runs' if i % 3 else 'sleeps'} and {i}", "en") for i in range(40)]
+    base = spark.createDataFrame(short, "doc_id long, text string, lang string")
+    for n in range(8):
+        long = base.unionByName(spark.createDataFrame([(100, f"w{n} " * 400, "fr")], base.schema))
+        model = language_id.train(long, max_chars=1200)
+        got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(base, model).collect()}
+        assert got == {i: lang for i, _, lang in short}
+    assert language_id.train(base.limit(0)).languages == []
