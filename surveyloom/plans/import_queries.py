@@ -48,14 +48,15 @@ def a6_rename_and_tag(spark, d):
   CASE o_orderkey % 4 WHEN 0 THEN 'FDP=7' WHEN 1 THEN NULL WHEN 2 THEN 'CDU=' || CAST(o_orderkey % 40 AS VARCHAR) || ',SPD=' || CAST(o_orderkey % 30 AS VARCHAR) END AS parties,
   CASE o_orderkey % 4 WHEN 1 THEN 'the party results are no JSON object' WHEN 3 THEN 'there is no column with party results' END AS parties_error FROM orders""")
 def a7_header_aliases(spark, d):
-    """A CSV file written from orders and read back, with aliases, defaults and rows without parties."""
+    """CSV files written from orders and read back, of two orders of columns, with aliases, defaults and rows without parties."""
     k = F.col("o_orderkey")
     rows = table(spark, d, "orders").select(
         k.alias("id"), F.lit("  ").alias(" Institute_ID "), F.col("o_orderpriority").alias("Institut"), F.when(k % 2 == 0, "own").alias("Source"), F.to_date("o_orderdate").cast("string").alias("DATUM"),
         F.when(k % 4 == 0, '{"FDP": 7}').when(k % 4 == 1, "[1]").alias("Results"), F.when(k % 4 == 2, (k % 40).cast("string")).alias("CDU"), F.when(k % 4 == 2, (k % 30).cast("string")).alias(" SPD"),
     )
     folder = shared_folder(spark, "csv")
-    rows.write.csv(folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    for part, columns in (("id % 3 = 0", rows.columns), ("id % 3 > 0", rows.columns[::-1])):
+        rows.filter(part).select(*columns).write.csv(folder, mode="append", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     out = I.csv_import(I.read_csv(spark, folder), keep=["id"])
     text = F.array_join(F.transform(F.array_sort(F.map_entries("parties")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
     return out.select(F.col("id").cast("long").alias("id"), "institute_id", "source", "method_id", "worker", "publish_date", text.alias("parties"), "parties_error")

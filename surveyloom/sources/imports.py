@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 from functools import reduce
 
@@ -73,10 +74,49 @@ def pick_aliases(rows: DataFrame, aliases: dict[str, tuple[str, ...]], defaults:
     return rows.select(*keep, *out)
 
 
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, quoted_ends) of the CSV files under a path: their first line, and whether a quoted text in them goes over a line's end."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    # A file's first part is read by one task, line by line: its first line is the header.
+    return lines.groupBy("file").agg(F.first(F.when(F.col("at") == 0, F.col("value")), ignorenulls=True).alias("header"), F.max(odd).alias("quoted_ends"))
+
+
+def read_csv_files(spark: SparkSession, path: str, delimiter: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of CSV files, each read by its own header.
+
+    rows holds all columns of all files as trimmed text, null where a file has none; a byte order
+    mark is no part of a header, nor are columns without a name, and of columns that share one
+    the last counts.  quarantine holds (file, row): the text of rows that have other than as many
+    cells as their header.  Files of one header are read together, in parts; only a file in which
+    a quoted text goes over the end of a line is read by one task.  A header is one line; files without one are left out.  The
+    driver holds the files' names and headers, as it does for any read.
+    """
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for r in csv_headers(spark, path).orderBy("file").collect():
+        groups.setdefault((r["header"] or "", r["quoted_ends"]), []).append(r["file"])
+    parts, broken = [], []
+    for (header, whole), files in groups.items():
+        names = [c.lstrip("\ufeff").strip() for c in next(csv.reader([header], delimiter=delimiter), [])]
+        if not any(names):
+            continue
+        cells = [f"c{i}" for i in range(len(names))]
+        schema = ", ".join(f"{c} string" for c in cells) + ", broken string"
+        reader = spark.read.schema(schema).options(header=True, sep=delimiter, quote='"', escape='"', multiLine=whole, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, columnNameOfCorruptRecord="broken", columnPruning=False)
+        read = reader.csv(files).withColumn("file", F.col("_metadata.file_path"))
+        last = {name: c for name, c in zip(names, cells, strict=True) if name}
+        # Spark reads the column of broken rows only beside others.
+        beside = F.length(F.concat_ws("", *cells)) >= 0
+        parts.append(read.filter(F.col("broken").isNull() & beside).select(*[F.col(c).alias(name) for name, c in last.items()]))
+        broken.append(read.filter(F.col("broken").isNotNull() & beside).select("file", F.col("broken").alias("row")))
+    if not parts:
+        return spark.createDataFrame([], ""), spark.createDataFrame([], "file string, row string")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), reduce(DataFrame.unionByName, broken)
+
+
 def read_csv(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """All columns of CSV files with headers as trimmed text; a byte order mark is no part of the first header."""
-    rows = spark.read.csv(path, header=True, sep=delimiter, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-    return rows.toDF(*[c.lstrip("\ufeff").strip() for c in rows.columns])
+    """The rows of read_csv_files()."""
+    return read_csv_files(spark, path, delimiter)[0]
 
 
 def csv_import(rows: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
@@ -173,6 +213,13 @@ def dimension(spark: SparkSession, names: dict[str, str], external_ids: dict[str
     return spark.createDataFrame(rows, "key string, name string, external_ids map<string,string>")
 
 
+def dimensions(spark: SparkSession, party_ids: dict[str, dict[str, str]] | None = None) -> dict[str, DataFrame]:
+    """The reference dimensions of the vocabularies; parties have a short_name and what party_ids gives of external ids."""
+    short = spark.createDataFrame([(key, short) for key, (_, short) in vocab.PARTIES.items()], "key string, short_name string")
+    parties = dimension(spark, {key: name for key, (name, _) in vocab.PARTIES.items()}, party_ids)
+    return {"institutes": dimension(spark, vocab.INSTITUTES), "parties": parties.join(F.broadcast(short), "key"), "states": dimension(spark, vocab.STATE_NAMES)}
+
+
 def upsert_dimension(old: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(the dimension with new and changed members of new, their numbers by action)."""
     changes = dimension_changes(old, new, key)
