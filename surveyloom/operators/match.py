@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import stored
+
 
 @dataclass(frozen=True)
 class MatchConfig:
@@ -89,6 +91,12 @@ def link(primary: DataFrame, secondary: DataFrame, chosen: DataFrame) -> DataFra
     return a.unionByName(b.select("id", F.lit("secondary").alias("side"), status.alias("status"), F.when(status == "matched", F.col("matched_id")).alias("matched_id")))
 
 
+def link_all(polls: DataFrame, results: DataFrame, cfg: MatchConfig, primary: str, secondary: str) -> DataFrame:
+    """The links of all polls. Sides and pairs, which several parts of the links need, are made once."""
+    a, b = (stored(side(polls, results, name, cfg), "side") for name in (primary, secondary))
+    return link(a, b, stored(choose(with_evidence(candidates(a, b, cfg), cfg), cfg), "pairs"))
+
+
 def reach(cfg: MatchConfig) -> int:
     """Days from a change within which relink() gives links anew: the rest of its span and one more."""
     return 8 * (cfg.window_days + 1)
@@ -113,9 +121,7 @@ def relink(polls: DataFrame, results: DataFrame, changed: DataFrame, cfg: MatchC
         return polls.join(cells, F.col("scope").eqNullSafe(F.col("__scope")) & F.col("institute").eqNullSafe(F.col("__institute")) & (span == F.col("__span")), "left_semi")
 
     near, around = within(1), within(3)
-    a, b = side(around, results, primary, cfg), side(around, results, secondary, cfg)
-    links = link(a, b, choose(with_evidence(candidates(a, b, cfg), cfg), cfg))
-    return links.join(near.select("id"), "id", "left_semi"), near
+    return link_all(around, results, cfg, primary, secondary).join(near.select("id"), "id", "left_semi"), near
 
 
 def match_statistics(links: DataFrame) -> DataFrame:

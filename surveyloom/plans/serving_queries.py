@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W, functions as F
 
 from ..operators import select as P, validate as V, views as H
+from ..sources.layout import laid_out
 from .derived import POLL, RESULT, polls, results, table
 from .registry import query
 from .validation_queries import QUALITY, validations
@@ -96,6 +97,22 @@ def h8_observations(spark, d):
     return H.observations(polls(spark, d), results(spark, d), ["1", "2", "3"]).select("id", "publish_date", "scope", "party", "percentage")
 
 
+def by_poll(spark, d):
+    """Polls and results laid out in eight buckets by poll and folders by year."""
+    part = F.year("publish_date").alias("part")
+    p = polls(spark, d).select("*", part)
+    years = p.select(F.col("id").alias("poll_id"), "part")
+    return laid_out(spark, p, results(spark, d).join(years, "poll_id"), 8)
+
+
+@query(f"WITH {BASE} SELECT id, publish_date, scope, party, percentage FROM poll JOIN result ON poll_id = id WHERE party IN ('1', '2', '3') AND year(publish_date) >= 1997")
+def h8_laid_out(spark, d):
+    """Observations from tables laid out by poll: no shuffle, and only the years asked for are read."""
+    p, r = by_poll(spark, d)
+    rows = H.observations(p.filter("part >= 1997").drop("part"), r.filter("part >= 1997").drop("part"), ["1", "2", "3"])
+    return rows.select("id", "publish_date", "scope", "party", "percentage")
+
+
 @query(f"WITH {ENRICHED} SELECT 'public' AS dump, public_id, publish_date, CAST(NULL AS BOOLEAN) AS is_public FROM named UNION ALL SELECT 'audit', 'C' || lpad(CAST(id AS VARCHAR), 8, '0'), publish_date, is_public FROM served")
 def h9_public_columns(spark, d):
     rows = enriched(spark, d).withColumns({"results": F.array(), "fingerprint": F.lit("x"), "public_exclusion_reason": F.lit("y")})

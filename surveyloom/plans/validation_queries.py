@@ -44,8 +44,7 @@ def pairs(spark, d):
 
 
 def links(spark, d):
-    a, b = sides(spark, d)
-    return M.link(a, b, M.choose(M.with_evidence(M.candidates(a, b, CFG), CFG), CFG))
+    return M.link_all(*match_tables(spark, d), CFG, "PRIMARY", "Secondary")
 
 
 @query(f"WITH {_SIDES} SELECT id, provider, p0, p1, complete FROM side")

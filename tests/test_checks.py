@@ -59,3 +59,21 @@ def test_latest_and_sorted(spark):
     assert [r["id"] for r in H.latest(polls, 5).collect()] == [3, 2, 1]
     rows = polls.crossJoin(spark.createDataFrame([("b",), ("a",)], "party string"))
     assert [(r["id"], r["party"]) for r in H.sort_polls(rows).collect()] == [(3, "a"), (3, "b"), (2, "a"), (2, "b"), (1, "a"), (1, "b")]
+
+
+def test_laid_out_tables_are_joined_without_a_shuffle(spark):
+    from surveyloom.sources.layout import laid_out
+
+    polls = spark.range(500).select("id", (F.col("id") % 3 + 2020).cast("int").alias("part"), (F.col("id") * 2).alias("raw_id"))
+    results = spark.range(1500).select((F.col("id") % 500).alias("poll_id"), F.lit("SPD").alias("party"), (F.col("id") % 500 % 3 + 2020).cast("int").alias("part"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        p, r = laid_out(spark, polls, results, 4)
+        rows = H.observations(p.filter("part = 2021").drop("part"), r.filter("part = 2021").drop("part"))
+        assert "Exchange" not in plan(rows) and "PartitionFilters" in plan(rows) and rows.count() == 501
+        found = H.lookup(p, "C00000077")
+        assert "Exchange" not in plan(found) and [r["raw_id"] for r in found.collect()] == [154]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
