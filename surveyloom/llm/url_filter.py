@@ -9,17 +9,17 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import join_groups, stored
 
 #: Rules (host, path, verdict).
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
-FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate", "suffix_magnitude"]
+FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digit_ratio", "hyphens", "entropy", "parameters", "fragment", "suffix_rate", "suffix_magnitude", "token_rate", "token_magnitude"]
 #: Hosts are dealt out to so many folds; those of fold 0 are held out of training.
 FOLDS = 5
 #: Labelled rows that the mean of all counts for in a suffix's share of blocked ones.
 PRIOR = 10
-#: Suffix tables of at most so many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_SUFFIXES = 10_000
+#: What statistics are taken of: the host's last label, and the first step of the path.
+KEYS = ("suffix", "token")
 
 
 def with_parts(urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -56,17 +56,17 @@ def with_features(urls: DataFrame) -> DataFrame:
             "length": n, "host_length": F.length("host"), "path_length": F.length("path"), "depth": F.regexp_count("path", F.lit("/")), "labels": F.regexp_count("host", F.lit(r"\.")) + 1,
             "digit_ratio": share(digits(url), n), "host_digit_ratio": share(digits(F.col("host")), F.length("host")), "hyphens": F.regexp_count(url, F.lit("-")),
             "entropy": F.when(n == 0, 0.0).otherwise(entropy), "parameters": F.regexp_count(url, F.lit("[?&][^?&#]+")), "fragment": F.contains(url, F.lit("#")).cast("int"),
-            "suffix": F.regexp_extract("host", r"([^.]*)$", 1), "fold": (F.crc32(F.col("host").cast("binary")) % FOLDS).cast("int"),
+            "suffix": F.regexp_extract("host", r"([^.]*)$", 1), "token": F.lower(F.regexp_extract("path", r"^/([^/]*)", 1)), "fold": (F.crc32(F.col("host").cast("binary")) % FOLDS).cast("int"),
         }
     )
 
 
-def suffix_statistics(rows: DataFrame) -> DataFrame:
-    """(suffix, fold, suffix_count, labelled, bad) of all rows: by suffix its rows; and for each fold the suffix's labelled and blocked rows of the other folds but 0."""
+def statistics(rows: DataFrame, key: str = "suffix") -> DataFrame:
+    """(key, fold, <key>_count, labelled, bad, n) of all rows: by suffix (or token) its rows; and for each fold, of n rows, its labelled and blocked rows of the other folds but 0."""
     learn = F.when(F.col("fold") != 0, F.col("label"))
-    per = rows.groupBy("suffix", "fold").agg(F.count("*").alias("n"), F.count(learn).alias("own"), F.coalesce(F.sum(learn), F.lit(0.0)).alias("own_bad"))
-    total = per.groupBy("suffix").agg(F.sum("n").alias("suffix_count"), F.sum("own").alias("all"), F.sum("own_bad").alias("all_bad"))
-    return per.join(total, "suffix").select("suffix", "fold", "suffix_count", (F.col("all") - F.col("own")).alias("labelled"), (F.col("all_bad") - F.col("own_bad")).alias("bad"))
+    per = rows.groupBy(key, "fold").agg(F.count("*").alias("n"), F.count(learn).alias("own"), F.coalesce(F.sum(learn), F.lit(0.0)).alias("own_bad"))
+    total = per.groupBy(key).agg(F.sum("n").alias(f"{key}_count"), F.sum("own").alias("all"), F.sum("own_bad").alias("all_bad"))
+    return per.join(total, key).select(key, "fold", f"{key}_count", (F.col("all") - F.col("own")).alias("labelled"), (F.col("all_bad") - F.col("own_bad")).alias("bad"), "n")
 
 
 def judge_urls(
@@ -79,11 +79,13 @@ def judge_urls(
     ``labels`` (url, label: 1 to block, 0 to allow), else the verdicts of the rules.  Hosts of
     fold 0 (held_out) are never learned from, so that block_score can be measured on them.
 
-    Suffix statistics by the host's last label cover the whole table: the magnitude of its
-    number of rows, and the share of blocked ones among the labelled rows of other folds of
-    hosts, so a row's own label is no part of it, drawn towards the share of all suffixes.
-    Each sampled row is learned from twice, once as if its suffix had no labels, so that urls
-    of such suffixes are judged by the other features.  If the sample has labels of one kind,
+    Statistics by the host's last label, and by the first step of the path, cover the whole
+    table: the magnitude of its number of rows, and the share of blocked ones among the labelled
+    rows of other folds of hosts, so a row's own label is no part of it, drawn towards the share
+    of all.  Each sampled row is learned from twice, once as if its suffix and step had no
+    labels, so that urls without them are judged by the other features.  A url is blocked if its
+    score is above a half and above the share of blocked ones in the sample, so that what the
+    features say decides, not that share.  If the sample has labels of one kind,
     that kind is the verdict; without labels it is allow.
 
     Null urls and those without ``://`` have an empty host and path, fit no rule and are
@@ -100,26 +102,28 @@ def judge_urls(
     sample = rows.filter("label is not null and fold != 0").orderBy(F.xxhash64("url"), "page_id").limit(max_train).cache()
     try:
         kinds = {r["label"] for r in sample.select("label").distinct().collect()}
+        prior = 0.0
         if len(kinds) < 2:
             score = F.lit(1.0 if 1.0 in kinds else 0.0)
             judged = rows.withColumn("block_score", score)
         else:
-            statistics = stored(suffix_statistics(rows), "suffixes")
-            n_rows = statistics.count()
+            total = rows.count()
             n_labelled, n_bad = sample.agg(F.count("label"), F.sum("label")).first()
             prior = n_bad / n_labelled
             rate = (F.col("bad") + PRIOR * prior) / (F.col("labelled") + PRIOR)
-            table = statistics.select("suffix", "fold", "suffix_count", F.floor(F.log10("suffix_count")).cast("double").alias("suffix_magnitude"), rate.alias("suffix_rate"))
+            tables = {key: stored(statistics(rows, key).select(key, "fold", "n", F.floor(F.log10(f"{key}_count")).cast("double").alias(f"{key}_magnitude"), rate.alias(f"{key}_rate")), f"{key}-rates") for key in KEYS}
 
             def complete(df: DataFrame) -> DataFrame:
-                return df.join(F.broadcast(table) if n_rows <= BROADCAST_SUFFIXES else table, ["suffix", "fold"])
+                for key, table in tables.items():  # a suffix of very many rows is broadcast, however many there are
+                    df = join_groups(df, table, [key, "fold"], "n", total).drop("n")
+                return df
 
             assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
             known = complete(sample)
-            training = known.unionByName(known.withColumn("suffix_rate", F.lit(prior)))
+            training = known.unionByName(known.withColumns({f"{key}_rate": F.lit(prior) for key in KEYS}))
             model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, maxBins=64).fit(assembler.transform(training).select("features", "label"))
             judged = model.transform(assembler.transform(complete(rows))).withColumn("block_score", vector_to_array("probability")[1])
     finally:
         sample.unpersist()
-    verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") >= 0.5, "block").otherwise("allow"))
+    verdict = F.coalesce("rule_verdict", F.when(F.col("block_score") > max(0.5, prior), "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.col("block_score").cast("double").alias("block_score"), (F.col("fold") == 0).alias("held_out"))

@@ -413,7 +413,7 @@ def test_url_statistics(spark):
     for i, url in rows:
         if ".com" in url or "/es/" in url:
             labelled[url.split("/")[2].rpartition(".")[2], fold(url)] += 1
-    got = url_filter.suffix_statistics(frame.withColumn("label", (F.col("rule_verdict") == "block").cast("double"))).collect()
+    got = url_filter.statistics(frame.withColumn("label", (F.col("rule_verdict") == "block").cast("double"))).collect()
     assert {(r["suffix"], r["suffix_count"]) for r in got} == {("net", 80), ("com", 40), ("org", 54)}
     for r in got:
         n = sum(c for (s, f), c in labelled.items() if s == r["suffix"] and f not in (0, r["fold"]))
@@ -430,8 +430,8 @@ def test_url_classifier(spark, monkeypatch):
         rows.append((i, f"http://{rnd.choice('abc')}{i % 400}.{rnd.choice(['org', 'io', 'xyz'])}/{path}", float(bad), "x"))
     frame = spark.createDataFrame(rows + rows[:50], "page_id long, url string, label double, host string")
     found = []
-    for limit in (10_000, 0):
-        monkeypatch.setattr(url_filter, "BROADCAST_SUFFIXES", limit)
+    for limit in (100, 10**9):  # hot groups broadcast; all shuffled
+        monkeypatch.setattr(common, "HOT_ROWS", limit)
         judged = url_filter.judge_urls(frame, rules=[], labels=frame.select("url", "label")).collect()
         assert len(judged) == len(frame.collect())
         want = {r[0]: r[2] for r in rows}
