@@ -29,7 +29,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows that differ in spite of equal hashes are grouped again by the text itself.
 
     Null text is an empty text.  Rows without id are grouped too (an id is preferred as
-    keeper; keep_id is null only if the whole group lacks ids).  Rows that repeat an id and a
+    keeper; keep_id is null only if the whole group lacks ids); they are known by digest and
+    length alone, as their bytes are not compared.  Rows that repeat an id and a
     text are all returned, each counted in group_size.  An empty table gives an empty result.
     Other columns of the input are ignored, whatever their names.
     """

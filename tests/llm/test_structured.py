@@ -11,7 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.llm import conversation_repair as C, language_id, oracle, queries, secret_ledger as L, url_filter as U, vector_codes as V
+import corpus_pipeline
+from surveyloom.llm import common, conversation_repair as C, language_id, oracle, queries, secret_ledger as L, url_filter as U, vector_codes as V
 
 DIR = "/root/testdata/sf0.001"
 
@@ -274,3 +275,41 @@ def test_url_features_are_those_of_plain_python(spark):
         assert r["digit_ratio"] == pytest.approx(sum(c.isdigit() for c in u) / max(1, len(u))) and r["hyphens"] == u.count("-") and r["fragment"] == ("#" in u)
         assert r["entropy"] == pytest.approx(-sum(p * math.log2(p) for p in share)) and r["parameters"] == len(re.findall("[?&][^?&#]+", u))
         assert (r["suffix"], r["token"]) == (host.rpartition(".")[2], path[1:].split("/")[0].lower())
+
+
+# --- pipeline
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark):
+    """Nulls, blanks, repeats and clashing columns pass all stages; an empty table gives empty ones; what is mixed is packed whole, in sequences without gaps."""
+    long = " ".join(f"word{i % 977} other{i % 31}" for i in range(4000))
+    rows = [
+        (1, "the same text of eight words is here", "en", "b"), (2, "the same  text\nof eight words is here", "en", "b"), (3, None, None, None), (4, "", "de", None), (5, " \t\n", "de", "a"), (6, long, "en", "a"), (7, long + " x", "en", "a"),
+        (8, "12345 !!!", None, "c"), (9, "ein kurzer Satz hier", "de", "c"), (9, "ein kurzer Satz hier", "de", "c"), (None, "no id at all", "en", "c"), (11, "é" * 300, "fr", "d"),
+    ]
+    odd = spark.createDataFrame([(*r, 0, "x", 7) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, digest string, bucket int")
+    for docs, sizes in ((odd, [8, 6, 5]), (odd.limit(0), [0, 0, 0])):
+        found = []
+        for name, stage in corpus_pipeline.STAGES:
+            columns = docs.columns
+            docs = common.stored(stage(spark, docs, DIR), "stage")
+            found.append(docs.count())
+            if name == "mix":
+                mixed = collections.Counter((r["doc_id"], r["text"]) for r in docs.collect())
+            if name != "pack":
+                assert docs.columns == columns
+        assert found[:3] == sizes
+    pieces = docs.collect()
+    assert pieces == [] and mixed == {}
+    kept = odd.filter("doc_id in (1, 6, 9, 11)").dropDuplicates(["doc_id"])
+    packed = corpus_pipeline.pack(spark, corpus_pipeline.mix(spark, kept, DIR), DIR).collect()
+    by_sequence = collections.defaultdict(list)
+    for r in packed:
+        by_sequence[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by_sequence.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert 0 < at <= 1024
+    assert {r["doc_id"] for r in packed} <= {1, 6, 9, 11} and packed
