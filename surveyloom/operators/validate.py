@@ -173,7 +173,8 @@ def check_structs(polls: DataFrame, results: DataFrame, bounds: DataFrame, unkno
     listed = results.groupBy("poll_id").agg(F.array_sort(F.collect_list(F.struct("party", "percentage"))).alias("results"))
     rows = polls.join(listed, F.col("id") == F.col("poll_id"), "left").drop("poll_id").withColumn("results", F.coalesce("results", F.array().cast("array<struct<party:string,percentage:double>>")))
     rows = rows.withColumn("method", F.coalesce("method", F.lit(unknown_method))).join(F.broadcast(bounds), "method", "left").withColumns({"expected": expected_list(rules, group), "have": F.transform("results", lambda r: r["party"])})
-    rows = stored(rows, "polls-with-results")
+    # As many files as the session has shuffle partitions, so that what follows is done in parallel.
+    rows = stored(rows.repartition(int(polls.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id"), "polls-with-results")
     kinds = dict(zip(CHECKS[5:], cfg.groups, strict=True))
     jumps = jumps_of(rows, kinds, cfg.jump).groupBy("id").agg(*[F.first(F.when(F.col("kind") == k, F.col("jumps")), ignorenulls=True).alias(k) for k in kinds])
     out = with_presence(rows, monitored, cfg.days).join(jumps.withColumnRenamed("id", "__id"), F.col("id") == F.col("__id"), "left")
