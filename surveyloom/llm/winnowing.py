@@ -23,30 +23,25 @@ def _let(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def _grams(data: Column, start: Column, k: int) -> Column:
-    """One long per k-byte gram of the binary (one for the whole of a shorter one): the hash above, the complement of the gram's place, start counted in, below."""
+def _grams(data: Column, k: int) -> Column:
+    """One long per k-byte gram of the binary (one for the whole of a shorter one): the hash above, the complement of the gram's place in the binary, counted from 1, below."""
 
     def packed(i: Column) -> Column:
-        hashed = F.shiftrightunsigned(F.xxhash64(F.substring(data, i, F.lit(k))), 64 - HASH_BITS)
-        return F.shiftleft(hashed, PLACE_BITS).bitwiseOR(F.lit(LAST_PLACE + 1) - start - i)
+        hashed = F.xxhash64(F.substring(data, i, F.lit(k)))
+        return F.shiftrightunsigned(hashed, 1).bitwiseOR(F.lit(LAST_PLACE)) - i
 
     return F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(data) - (k - 1), F.lit(1))), packed)
 
 
-def _wider(values: Column, places: list[int]) -> Column:
-    """The least of the values at the places after each one that has them all."""
-    return F.transform(F.sequence(F.lit(0), F.size(values) - 1 - places[-1]), lambda i: F.least(*[F.get(values, i + p) for p in places]))
-
-
 def _least(values: Column, window: int) -> Column:
     """The least of each ``window`` consecutive values (of all, if they are fewer)."""
 
     def of(vs: Column) -> Column:
         out, width = vs, 1
-        while width < window:  # of the least of ``width`` values up to four make that of wider windows
-            places = [min(j * width, window - width) for j in range(min(4, -(-window // width)))]
-            out, width = _let(out, lambda x: _wider(x, places)), width + places[-1]
-        return F.when(F.size(vs) <= window, F.array(F.array_min(vs))).otherwise(out)
+        while width < window:  # beside each least of ``width`` values that of the next ones; behind the last there is nothing
+            step = min(width, window - width)
+            out, width = _let(out, lambda x: F.zip_with(x, F.slice(x, step + 1, F.size(x)), lambda a, b: F.least(a, b))), width + step
+        return F.when(F.size(vs) <= window, F.array(F.array_min(vs))).otherwise(F.slice(out, F.lit(1), F.size(vs) - (window - 1)))
 
     return _let(values, of)
 
@@ -56,7 +51,8 @@ def _winnowed(data: Column, start: Column, k: int, window: int) -> Column:
     n_windows = F.greatest(F.octet_length(data) - (k + window - 2), F.lit(1))
 
     def segment(s: Column) -> Column:
-        return _let(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), lambda part: F.array_distinct(_least(_grams(part, start + s, k), window)))
+        chosen = _let(F.substring(data, s + 1, F.lit(SEGMENT + k + window - 2)), lambda part: F.array_distinct(_least(_grams(part, k), window)))
+        return F.transform(chosen, lambda x: x + 1 - start - s)
 
     starts = F.sequence(F.lit(0), n_windows - 1, F.lit(SEGMENT))
     return F.when(F.octet_length(data) == 0, F.array().cast("array<long>")).otherwise(F.array_distinct(F.flatten(F.transform(starts, segment))))
@@ -116,8 +112,12 @@ def as_text(packed: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two hash arrays without repeats; two empty ones are alike (1), an empty and another are not (0)."""
-    both = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both / (F.size(a) + F.size(b) - both)).cast("double")
+
+    def of(x: Column) -> Column:
+        return F.when(x["sizes"] == 0, 1.0).otherwise(x["both"] / (x["sizes"] - x["both"])).cast("double")
+
+    sides = F.struct(a.alias("a"), b.alias("b"))
+    return _let(_let(sides, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("sizes"))), of)
 
 
 def fingerprints(docs: DataFrame, k: int = 24, window: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -203,8 +203,9 @@ def edited_likeness(docs: DataFrame, k: int = 24, window: int = 16, id_col: str
     rows = rows.withColumn("next", F.lead("text").over(order)).withColumn("fp", winnow(F.col("text"), k, window)).withColumn("next_fp", F.lead("fp").over(order)).filter(~F.col("copy"))
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next", F.lit(1), cut)))
     rows = rows.withColumn("edited_fp", rewinnow(F.col("fp"), F.col("text"), F.col("edited"), n - cut, k, window))
-    own, edited, following = (hashes(F.col(c)) for c in ("fp", "edited_fp", "next_fp"))
+    # Hashes are taken from the packed values once for both likenesses.
+    sets = F.struct(*[hashes(F.col(c)).alias(c) for c in ("fp", "edited_fp", "next_fp")])
+    near = _let(sets, lambda x: F.struct(likeness(x["fp"], x["edited_fp"]).alias("near_edited"), likeness(x["fp"], x["next_fp"]).alias("near_next")))
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(own, edited).alias("near_edited"), likeness(own, following).alias("near_next"),
-    )
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"), near.alias("near"),
+    ).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near.near_edited", "near.near_next")

@@ -483,6 +483,21 @@ def test_winnowing(spark, docs, odd):
     assert one["near_next"] == 1.0 and one["n_chars"] == 3
 
 
+def test_window_minima_and_likeness(spark):
+    """Least values of windows of several widths against plain Python; each likeness takes one intersection."""
+    rnd = random.Random(7)
+    lists = [[rnd.randrange(1 << 62) for _ in range(n)] for n in (1, 2, 3, 7, 15, 16, 17, 33, 100)]
+    frame = spark.createDataFrame([(x,) for x in lists], "v array<long>")
+    for w in (1, 2, 3, 5, 16):
+        got = [r[0] for r in frame.select(winnowing._least(F.col("v"), w)).collect()]
+        assert got == [[min(x[i : i + w]) for i in range(max(1, len(x) - w + 1))] for x in lists]
+    alike = spark.createDataFrame([([], []), ([], [1]), ([1, 2, 3], [2, 3, 4]), ([5], [5])], "a array<long>, b array<long>")
+    assert [r[0] for r in alike.select(winnowing.likeness(F.col("a"), F.col("b"))).collect()] == [1.0, 0.0, 0.5, 1.0]
+    docs = spark.createDataFrame([(1, "a text of one"), (2, "a text of two")], "doc_id long, text string")
+    plan = winnowing.edited_likeness(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_intersect(") == 2
+
+
 def test_next_document(spark):
     """Few ranges or many: each document's next is the one below it."""
     frame = spark.createDataFrame([(i * i * (-1) ** i, f"t{i}") for i in range(300)], "doc_id long, text string").repartition(4)
