@@ -31,7 +31,9 @@ BUCKET = 4096
 #: Pairs whose signatures are compared at a time.
 PAIRS = 8192
 #: Bytes of text that one task holds as numpy arrays at a time.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+#: Pairs of whole sets that are Python objects at a time.
+CONFIRMED = 500
 
 _FACTORS = np.random.Generator(np.random.PCG64(99)).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOREST = TREES * DEPTH
@@ -179,7 +181,7 @@ def _sets(k: int):
 
 def _verified(percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, CONFIRMED):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)

@@ -5,8 +5,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -483,6 +486,23 @@ def test_winnowing(spark, docs, odd):
     assert one["near_next"] == 1.0 and one["n_chars"] == 3
 
 
+def test_near_dedup_holds_few_bytes():
+    """What a task holds at a time beside its Arrow batch: arrays of a chunk of texts, a slice of the pairs."""
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(500)) for _ in range(1500)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(1500), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    sets = pa.array([np.arange(i, i + 800, dtype=np.uint64).tobytes() for i in range(4000)], pa.binary())
+    pairs = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64())] * 2 + [sets] * 2, names=["a", "b", "set_a", "set_b"])
+    for run, batch, rows in ((minhash_dedup._signatures(5), docs, 1500), (minhash_dedup._sets(5), docs, 1500), (minhash_dedup._verified(80), pairs, 4000)):
+        assert sum(out.num_rows for out in run([batch])) == rows
+        tracemalloc.start()
+        for _ in run([batch]):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 25e6
+
+
 def test_window_minima_and_likeness(spark):
     """Least values of windows of several widths against plain Python; each likeness takes one intersection."""
     rnd = random.Random(7)
