@@ -20,14 +20,17 @@ def _star(edges: DataFrame, n_edges: int, large: bool) -> DataFrame:
     return stored(pairs.filter(F.col("a") < F.col("b")).distinct(), "stars")
 
 
+def _unfinished(edges: DataFrame) -> tuple[int, int]:
+    """Edges (a, b), a < b, and the vertices that keep them from being stars around their least ones: those with several smaller neighbours, or with both smaller and greater ones."""
+    ends = edges.select(F.col("b").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(edges.select(F.col("a").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    each = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return tuple(each.agg(F.coalesce(F.sum("below"), F.lit(0)), F.count_if(F.col("below") + F.col("above") > 1)).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component): for each id on an edge (a, b) the least id reachable.  Loops and repeated edges are ignored; no edges give no rows."""
     edges = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(F.col("a") < F.col("b")).distinct(), "edges")
-    now = seen = (edges.count(), None)
-    while now[0]:
+    # Each step is a plan that the driver holds; edges that are stars already need none.
+    while (now := _unfinished(edges))[1]:
         edges = _star(_star(edges, now[0], True), now[0], False)
-        now = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
-        if now == seen:
-            break
-        seen = now
     return edges.select(F.col("b").alias("id"), F.col("a").alias("component")).unionByName(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())

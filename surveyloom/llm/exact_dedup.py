@@ -41,7 +41,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = hashed.groupBy("digest", "n_bytes").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
     groups = stored(groups, "groups")
     rows = join_groups(hashed, groups, ["digest", "n_bytes"], "group_size", hashed.count(), "left")
-    odd = stored(_collisions(rows.filter("group_size > 1"), texts, digest, partitions(docs)), "collisions")
+    # Stored, as it is read for members and for keepers: its plan in each of them is more than the driver should hold.
+    grouped = stored(rows.filter("group_size > 1").select("doc_id", "digest", "keep_id", "group_size"), "grouped")
+    odd = stored(_collisions(grouped, texts, digest, partitions(docs)), "collisions")
     rows = rows.withColumns({"keep_id": F.coalesce("keep_id", "doc_id"), "group_size": F.coalesce("group_size", F.lit(1)).cast("long")})
     if not odd.isEmpty():
         # No pair of texts with equal MD5 and length is expected; where one occurs its rows are grouped by their bytes.

@@ -255,11 +255,10 @@ def _links(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     digest = ["digest_a", "digest_b", "n_shingles"]
     same = stored(whole_sets.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "sets-once")
     reps = whole_sets.select("doc_id", "keys", "deeper").join(same.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    n = TREES * same.count()
-
     tree = reps.select("doc_id", F.posexplode(F.arrays_zip("keys", "deeper")).alias("tree", "x")).select("tree", F.col("x.keys").alias("key"), F.col("x.deeper").alias("deep"), "doc_id")
     shared = stored(tree.groupBy("tree", "key").agg(F.count("*").alias("members")).filter("members > 1"), "shared")
-    regions = stored(join_groups(tree, shared, ["tree", "key"], "members", n), "regions")
+    # 24 rows a document pass one join, which is written as it is, so that Spark can split a region of very many documents.
+    regions = stored(tree.join(shared, ["tree", "key"]), "regions")
     n = regions.count()
     sketches = signed.select("doc_id", "n_shingles", "sketch")
     threshold, floor = percent / 100, estimate_floor(percent / 100)

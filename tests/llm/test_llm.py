@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from surveyloom.llm import chat_format, common, exact_dedup, language_id, licenses, minhash_dedup, mixing, packing, queries, substring_dedup, url_filter, winnowing
+from surveyloom.llm import chat_format, common, components, exact_dedup, language_id, licenses, minhash_dedup, mixing, packing, queries, substring_dedup, url_filter, winnowing
 
 DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, copy string, bucket int"
@@ -91,6 +91,40 @@ def test_dense_region(spark):
     assert got == {0: 6000} | {i: 1 for i, _ in strangers}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_regions_read_trees_once(spark, docs, monkeypatch):
+    """The 24 rows of each document pass one join on their way to regions; none is passed by a join that is there or not as the groups' sizes are."""
+    plans, stored = {}, minhash_dedup.stored
+    monkeypatch.setattr(minhash_dedup, "stored", lambda df, name: plans.setdefault(name, _plan(df)) and stored(df, name))
+    minhash_dedup.near_duplicates(docs.limit(50))
+    assert "LeftAnti" not in plans["regions"] and plans["regions"].count("Generate") == 1
+
+
+def test_components_of_stars(spark, monkeypatch):
+    """Stars around their least vertices take no step; all other shapes give the least id reachable."""
+    steps, star = [], components._star
+    monkeypatch.setattr(components, "_star", lambda *a: steps.append(1) or star(*a))
+
+    def of(edges):
+        return {r["id"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+
+    assert of([(1, 2), (3, 1), (1, 2), (5, 9), (7, 7)]) == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5} and not steps
+    assert of([]) == {} and not steps
+    assert of([(i, i + 1) for i in range(20)]) == dict.fromkeys(range(21), 0) and steps
+    assert of([(1, 9), (2, 9), (2, 8), (4, 8), (20, 21)]) == dict.fromkeys((1, 2, 4, 8, 9), 1) | {20: 20, 21: 20}
+
+
+def test_exact_members_are_stored(spark, odd, monkeypatch):
+    """The comparison of bytes reads the members of groups, not the joins that find them again for each of its sides."""
+    plans, stored = {}, exact_dedup.stored
+    monkeypatch.setattr(exact_dedup, "stored", lambda df, name: plans.setdefault(name, _plan(df)) and stored(df, name))
+    exact_dedup.exact_groups(odd)
+    assert len(re.findall(r"\bJoin\b", plans["collisions"])) <= 6
+
+
 def test_strangers_meet_once(spark):
     """Members of one component don't meet each other again: a stranger among blocks of copies costs a row for each block."""
     n = 5000
