@@ -12,7 +12,8 @@ def _star(edges: DataFrame, n_edges: int, large: bool) -> DataFrame:
     around = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))  # a < b
     if large:
         around = around.unionByName(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree"))
+    # Stored, as the join reads it three times: its plan in each of them is more than the driver should hold.
+    least = stored(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree")), "least")
     joined = join_groups(around, least, ["u"], "degree", 2 * n_edges)  # a vertex of many edges isn't gathered in one task
     pairs = joined.filter(F.col("v") > F.col("u") if large else F.col("v") != F.col("m")).select(F.col("m").alias("a"), F.col("v").alias("b"))
     if not large:

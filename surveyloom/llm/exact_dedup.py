@@ -59,9 +59,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _collisions(rows: DataFrame, texts: DataFrame, digest: Callable[[Column], Column], n: int) -> DataFrame:
     """(doc_id, digest, norm) of the rows whose bytes differ from their keeper's. rows: those of groups of two or more."""
     members = rows.filter(F.col("doc_id") != F.col("keep_id")).select("doc_id", "digest", "keep_id", F.ceil(F.col("group_size") / MEMBERS_PER_SALT).alias("salts"))
-    keepers = members.groupBy("keep_id", "digest").agg(F.max("salts").alias("salts")).withColumnRenamed("keep_id", "doc_id")
+    keepers = stored(members.groupBy("keep_id", "digest").agg(F.max("salts").alias("salts")).withColumnRenamed("keep_id", "doc_id"), "keepers")
     # Only the texts of groups are moved.
-    dealt = texts.join(members.select("doc_id").unionByName(keepers.select("doc_id")), "doc_id", "left_semi").repartition(n, "doc_id")
+    chosen = stored(members.select("doc_id").unionByName(keepers.select("doc_id")), "chosen")
+    dealt = texts.join(chosen, "doc_id", "left_semi").repartition(n, "doc_id")
     # Of rows that share an id only those with the member's text; as a condition, not a key, so that no text is hashed that joins nothing.
     left = dealt.join(members, "doc_id").filter(F.when(digest(F.col("norm")) == F.col("digest"), True).otherwise(False)).select("doc_id", "digest", "keep_id", "norm", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
     right = dealt.join(keepers, "doc_id").select(F.col("doc_id").alias("keep_id"), "digest", F.col("norm").alias("keeper"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
@@ -76,6 +77,7 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sha = F.sha2(normalised(text_col), 256)
     # By id and text: an id on several texts stays with those of which it is the keeper.
     keep = exact_groups(docs, id_col, text_col).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__kept_sha")).distinct()
+    keep = stored(keep, "keep")
     known = docs.filter(F.col(id_col).isNotNull()).withColumn("__sha", sha)
     known = known.join(keep, (F.col(id_col) == F.col("__keep")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi").dropDuplicates([id_col, "__sha"]).select(*docs.columns)
     without_id = docs.filter(F.col(id_col).isNull())

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import sliced, stored
@@ -67,13 +68,13 @@ class LanguageModel:
         return self.languages[best], 1.0 / sum(math.exp(max(-700.0, x - totals[best])) for x in totals)
 
 
-def _centred(rows, languages: list[str], smoothing: float) -> tuple[dict[str, int], np.ndarray]:
-    """Place of each key, and by place the centred log frequencies. rows: (key, language, count)."""
-    places: dict[str, int] = {}
-    of = {lang: i for i, lang in enumerate(languages)}
-    at = np.array([[places.setdefault(key, len(places)), of[lang], n] for key, lang, n in rows], dtype=np.int64).reshape(-1, 3)
+def _centred(rows: pa.Table, languages: list[str], smoothing: float) -> tuple[dict[str, int], np.ndarray]:
+    """Place of each key, and by place the centred log frequencies. rows: w (the key), lang, n (its count); only different keys become Python objects."""
+    keys = rows.column("w").combine_chunks().dictionary_encode()
+    places = {key: i for i, key in enumerate(keys.dictionary.to_pylist())}
+    of = pc.index_in(rows.column("lang"), pa.array(languages, rows.schema.field("lang").type))
     counts = np.zeros((len(places), len(languages)))
-    np.add.at(counts, (at[:, 0], at[:, 1]), at[:, 2])
+    np.add.at(counts, (keys.indices.to_numpy(), of.to_numpy()), rows.column("n").to_numpy())
     logs = np.log((counts + smoothing) / (counts.sum(axis=0) + smoothing * len(places)))
     return places, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32)
 
@@ -119,8 +120,8 @@ def train(labelled: DataFrame, max_docs: int = 8000, max_chars: int = 40_000_000
         at = counts.filter(F.length(padded) >= size).select(padded.alias("p"), "lang", "n", F.explode(F.sequence(F.lit(1), F.length(padded) - size + 1)).alias("at"))
         tables.append(at.groupBy(F.substring("p", F.col("at"), F.lit(size)).alias("w"), "lang").agg(F.sum("n").alias("n")))
     for table in tables:
-        rows = table.orderBy("w", "lang").toArrow()
-        model.grams.append(_centred(zip(*(rows.column(c).to_pylist() for c in ("w", "lang", "n")), strict=True), languages, smoothing))
+        model.grams.append(_centred(table.orderBy("w", "lang").toArrow(), languages, smoothing))
+    pa.default_memory_pool().release_unused()  # else the driver keeps the tables' memory
     return model
 
 

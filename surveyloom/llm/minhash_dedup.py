@@ -219,27 +219,29 @@ def _second_round(regions: DataFrame, of: DataFrame, sketches: DataFrame, n: int
     """
     at, region = ["tree", "key", "component"], ["tree", "key"]
     labelled = stored(regions.join(of.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("tree", "key", "doc_id", "members", F.coalesce("component", "doc_id").alias("component")), "labelled")
-    per = labelled.groupBy(*at).agg(F.count("*").alias("size"))
+    # Each part is stored: in one plan the parts would be repeated, and the driver holds that plan anew for each of its stages.
+    per = stored(labelled.groupBy(*at).agg(F.count("*").alias("size")), "components-by-region")
     own = F.col("size") > BLOCK
     totals = per.groupBy(*region).agg(F.count("*").alias("n_components"), F.sum("size").alias("in_region"), F.sum(F.when(~own, F.col("size")).otherwise(0)).alias("in_small"), F.count_if(own).alias("n_large"))
     totals = stored(totals.filter("n_components > 1").drop("n_components"), "open-regions")
-    rows = join_groups(labelled, totals.select("tree", "key", "in_region", "in_small"), region, "in_region", n)
+    rows = stored(join_groups(labelled, totals.select("tree", "key", "in_region", "in_small"), region, "in_region", n), "open-rows")
     rows = join_groups(rows, per.filter(own), at, "size", n, "left")
 
     def block(own: Column, number: Column) -> Column:
         return F.xxhash64(F.when(own, F.col("component")).otherwise(-1), number)
 
     number = F.when(F.col("size").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / BLOCK))).otherwise(F.pmod(F.xxhash64("component"), F.greatest(F.ceil(F.col("in_small") / BLOCK), F.lit(1))))
-    rows = rows.select("tree", "key", "doc_id", "component", block(F.col("size").isNotNull(), number).alias("block"))
+    rows = stored(rows.select("tree", "key", "doc_id", "component", block(F.col("size").isNotNull(), number).alias("block")), "rows-by-block")
 
     numbers = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / BLOCK) - 1))
     small = totals.filter("in_small > 0").select(*region, numbers("in_small").alias("number")).select(*region, F.xxhash64(F.lit(-1).cast("long"), "number").alias("block"))
-    large = per.filter(own).join(totals.select(*region, "n_large"), region).select(*at, "n_large", numbers("size").alias("number")).select(*at, "n_large", F.xxhash64("component", "number").alias("block"))
+    large = per.filter(own).join(totals.select(*region, "n_large"), region).select(*at, "n_large", numbers("size").alias("number"))
+    large = stored(large.select(*at, "n_large", F.xxhash64("component", "number").alias("block")), "large-blocks")
     x, y = (small.select(*region, F.col("block").alias(c)) for c in ("lo", "hi"))
     meetings = x.join(y, region).filter("lo <= hi").unionByName(x.join(large.select(*region, F.col("block").alias("hi")), region))
     several = large.filter("n_large > 1")
     meetings = meetings.unionByName(several.select(*region, F.col("block").alias("lo"), F.col("component").alias("c")).join(several.select(*region, F.col("block").alias("hi"), "component"), region).filter("c < component").select(*region, "lo", "hi"))
-    sides = meetings.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi"))))
+    sides = stored(meetings.withColumn("block", F.explode(F.array_distinct(F.array("lo", "hi")))), "meetings")
     met = rows.join(sides, ["tree", "key", "block"]).withColumn("within", F.col("lo") == F.col("hi"))
     met = stored(met, "strangers")
     return _compared(met, sketches, met.count(), ["tree", "key", "lo", "hi"], _strangers(threshold, floor))
@@ -269,7 +271,8 @@ def _links(src: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     links = stored(_confirm(pairs, sets, percent), "links")
     more = stored(_second_round(regions, components(links), sketches, n, threshold, floor).join(pairs, ["a", "b"], "left_anti"), "rest")
     twins = join_groups(whole_sets.select("doc_id", *digest), same.filter("copies > 1"), digest, "copies", signed.count()).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    return signed.select("doc_id", "n_shingles"), links.unionByName(_confirm(more, sets, percent)).unionByName(twins)
+    more = stored(_confirm(more, sets, percent), "more-links")
+    return signed.select("doc_id", "n_shingles"), links.unionByName(more).unionByName(stored(twins, "twins"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -125,6 +125,18 @@ def test_exact_members_are_stored(spark, odd, monkeypatch):
     assert len(re.findall(r"\bJoin\b", plans["collisions"])) <= 6
 
 
+def test_plans_stay_small(spark, odd, monkeypatch):
+    """No plan of the pipeline's deduplication joins more than six times: the driver holds each anew for every one of its stages."""
+    joins = {}
+    for module in (exact_dedup, minhash_dedup, components):
+        monkeypatch.setattr(module, "stored", lambda df, name, stored=module.stored: joins.update({name: max(joins.get(name, 0), len(re.findall(r"\bJoin\b", _plan(df))))}) or stored(df, name))
+    exact_dedup.drop_exact(odd)
+    text = " ".join(f"w{i}" for i in range(60))
+    near = [(i, f"{text} {' '.join(f'v{i + j}' for j in range(4))}", "en", "web", 0, "", "", 0) for i in range(12)]
+    minhash_dedup.drop_near(spark.createDataFrame(near, SCHEMA), k=5, percent=80)
+    assert {"collisions", "strangers", "stars", "edges", "more-links"} <= joins.keys() and max(joins.values()) <= 6, joins
+
+
 def test_strangers_meet_once(spark):
     """Members of one component don't meet each other again: a stranger among blocks of copies costs a row for each block."""
     n = 5000
