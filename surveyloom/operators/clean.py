@@ -39,9 +39,12 @@ def party_results(exploded: DataFrame) -> DataFrame:
 
 def results_of(payload: Column) -> Column:
     """C18 in one row: the results of a JSON object of labels and texts as a sorted array of (party, percentage), of a party's values the last; empty if there are none."""
-    entries = F.transform(F.map_entries(F.from_json(F.trim(payload), "map<string,string>")), lambda e: F.struct(S.party(e["key"]).alias("party"), S.percentage(e["value"]).alias("percentage"), S.is_non_result(e["key"]).alias("other")))
+    # A text without a brace is no object; the parser would throw for it.
+    read = F.when(payload.contains("{"), F.from_json(F.trim(payload), "map<string,string>"))
+    entries = F.transform(F.map_entries(read), lambda e: S.party_result(e["key"], e["value"]))
     own = F.filter(entries, lambda e: e["party"].isNotNull() & e["percentage"].isNotNull() & ~e["other"])
-    last = F.filter(own, lambda e, i: ~F.exists(F.slice(own, i + 2, F.size(own)), lambda x: x["party"] == e["party"]))
+    # What a lambda takes from outside is evaluated for each of its elements, so the payload must not be read in there.
+    last = S.once(own, lambda all: F.filter(all, lambda e, i: ~F.exists(F.slice(all, i + 2, F.size(all)), lambda x: x["party"] == e["party"])))
     return F.coalesce(F.array_sort(F.transform(last, lambda e: F.struct(e["party"].alias("party"), e["percentage"].alias("percentage")))), F.array().cast("array<struct<party:string,percentage:double>>"))
 
 
@@ -59,13 +62,13 @@ def reject(rows: DataFrame, duplicates: DataFrame) -> DataFrame:
 def with_fallbacks(rows: DataFrame) -> DataFrame:
     """D3: rows (publish_date, survey_start, survey_end, respondents_text, method_text, provider) with missing dates from the respondents text, method (the text's hint before the raw one) and provider ``Unknown``."""
     text = F.col("respondents_text")
-    inside = S.embedded_range(text, F.col("publish_date"))
-    return rows.withColumns(
+    inside = rows.withColumn("__inside", S.embedded_range(text, F.col("publish_date")))
+    return inside.withColumns(
         {
-            "survey_start": F.coalesce("survey_start", inside["start"]), "survey_end": F.coalesce("survey_end", inside["end"]),
+            "survey_start": F.coalesce("survey_start", "__inside.start"), "survey_end": F.coalesce("survey_end", "__inside.end"),
             "method": S.method(F.coalesce(S.method_hint(text), "method_text")), "provider": F.coalesce(F.nullif(F.trim("provider"), F.lit("")), F.lit("Unknown")),
         }
-    )
+    ).drop("__inside")
 
 
 def cleaning_statistics(outcomes: DataFrame, links: DataFrame, selected: DataFrame) -> DataFrame:

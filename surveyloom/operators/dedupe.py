@@ -59,10 +59,14 @@ def fingerprint(poll_fields: dict[str, Column], results: Column) -> Column:
 
 def unprocessed(raw: DataFrame, polls: DataFrame, duplicates: DataFrame, limit: int | None = None) -> DataFrame:
     """Raw rows without a cleaned poll that are no known duplicates, in id order."""
-    out = raw.join(polls.select(F.col("raw_id").alias("id")), "id", "left_anti").join(duplicates.select("id"), "id", "left_anti").orderBy("id")
+    out = _without(raw, polls, duplicates).orderBy("id")
     return out.limit(limit) if limit is not None else out
 
 
+def _without(raw: DataFrame, polls: DataFrame, duplicates: DataFrame) -> DataFrame:
+    return raw.join(polls.select(F.col("raw_id").alias("id")), "id", "left_anti").join(duplicates.select("id"), "id", "left_anti")
+
+
 MODES = ("incremental", "reprocess", "rebuild")
 
 
@@ -70,14 +74,14 @@ def select_run(raw: DataFrame, polls: DataFrame, duplicates: DataFrame, mode: st
     """(raw rows that a run reads, polls that it starts from).
 
     incremental: the unprocessed rows (D1); reprocess: all rows; rebuild: all rows, and no
-    poll of before.  No limit, or a limit of 0, is all rows.  Another mode is a ValueError.
+    poll of before.  No limit, or a limit of 0, is all rows, in any order: to sort them would
+    read the raw rows twice.  Another mode is a ValueError.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {', '.join(MODES)}")
     if mode == "incremental":
-        return unprocessed(raw, polls, duplicates, limit or None), polls
-    rows = raw.orderBy("id")
-    return (rows.limit(limit) if limit else rows), (polls.filter(F.lit(False)) if mode == "rebuild" else polls)
+        return (unprocessed(raw, polls, duplicates, limit) if limit else _without(raw, polls, duplicates)), polls
+    return (raw.orderBy("id").limit(limit) if limit else raw), (polls.filter(F.lit(False)) if mode == "rebuild" else polls)
 
 
 def finish_run(polls: DataFrame, version: str, dry_run: bool = False) -> int:

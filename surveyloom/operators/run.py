@@ -32,16 +32,28 @@ def year_part(date: str = "publish_date") -> Column:
 
 
 def clean_rows(raw: DataFrame) -> DataFrame:
-    """C and D2 to D3 on raw rows: (id, the fields of a poll, results, fingerprint, date_downloaded, ignore); no row meets another."""
+    """C and D2 to D3 on raw rows: (id, reason, and of rows without one the fields of a poll, results, fingerprint, date_downloaded); no row meets another.
+
+    What rejects a row is read first, in the order of the reasons, and of a rejected row nothing
+    after it.  A column that several others use has a select of its own, or Spark puts what makes
+    it into each of them.
+    """
     repaired = S.unswapped(F.col("respondents"), F.col("zeitraum"))
-    rows = raw.select(
-        "id", S.publish_date(F.col("publish_date")).alias("publish_date"), "survey_date_start", "survey_date_end", repaired.alias("repaired"), "parties", S.institute(F.col("institute_id")).alias("institute"), "provider", "source",
-        S.scope_code(F.col("scope")).alias("scope"), S.election(F.col("scope"), F.col("election_id"))["key"].alias("election"), F.col("method_id").alias("method_text"), S.timestamp(F.col("date_downloaded")).alias("date_downloaded"),
+    rows = raw.withColumns({"publish_date": S.publish_date(F.col("publish_date")), "repaired": repaired})
+    window = S.survey_window(F.col("survey_date_start"), F.col("survey_date_end"), F.col("repaired.timeframe"), F.col("publish_date"))
+    rows = rows.withColumn("window", F.when(F.col("publish_date").isNotNull(), window))
+    rows = rows.withColumn("ignore", F.col("window.ignore")).withColumn("results", F.when(~F.col("ignore"), C.results_of(F.col("parties"))))
+    rows = rows.withColumn("reason", C.rejection())
+    good = F.col("reason").isNull()
+    kept = lambda c: F.when(good, c)
+    rows = rows.select(
+        "id", "reason", "publish_date", kept(F.col("window.start")).alias("survey_start"), kept(F.col("window.end")).alias("survey_end"), kept(F.col("repaired.respondents")).alias("respondents_text"),
+        kept(F.col("method_id")).alias("method_text"), "provider", "source", kept(F.col("results")).alias("results"), kept(S.respondents(F.col("repaired.respondents"))).alias("respondents"),
+        kept(S.institute(F.col("institute_id"))).alias("institute"), kept(S.scope_code(F.col("scope"))).alias("scope"), kept(S.election(F.col("scope"), F.col("election_id"))["key"]).alias("election"),
+        kept(S.timestamp(F.col("date_downloaded"))).alias("date_downloaded"),
     )
-    rows = rows.withColumns({"window": S.survey_window(F.col("survey_date_start"), F.col("survey_date_end"), F.col("repaired.timeframe"), F.col("publish_date")), "respondents_text": F.col("repaired.respondents")})
-    rows = rows.withColumns({"survey_start": F.col("window.start"), "survey_end": F.col("window.end"), "ignore": F.col("window.ignore"), "respondents": S.respondents(F.col("respondents_text")), "results": C.results_of(F.col("parties"))})
-    rows = C.with_fallbacks(rows)
-    return rows.select("id", *FIELDS, "results", D.fingerprint({c: F.col(c) for c in FIELDS}, F.col("results")).alias("fingerprint"), "date_downloaded", "ignore")
+    rows = C.with_fallbacks(rows).select("id", "reason", *[kept(F.col(c)).alias(c) for c in FIELDS], "results", "date_downloaded")
+    return rows.withColumn("fingerprint", kept(D.fingerprint({c: F.col(c) for c in FIELDS}, F.col("results"))))
 
 
 def owners(rows: DataFrame, polls: DataFrame) -> DataFrame:
@@ -112,13 +124,15 @@ class Run:
 
 
 def decide(raw: DataFrame, polls: DataFrame) -> DataFrame:
-    """(id, outcome, duplicate_of_raw, existed and the poll's fields) of each row that a run reads. Outcomes: created, updated, duplicate, or why a row was rejected."""
+    """(id, outcome, duplicate_of_raw and the poll's fields, null where it was rejected) of each row that a run reads. Outcomes: created, updated, duplicate, or why a row was rejected."""
     rows = stored(clean_rows(raw), "cleaned")
-    reason = C.rejection()
-    own = owners(rows.filter(reason.isNull()), polls)
-    decided = rows.withColumn("reason", reason).drop("fingerprint").join(own, "id", "left")
-    outcome = F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("existed"), "updated").when(F.col("duplicate_of_raw").isNotNull(), "duplicate").otherwise("created")
-    return decided.select("id", outcome.alias("outcome"), "duplicate_of_raw", *FIELDS, "results", "fingerprint", "date_downloaded")
+    good = rows.filter("reason is null")
+    outcome = F.when(F.col("existed"), "updated").when(F.col("duplicate_of_raw").isNotNull(), "duplicate").otherwise("created")
+    shown = ("duplicate_of_raw", *FIELDS, "results", "fingerprint", "date_downloaded")
+    decided = good.drop("fingerprint").join(owners(good, polls), "id", "left").select("id", outcome.alias("outcome"), *shown)
+    # Rejected rows meet no others, so they are not shuffled.
+    rejected = rows.filter("reason is not null").withColumn("duplicate_of_raw", F.lit(None).cast("long"))
+    return decided.unionByName(rejected.select("id", F.col("reason").alias("outcome"), *shown))
 
 
 def _parts_of(*frames: DataFrame) -> list[int]:

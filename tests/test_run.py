@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyloom.operators import match as M, run as R
-from surveyloom.operators.dedupe import key_digest, reject_known
+from surveyloom.operators.dedupe import key_digest, reject_known, select_run
 from surveyloom.operators.joins import dense_numbers, join_groups
 from surveyloom.sources.versions import Change, Versions
 from surveyloom.streaming.ingest import clean_batch, ingest_and_clean
@@ -125,6 +125,21 @@ def test_run_of_one_row(spark, tmp_path):
     assert counters[0]["created"] == 2 and counters[0]["public"] == 2
 
 
+def test_rows_are_read_once_and_rejected_ones_no_further(spark):
+    """A payload is parsed in one place of the plan, raw rows are sorted for a limit only, and what comes after a row's rejection is null."""
+    good, undated, ignored, empty = raw_row(1), raw_row(2, publish_date="?"), raw_row(3, survey_date_start=None, survey_date_end=None, zeitraum="??.09.–??.09."), raw_row(4, parties="no json")
+    raw = frame(spark, [good, undated, ignored, empty])
+    cleaned = R.clean_rows(raw)
+    assert cleaned._jdf.queryExecution().analyzed().toString().count("from_json") == 1
+    rows = {r["id"]: r for r in cleaned.collect()}
+    assert {i: r["reason"] for i, r in rows.items()} == {1: None, 2: "missing publish date", 3: "ignored timeframe", 4: "no party result"}
+    assert rows[1]["fingerprint"] and rows[1]["institute"] == "INSA" and all(rows[i][c] is None for i in (2, 3, 4) for c in ("institute", "scope", "method", "respondents", "fingerprint"))
+    none = spark.createDataFrame([], "id long, raw_id long")
+    for mode in ("incremental", "reprocess", "rebuild"):
+        sorts = lambda limit: "Sort [" in select_run(raw, none, none, mode, limit)[0]._jdf.queryExecution().analyzed().toString()  # noqa: E731, B023
+        assert (sorts(None), sorts(2)) == (False, True)
+
+
 def test_duplicates_and_backfill(spark, tmp_path):
     tables, counters = runs(spark, tmp_path, "dup", ([raw_row(1), raw_row(2), raw_row(3, provider="other")], "incremental"))
     assert counters[0] == {"processed": 3, "created": 2, "updated": 0, "skipped": 1, "matched": 0, "ambiguous": 0, "public": 1, "excluded": 1}

@@ -49,6 +49,21 @@ def test_timeframe_looks_past_other_numbers(spark):
     assert [(r["type"], r["start"], r["end"]) for r in got] == list(cases.values())
 
 
+def test_dates_of_time_frames_as_the_calendar_has_them(spark):
+    """Days are counted without a parser: all that exist, and no others."""
+    triples = [(d, m, y) for y in (1900, 2000, 2023, 2024) for m in range(14) for d in (0, 1, 28, 29, 30, 31, 32)]
+
+    def real(d, m, y):
+        try:
+            return D(y, m, d)
+        except ValueError:
+            return None
+
+    got = each(spark, lambda c: S.timeframe(c), [f"{d}.{m}.{y}–{d}.{m}.{y}" for d, m, y in triples])
+    assert [r["start"] for r in got] == [r["end"] for r in got] == [real(*x) for x in triples]
+    assert "to_date" not in str(spark.range(1).select(S.timeframe(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString())
+
+
 def test_bracketed_end_and_days(spark):
     cases = {"INSA (01.02.24)": ("INSA", "01.02.24"), "A (x) (3.4.2024)": ("A (x)", "3.4.2024"), "no bracket": (None, None), "(open": (None, None), ")": ("", ")"[:0])}
     got = each(spark, lambda c: F.struct(*T.bracketed_end(c)), list(cases))
