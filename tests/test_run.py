@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.operators import match as M, run as R
+from surveyloom.operators import clean as C, match as M, run as R
 from surveyloom.operators.dedupe import key_digest, reject_known, select_run
 from surveyloom.operators.joins import dense_numbers, join_groups
 from surveyloom.sources.versions import Change, Versions
@@ -140,6 +140,17 @@ def test_rows_are_read_once_and_rejected_ones_no_further(spark):
         assert (sorts(None), sorts(2)) == (False, True)
 
 
+def test_fallback_dates_are_looked_for_once(spark):
+    """The respondents text is searched in one place of the plan, and fills what is missing only."""
+    day = "2024-06-01"
+    rows = spark.createDataFrame([(1, day, day, None, "O • 1.00024.05.–28.05.", "99", " "), (2, day, day, day, "1000 24.05.–28.05.", "99", "x"), (3, day, None, None, None, None, None)], "id int, p string, s string, e string, respondents_text string, method_text string, provider string")
+    date = lambda c: F.col(c).cast("date")
+    got = C.with_fallbacks(rows.select("id", date("p").alias("publish_date"), date("s").alias("survey_start"), date("e").alias("survey_end"), "respondents_text", "method_text", "provider"))
+    assert got._jdf.queryExecution().analyzed().toString().count("slice(") == 1
+    want = [("2024-06-01", "2024-05-28", "ONLINE", "Unknown"), ("2024-06-01", "2024-06-01", "UNBEKANNT", "x"), ("None", "None", "UNBEKANNT", "Unknown")]
+    assert [(str(r["survey_start"]), str(r["survey_end"]), r["method"], r["provider"]) for r in got.orderBy("id").collect()] == want
+
+
 def test_duplicates_and_backfill(spark, tmp_path):
     tables, counters = runs(spark, tmp_path, "dup", ([raw_row(1), raw_row(2), raw_row(3, provider="other")], "incremental"))
     assert counters[0] == {"processed": 3, "created": 2, "updated": 0, "skipped": 1, "matched": 0, "ambiguous": 0, "public": 1, "excluded": 1}
